@@ -73,11 +73,13 @@ PARTS = {
             stationparameter_no, parametertype_id
         FROM sensor""",
     "sensor_hourly": f"""
-        SELECT station_id, {hour_round('datetime')} AS datetime, constituent, unit, avg(value) AS value
-        FROM sensor_norm
-        WHERE quality_code IN {ACCEPTED} AND station_id IS NOT NULL AND datetime IS NOT NULL
-            AND constituent IS NOT NULL AND unit IS NOT NULL
-        GROUP BY ALL HAVING year({hour_round('datetime')}) >= 1996""",
+        SELECT * FROM (
+            SELECT station_id, {hour_round('datetime')} AS datetime, constituent, unit, avg(value) AS value
+            FROM sensor_norm
+            WHERE quality_code IN {ACCEPTED} AND station_id IS NOT NULL AND datetime IS NOT NULL
+                AND constituent IS NOT NULL AND unit IS NOT NULL
+            GROUP BY ALL)
+        WHERE year(datetime) >= 1996""",
     "flow_years": """
         SELECT station_id, datetime, unit, abs(value) AS q, count(*) OVER (PARTITION BY station_id, year(datetime)) AS held
         FROM sensor_hourly WHERE constituent = 'Q' AND value IS NOT NULL""",
