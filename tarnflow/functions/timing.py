@@ -55,13 +55,17 @@ def year_start(year: int) -> Column:
     return F.lit(f"{year:04d}-01-01 00:00:00").cast(NTZ)
 
 
-def years_between(t: Column, start: int | None, end: int | None) -> Column:
-    """Inclusive years as a range on the time itself, so that Parquet statistics can prune."""
+def years_between(t: Column, start: int | None, end: int | None, lead: str = "0 minutes") -> Column:
+    """Inclusive years as a range on the time itself, so that Parquet statistics can prune.
+
+    With a ``lead`` every year begins and ends that much earlier.
+    """
+    earlier = F.expr(f"interval {lead}")
     kept = t.isNotNull()
     if start is not None:
-        kept = kept & (t >= year_start(start))
+        kept = kept & (t >= year_start(start) - earlier)
     if end is not None:
-        kept = kept & (t < year_start(end + 1))
+        kept = kept & (t < year_start(end + 1) - earlier)
     return kept
 
 

@@ -83,27 +83,37 @@ def _none_if_nan(x):
 # ---- Chunks ---------------------------------------------------------------------------------
 
 
-def flow_chunks(df: DataFrame, months: int, min_per_year: int) -> DataFrame:
+def flow_chunks(df: DataFrame, months: int, min_per_year: int, shared: bool = False) -> DataFrame:
     """Flow series in time order, one row of arrays per station and chunk.
 
     Input is hourly, so a chunk of ``months`` calendar months holds at most 744 rows a month and
-    unit; that is the bound of the collected arrays.
+    unit; that is the bound of the collected arrays. ``shared`` says that ``df`` is also used as a
+    whole in the same plan: flow is then picked inside the aggregate, because a filter would be
+    pushed into a second computation of ``df`` instead of reusing its shuffle.
     """
     if 12 % months:
         raise ValueError("Chunks must divide a year.")
     month = F.year("datetime") * 12 + F.month("datetime") - 1
     value = F.col("value")
+    usable = (
+        (F.col("constituent") == FLOW) & F.col("datetime").isNotNull()
+        & value.isNotNull() & ~F.isnan(value) & (F.abs(value) < float("inf"))
+    )
+    row = F.struct("datetime", "unit", F.abs(value).alias("q"))
+    # Never NULL, so that joins on it add no condition that would set the two uses of df apart.
+    chunk = F.coalesce(F.floor(month / months).cast("int"), F.lit(-1))
     chunks = (
-        df.filter((F.col("constituent") == FLOW) & F.col("datetime").isNotNull())
-        .filter(value.isNotNull() & ~F.isnan(value) & (F.abs(value) < float("inf")))
-        .groupBy("station_id", F.floor(month / months).cast("int").alias("chunk"))
-        .agg(F.array_sort(F.collect_list(F.struct("datetime", "unit", F.abs(value).alias("q")))).alias("rows"))
+        (df if shared else df.filter(usable))
+        .groupBy("station_id", chunk.alias("chunk"))
+        .agg(F.array_sort(F.collect_list(F.when(usable, row))).alias("rows"))
     )
-    year = F.floor(F.col("chunk") * months / 12).cast("int")
-    if min_per_year > 1:
-        counts = chunks.groupBy("station_id", year.alias("_year")).agg(F.sum(F.size("rows")).alias("_held"))
-        enough = counts.filter(F.col("_held") >= min_per_year)
-        chunks = chunks.withColumn("_year", year).join(enough, ["station_id", "_year"], "left_semi")
+    if months == 12:
+        chunks = chunks.filter(F.size("rows") >= max(min_per_year, 1))
+    else:
+        chunks = chunks.filter(F.size("rows") > 0)
+        same_year = Window.partitionBy("station_id", F.floor(F.col("chunk") * months / 12))
+        held = chunks.select(*KEYS, F.sum(F.size("rows")).over(same_year).alias("_held"))
+        chunks = chunks.join(held.filter(F.col("_held") >= min_per_year), KEYS)
     return chunks.select(
         *KEYS, F.transform("rows", lambda r: r["datetime"]).alias("t"), F.transform("rows", lambda r: r["q"]).alias("q")
     )
@@ -290,6 +300,7 @@ def baseflow(
     min_per_year: int = 120,
     seed_share: float = 1.0,
     origin: str | None = None,
+    shared: bool = False,
 ) -> DataFrame:
     """Baseflow rows (constituent QB, unit cfs) of every station with flow.
 
@@ -298,7 +309,7 @@ def baseflow(
     """
     if method not in METHODS:
         raise ValueError(f"Baseflow method {method} not recognized. Known methods are: {METHODS}")
-    chunks = _with_neighbours(flow_chunks(df, months, min_per_year), "q")
+    chunks = _with_neighbours(flow_chunks(df, months, min_per_year, shared), "q")
     if method == "LH":
         done = _lyne_hollick(chunks).withColumnRenamed("lh", "result")
     else:
@@ -325,4 +336,4 @@ def with_baseflow(df: DataFrame, **options) -> DataFrame:
     """Observations and their baseflow rows (U3); stations without flow add nothing."""
     from tarnflow.operators.views import append_derived
 
-    return append_derived(df, baseflow(df, **options))
+    return append_derived(df, baseflow(df, shared=True, **options))

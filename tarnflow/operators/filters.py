@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -21,6 +23,15 @@ def year_filter(df: DataFrame, start: int | None = 1996, end: int | None = None,
     return df.filter(timing.years_between(F.col(column), start, end))
 
 
+def rounded_year_filter(df: DataFrame, start: int | None = 1996, end: int | None = None, column: str = "datetime") -> DataFrame:
+    """F2 on the rounded hour, asked of the time before rounding.
+
+    A year begins at an even hour, so 23:30 still rounds into it: its rows are those half an hour
+    earlier. Asking the unrounded time keeps the rounding out of the pushed-down condition.
+    """
+    return df.filter(timing.years_between(F.col(column), start, end, lead="30 minutes"))
+
+
 def lab_extract_filter(
     df: DataFrame, stations: Iterable[str] | None = None, location_type: str = "LOC_TYPE"
 ) -> DataFrame:
@@ -49,8 +60,8 @@ def after_1996(df: DataFrame, column: str = "datetime") -> DataFrame:
 
 
 def drop_incomplete_keys(df: DataFrame, keys: Iterable[str]) -> DataFrame:
-    """Rows with a NULL key take no part in grouping."""
-    return df.dropna(subset=list(keys))
+    """Rows with a NULL key take no part in grouping (F6); one condition per key, so each can be pushed down."""
+    return df.filter(reduce(and_, [F.col(k).isNotNull() for k in keys]))
 
 
 def hydrologic_unit_filter(df: DataFrame, prefix: str, column: str = "stn_HUC12") -> DataFrame:

@@ -60,7 +60,7 @@ def nondetect_to_zero(df: DataFrame) -> DataFrame:
 
 def lab_hourly(df: DataFrame) -> DataFrame:
     """Mean per rounded hour, tagged with the laboratory origin (A2)."""
-    return df.transform(tag_origin, lookups.LAB_ORIGIN).transform(hourly_mean, (*HOURLY_KEYS, "station_origin"))
+    return df.transform(hourly_mean, HOURLY_KEYS).transform(tag_origin, lookups.LAB_ORIGIN)
 
 
 def available_pairs(df: DataFrame) -> DataFrame:

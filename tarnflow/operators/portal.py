@@ -46,8 +46,8 @@ def portal_values(df: DataFrame, texts: DataFrame) -> DataFrame:
 def portal_hourly(df: DataFrame) -> DataFrame:
     """Mean per rounded hour and the descriptive columns (A3); each station keeps its own name."""
     return (
-        df.withColumn("datetime", timing.hour_round(F.col("datetime")))
-        .transform(drop_incomplete_keys, PORTAL_KEYS)
+        df.transform(drop_incomplete_keys, PORTAL_KEYS)
+        .withColumn("datetime", timing.hour_round(F.col("datetime")))
         .groupBy(*PORTAL_KEYS)
         .agg(F.avg("value").alias("value"))
         .withColumn("quality_id", F.lit(None).cast("string"))

@@ -40,10 +40,14 @@ def normalize(df: DataFrame) -> DataFrame:
 
 
 def hourly_mean(df: DataFrame, keys: tuple[str, ...] = HOURLY_KEYS) -> DataFrame:
-    """Mean per rounded hour and key (A1). The average is combined on the map side."""
+    """Mean per rounded hour and key (A1). The average is combined on the map side.
+
+    Incomplete keys are dropped before rounding: a condition on the rounded time would be pushed
+    below it and repeat the whole expression there.
+    """
     return (
-        df.withColumn("datetime", timing.hour_round(F.col("datetime")))
-        .transform(drop_incomplete_keys, keys)
+        df.transform(drop_incomplete_keys, keys)
+        .withColumn("datetime", timing.hour_round(F.col("datetime")))
         .groupBy(*keys)
         .agg(F.avg("value").alias("value"))
     )

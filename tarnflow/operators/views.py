@@ -51,29 +51,22 @@ def with_flow(outlet_obs: DataFrame) -> DataFrame:
 
     One pass instead of a three-way join: after A4 an outlet and time hold one row per
     constituent, so the window groups stay small whatever the size of the outlet. Rows without a
-    time match nothing, so they get no flow and go around the window: all such rows of an outlet
-    would otherwise be one group.
+    time match nothing; all those of an outlet would be one group, so they are spread by
+    constituent, which leaves each of them alone.
     """
-    here = Window.partitionBy("outlet_id", "datetime")
+    timed = F.col("datetime").isNotNull()
+    apart = F.when(~timed, F.col("constituent"))
+    here = Window.partitionBy("outlet_id", "datetime", "_apart")
 
     def measured(code: str):
-        return F.max(F.when(F.col("constituent") == code, F.col("value"))).over(here)
+        return F.max(F.when(timed & (F.col("constituent") == code), F.col("value"))).over(here)
 
-    rest = ~F.col("constituent").isin(FLOW, BASEFLOW)
-    columns = ["outlet_id", "constituent", "datetime", "value", "count", "flow_value", "baseflow_value"]
-    timed = (
-        outlet_obs.filter(F.col("datetime").isNotNull())
+    return (
+        outlet_obs.withColumn("_apart", apart)
         .withColumns({"flow_value": measured(FLOW), "baseflow_value": measured(BASEFLOW)})
-        .filter(rest)
-        .select(*columns)
-    )
-    nothing = F.lit(None).cast("double")
-    untimed = (
-        outlet_obs.filter(F.col("datetime").isNull() & rest)
-        .withColumns({"flow_value": nothing, "baseflow_value": nothing})
-        .select(*columns)
+        .filter(~F.col("constituent").isin(FLOW, BASEFLOW))
+        .select("outlet_id", "constituent", "datetime", "value", "count", "flow_value", "baseflow_value")
     )
-    return timed.unionByName(untimed)
 
 
 def _summary(df: DataFrame, keys: list[str], stats: bool = True) -> DataFrame:

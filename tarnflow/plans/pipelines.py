@@ -12,11 +12,11 @@ from tarnflow.operators.baseflow import with_baseflow
 
 
 def sensor_hourly(df: DataFrame, filter_quality: bool = True, accepted: Iterable[int] | None = None) -> DataFrame:
-    """Sensor rows -> hourly observations from 1996 on; the years are cut after rounding."""
+    """Sensor rows -> hourly observations from 1996 on; the rounded hour decides on the year."""
     rows = sensor.normalize(df)
     if filter_quality:
         rows = filters.quality_filter(rows, accepted)
-    hourly = rows.transform(sensor.hourly_mean).transform(filters.year_filter)
+    hourly = rows.transform(filters.rounded_year_filter).transform(sensor.hourly_mean)
     return schemas.conform(hourly.transform(sensor.tag_origin, lookups.SENSOR_ORIGIN), schemas.OBSERVATION)
 
 
