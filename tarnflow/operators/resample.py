@@ -158,37 +158,52 @@ def interval_aggregate(
     return rows.groupBy(*group).agg(measure("value").alias("value"))
 
 
+# Parts a group is dealt into while its rows meet the bounds of the group.
+DEAL = 16
+
+
 def exact_percentile(df: DataFrame, keys: list[str], column: str, share: float, accuracy: int = 1000) -> DataFrame:
     """Exact interpolated percentile per group, without holding a group in one task.
 
     A bounded sketch first encloses the wanted rank between two values (its rank error is at most
-    1/``accuracy`` of the group). Only rows between the two are then sorted, after equal values
-    have been counted together; rows below are merely counted. Groups of any size thus cost one
-    scan for the sketch and one for the slice, and the result is exact.
+    1/``accuracy`` of the group). Only values between the two are then put in order; values below
+    are merely counted. Equal values are counted together first, and each group is dealt by value
+    into ``DEAL`` parts before it meets its bounds, so that a group holding a large part of all
+    rows is spread over that many tasks.
     """
     slack = 2.0 / accuracy
     low_share, high_share = max(0.0, share - slack), min(1.0, share + slack)
-    present = df.filter(F.col(column).isNotNull())
-    same = [F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)]
-    bounds = present.groupBy(*same).agg(
-        F.count("*").alias("_n"),
-        F.percentile_approx(column, [low_share, high_share], accuracy).alias("_edge"),
-        F.min(column).alias("_min"),
-        F.max(column).alias("_max"),
+    names = [f"_k{i}" for i in range(len(keys))]
+    bounds = (
+        df.groupBy(*[F.col(k).alias(n) for k, n in zip(keys, names)])
+        .agg(
+            F.count(column).alias("_n"),
+            F.percentile_approx(column, [low_share, high_share], accuracy).alias("_edge"),
+            F.min(column).alias("_min"),
+            F.max(column).alias("_max"),
+        )
     )
-    rank = F.lit(share) * (F.col("_n") - 1)
     # In a small group the sketch's rounding could miss a neighbour: take the whole group there.
     small = F.col("_n") <= 4 * accuracy
     low = F.when(small | F.lit(share <= slack), F.col("_min")).otherwise(F.col("_edge")[0])
     high = F.when(small | F.lit(share >= 1 - slack), F.col("_max")).otherwise(F.col("_edge")[1])
-    bounds = bounds.select(
-        *[f"_k{i}" for i in range(len(keys))], "_n", low.alias("_low"), high.alias("_high"), rank.alias("_rank")
+    dealt = bounds.select(
+        *names, low.alias("_low"), high.alias("_high"), (F.lit(share) * (F.col("_n") - 1)).alias("_rank"),
+        F.explode(F.sequence(F.lit(0), F.lit(DEAL - 1))).alias("_part"),
+    )
+    values = (
+        df.filter(F.col(column).isNotNull())
+        .groupBy(*keys, F.col(column).alias("_v"))
+        .agg(F.count("*").alias("_c"))
+        .withColumn("_p", F.pmod(F.hash("_v"), F.lit(DEAL)))
+    )
+    on = [F.col(k).eqNullSafe(F.col(n)) for k, n in zip(keys, names)] + [F.col("_p") == F.col("_part")]
+    slices = (
+        values.join(dealt, on)
+        .filter(F.col("_v") <= F.col("_high"))
+        .groupBy(*keys, "_rank", F.when(F.col("_v") >= F.col("_low"), F.col("_v")).alias("_value"))
+        .agg(F.sum("_c").alias("_count"))
     )
-    on = [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)]
-    placed = present.join(bounds, on)
-    slices = placed.filter(F.col(column) <= F.col("_high")).groupBy(
-        *keys, "_rank", F.when(F.col(column) >= F.col("_low"), F.col(column)).alias("_value")
-    ).agg(F.count("*").alias("_count"))
     upto = Window.partitionBy(*keys).orderBy(F.col("_value").asc_nulls_first())
     ranked = slices.withColumn("_upto", F.sum("_count").over(upto)).filter(F.col("_value").isNotNull())
 
@@ -197,8 +212,9 @@ def exact_percentile(df: DataFrame, keys: list[str], column: str, share: float,
         return F.min(F.when(F.col("_upto") > position, F.col("_value")))
 
     lower, upper = at(F.floor("_rank")), at(F.ceil("_rank"))
-    part = F.first("_rank") - F.floor(F.first("_rank"))
-    every = df.groupBy(*keys).agg(F.count(column).alias("_any"))
+    part = F.min("_rank") - F.floor(F.min("_rank"))
     found = ranked.groupBy(*keys).agg((lower + (upper - lower) * part).alias(column))
-    empty = every.filter("_any = 0").select(*keys, F.lit(None).cast("double").alias(column))
+    empty = bounds.filter("_n = 0").select(
+        *[F.col(n).alias(k) for k, n in zip(keys, names)], F.lit(None).cast("double").alias(column)
+    )
     return found.unionByName(empty)

@@ -18,6 +18,7 @@ from tarnflow.operators import outlets as outlet_ops, views
 from tarnflow.operators.baseflow import baseflow
 from tarnflow.operators.outlets import Outlets
 from tarnflow.plans import pipelines, query
+from tarnflow.shared import cut
 from tarnflow.sources.tables import clean_lab, load_lookups, type_sensor
 
 BUCKET = "station_bucket"
@@ -134,7 +135,8 @@ class Warehouse:
         not touch partitions it has no rows for.
         """
         table, stations = TABLES[name], list(stations)
-        rows = schemas.conform(df, table.schema)
+        # Used twice below, so computed once.
+        rows = cut(schemas.conform(df, table.schema))
         numbers = self.spark.range(1).select(F.array(*[self._bucket(F.lit(s)) for s in stations])).first()[0]
         touched = sorted(set(numbers))
         stored = T.StructType(table.schema.fields + [T.StructField(BUCKET, T.IntegerType())])
