@@ -1,16 +1,23 @@
 """Time expressions on TIMESTAMP_NTZ.
 
 ``date_trunc`` turns a zone-free time into a zoned one and so depends on the session zone. These
-expressions subtract the parts below the wanted unit instead, which keeps the type and the zone out.
+expressions work on the interval since a fixed moment instead, which keeps the type and the zone
+out. Each names its argument once: conditions on a computed time are pushed down as copies of its
+expression, and one that repeats its argument grows with every level.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, functions as F
 
 from tarnflow.lookups import TARGET_HOURS, ZONE_HOURS
 
 NTZ = "timestamp_ntz"
+# From the start of the year 1 to the start of 1970.
+SECONDS_TO_1970 = 719162 * 86400
 BLANKS = " \t\n\r\f\v"
 
 
@@ -19,9 +26,19 @@ def _interval(days=0, hours=0, minutes=0, seconds=0) -> Column:
     return F.make_dt_interval(*part)
 
 
+def _at(text: str) -> Column:
+    return F.lit(text).cast(NTZ)
+
+
+def _whole_seconds(t: Column) -> Column:
+    """Whole seconds since the year 1, so that cutting off the fraction is rounding down."""
+    return (t - _at("0001-01-01 00:00:00")).cast("interval second").cast("bigint")
+
+
 def hour_floor(t: Column) -> Column:
     """Start of the hour."""
-    return t - _interval(minutes=F.minute(t), seconds=F.date_part(F.lit("SECOND"), t))
+    hours = F.floor(_whole_seconds(t) / 3600).cast("int")
+    return _at("0001-01-01 00:00:00") + _interval(hours=hours)
 
 
 def day_floor(t: Column) -> Column:
@@ -30,10 +47,14 @@ def day_floor(t: Column) -> Column:
 
 
 def hour_round(t: Column) -> Column:
-    """Nearest hour; an exact half goes to the even hour."""
-    minute, second, odd = F.minute(t), F.date_part(F.lit("SECOND"), t), F.hour(t) % 2 == 1
-    up = (minute > 30) | ((minute == 30) & ((second > 0) | odd))
-    return hour_floor(t) + _interval(hours=F.when(up, 1).otherwise(0))
+    """Nearest hour; an exact half goes to the even hour.
+
+    ``rint`` rounds halves to even, and hours since a midnight are even when the hour of day is. A
+    double tells microseconds apart from the half hour for 250 years around 1970.
+    """
+    seconds = (t - _at("1970-01-01 00:00:00")).cast("interval second").cast("decimal(18,6)")
+    hours = F.rint(seconds.cast("double") / 3600).cast("int")
+    return _at("1970-01-01 00:00:00") + _interval(hours=hours)
 
 
 def zone_label(label: Column) -> Column:
@@ -61,26 +82,20 @@ def years_between(t: Column, start: int | None, end: int | None, lead: str = "0
     With a ``lead`` every year begins and ends that much earlier.
     """
     earlier = F.expr(f"interval {lead}")
-    kept = t.isNotNull()
+    bounds = []
     if start is not None:
-        kept = kept & (t >= year_start(start) - earlier)
+        bounds.append(t >= year_start(start) - earlier)
     if end is not None:
-        kept = kept & (t < year_start(end + 1) - earlier)
-    return kept
+        bounds.append(t < year_start(end + 1) - earlier)
+    # A bound is never true of a missing time.
+    return reduce(and_, bounds) if bounds else t.isNotNull()
 
 
 def epoch_seconds(t: Column) -> Column:
     """Whole seconds since 1970-01-01 00:00 on the same clock."""
-    days = F.datediff(t.cast("date"), F.lit("1970-01-01").cast("date")).cast("bigint")
-    return days * 86400 + F.hour(t) * 3600 + F.minute(t) * 60 + F.second(t)
+    return _whole_seconds(t) - SECONDS_TO_1970
 
 
 def from_epoch_seconds(s: Column) -> Column:
     """Inverse of :func:`epoch_seconds`."""
-    days = F.floor(s / 86400).cast("int")
-    clock = (s - days.cast("bigint") * 86400).cast("int")
-    return F.date_add(F.lit("1970-01-01").cast("date"), days).cast(NTZ) + _interval(
-        hours=F.floor(clock / 3600).cast("int"),
-        minutes=F.floor(clock % 3600 / 60).cast("int"),
-        seconds=(clock % 60).cast("decimal(18,6)"),
-    )
+    return _at("1970-01-01 00:00:00") + _interval(seconds=s.cast("decimal(18,6)"))

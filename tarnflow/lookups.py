@@ -178,6 +178,15 @@ def lab_analytes(spark: SparkSession) -> DataFrame:
     return _pairs(spark, LAB_ANALYTES, "cas_rn")
 
 
+def series_resolutions(spark: SparkSession) -> DataFrame:
+    """Series name -> resolution (0 unit values, 1 daily) per constituent and kind of station."""
+    rows = []
+    for code, (unit_in, daily_in, unit_ex, daily_ex) in SERIES_NAMES.items():
+        rows += [(code, False, unit_in, 0), (code, False, daily_in, 1), (code, True, unit_ex, 0), (code, True, daily_ex, 1)]
+    schema = T.StructType().add("constituent", "string").add("external", "boolean").add("ts_name", "string").add("resolution", T.IntegerType())
+    return local_table(spark, rows, schema)
+
+
 def quality_codes(spark: SparkSession) -> DataFrame:
     """Quality codes with text and active flag; descriptions and retired texts are left NULL."""
     rows = [(code, text, None, 1) for code, text in ACTIVE_QUALITY]

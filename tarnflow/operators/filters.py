@@ -69,26 +69,16 @@ def hydrologic_unit_filter(df: DataFrame, prefix: str, column: str = "stn_HUC12"
     return df.filter(F.col(column).startswith(prefix))
 
 
-def series_priority(df: DataFrame, constituent: str = "constituent") -> DataFrame:
-    """Add ``resolution``: 0 for the station's unit-value series, 1 for its daily one, else NULL."""
-    name, external = F.col("ts_name"), codes.is_external(F.col("station_no"))
-    rank = None
-    for code, (unit_in, daily_in, unit_ex, daily_ex) in lookups.SERIES_NAMES.items():
-        for unit, daily, side in ((unit_ex, daily_ex, external), (unit_in, daily_in, ~external)):
-            here = (F.col(constituent) == code) & side
-            for value, wanted in ((0, unit), (1, daily)):
-                hit = here & (name == wanted)
-                rank = F.when(hit, value) if rank is None else rank.when(hit, value)
-    return df.withColumn("resolution", rank)
-
-
 def preferred_series(df: DataFrame) -> DataFrame:
     """Per station and constituent the unit-value series if there is one, else the daily series (F8).
 
-    The best resolution is a map-side combined minimum, joined back; a busy station is never
-    gathered in one task as a window would.
+    The names to look for are a small fixed table. The best resolution is a map-side combined
+    minimum, joined back; a busy station is never gathered in one task as a window would.
     """
-    ranked = series_priority(df).filter(F.col("resolution").isNotNull())
+    names = lookups.series_resolutions(df.sparkSession)
+    ranked = df.withColumn("external", codes.is_external(F.col("station_no"))).join(
+        F.broadcast(names), ["constituent", "external", "ts_name"]
+    )
     keys = ["station_no", "constituent"]
     best = ranked.groupBy(*keys).agg(F.min("resolution").alias("resolution"))
     return ranked.join(best, [*keys, "resolution"], "left_semi").select(*df.columns)

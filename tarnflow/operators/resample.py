@@ -74,9 +74,11 @@ def resample(df: DataFrame, period: str, columns: list[str], agg: str = "mean")
     if agg not in ("mean", "sum"):
         raise ValueError(f"Aggregate {agg} not recognized.")
     calendar = Calendar(period)
-    timed = df.filter(F.col("datetime").isNotNull())
     parts = [F.sum(c).alias(f"_s_{c}") for c in columns] + [F.count(c).alias(f"_n_{c}") for c in columns]
-    base = timed.groupBy(calendar.base(F.col("datetime")).alias("_base")).agg(F.min("datetime").alias("_first"), *parts)
+    base = df.groupBy(calendar.base(F.col("datetime")).alias("_base")).agg(F.min("datetime").alias("_first"), *parts)
+    # Rows without a time are left out here: asked of the rows, the condition would be pushed below
+    # the aggregates that made them and repeat their time expressions there.
+    base = base.filter(F.col("_first").isNotNull())
 
     if calendar.n == 1 and agg == "mean":
         binned = base.withColumn("_label", calendar.label(F.col("_base"), F.lit(0)))
