@@ -3,22 +3,41 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tarnflow.llm import packing, wordbpe
+from tarnflow.llm import language, packing, pii, simhash, wordbpe
 from tarnflow.llm.common import table
 
 
+def op3_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, folder, "documents"), distance=2, words=3)
+
+
+def op6_language(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    held = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 4 == 2, F.lit(False))
+    found = language.predict(docs, train_on=~held)
+    return found.select("doc_id", held.alias("held_out"), "lang_pred", "score")
+
+
 def op8_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.packed(table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op9_pii(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    return pii.digest(pii.find(docs, pii.fit(docs)))
+
+
 def op10_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return wordbpe.digests(table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
 QUERIES = {
+    "op3_simhash": op3_simhash,
+    "op6_language": op6_language,
     "op8_packing": op8_packing,
+    "op9_pii": op9_pii,
     "op10_bpe": op10_bpe,
 }
 
