@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 
@@ -42,6 +43,15 @@ def remove(df: DataFrame) -> None:
         path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def release(spark: SparkSession) -> None:
+    """Let go of the shuffle files of finished steps.
+
+    Spark deletes them once the driver's garbage collector has found that nothing refers to them.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def keyed(docs: DataFrame, key: str, text: str) -> DataFrame:
     """``_key`` and ``_text`` alone. Keys travel as strings: pandas turns nullable integers to floats."""
     return docs.select(docs[key].cast("string").alias("_key"), docs[text].cast("string").alias("_text"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tarnflow.llm import language, packing, pii, simhash, wordbpe
+from tarnflow.llm import language, packing, pii, simhash, suffix, wordbpe
 from tarnflow.llm.common import table
 
 
@@ -20,6 +20,10 @@ def op6_language(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", held.alias("held_out"), "lang_pred", "score")
 
 
+def op7_suffix(spark: SparkSession, folder: str) -> DataFrame:
+    return suffix.dedup(table(spark, folder, "documents"), length=100)
+
+
 def op8_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.packed(table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
@@ -36,6 +40,7 @@ def op10_bpe(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {
     "op3_simhash": op3_simhash,
     "op6_language": op6_language,
+    "op7_suffix": op7_suffix,
     "op8_packing": op8_packing,
     "op9_pii": op9_pii,
     "op10_bpe": op10_bpe,
