@@ -5,10 +5,19 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tarnflow.llm import language, packing, pii, simhash, suffix, wordbpe
+from tarnflow.llm import balltree, language, packing, permutation, pii, simhash, suffix, wordbpe
 from tarnflow.llm.common import table
 
 
+def op1_permutation(spark: SparkSession, folder: str) -> DataFrame:
+    return permutation.nearest(table(spark, folder, "embeddings"), F.col("id") % 100 == 0, k=10)
+
+
+def op2_balltree(spark: SparkSession, folder: str) -> DataFrame:
+    found = balltree.top_k(table(spark, folder, "embeddings"), F.col("id") % 20 == 0, k=20, factor=64)
+    return found.withColumn("score", F.col("score").cast("bigint"))
+
+
 def op3_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, folder, "documents"), distance=2, words=3)
 
@@ -38,6 +47,8 @@ def op10_bpe(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_permutation": op1_permutation,
+    "op2_balltree": op2_balltree,
     "op3_simhash": op3_simhash,
     "op6_language": op6_language,
     "op7_suffix": op7_suffix,
