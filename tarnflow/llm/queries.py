@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tarnflow.llm import balltree, language, packing, permutation, pii, simhash, suffix, wordbpe
+from tarnflow.llm import balltree, language, packing, permutation, pii, simhash, sitetree, suffix, urls, wordbpe
 from tarnflow.llm.common import table
 
 
@@ -22,6 +22,21 @@ def op3_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, folder, "documents"), distance=2, words=3)
 
 
+#: Verdict, host, path.
+URL_RULES = [
+    ("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www.example.com", "/en/"),
+    ("block", "net", "/es/"), ("block", "net", "/fr/"),
+]
+
+
+def op4_urls(spark: SparkSession, folder: str) -> DataFrame:
+    return urls.judged(table(spark, folder, "pages"), URL_RULES)
+
+
+def op5_sitetree(spark: SparkSession, folder: str) -> DataFrame:
+    return sitetree.extract(table(spark, folder, "pages"))
+
+
 def op6_language(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     held = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 4 == 2, F.lit(False))
@@ -50,6 +65,8 @@ QUERIES = {
     "op1_permutation": op1_permutation,
     "op2_balltree": op2_balltree,
     "op3_simhash": op3_simhash,
+    "op4_urls": op4_urls,
+    "op5_sitetree": op5_sitetree,
     "op6_language": op6_language,
     "op7_suffix": op7_suffix,
     "op8_packing": op8_packing,
