@@ -85,7 +85,7 @@ PARTS = {
         FROM sensor_hourly WHERE constituent = 'Q' AND value IS NOT NULL""",
     "flow": """
         SELECT station_id, datetime, q, row_number() OVER (PARTITION BY station_id ORDER BY datetime, unit) AS n
-        FROM flow_years WHERE held >= 24""",
+        FROM flow_years WHERE held >= 1""",
     "filtered": """
         SELECT station_id, n, datetime, q AS b FROM flow WHERE n = 1
         UNION ALL

@@ -22,7 +22,7 @@ QUERIES: dict[str, Query] = {}
 ORACLE: dict[str, str] = {}
 
 # Baseflow with given constants, so that SQL can follow it step by step.
-FIXED_FILTER = {"a": 0.95, "c": 0.02, "min_per_year": 24}
+FIXED_FILTER = {"a": 0.95, "c": 0.02}
 SENSORS = ["E00", "H01", "E02", "H03", "E04"]
 MODEL = "ASIA"
 
@@ -181,7 +181,7 @@ def _(s, d):
 
 @check("s9_read_station_registry", "SELECT station_id, true_opnid, opnids, comments, modeled, repo_name, wplmn_flag, source FROM registry")
 def _(s, d):
-    return I.registry(s, d)
+    return I.registry(s, d).drop("row_order")
 
 
 @check("s10_load_lookups", """
@@ -232,8 +232,8 @@ def _(s, d):
 def _(s, d):
     w = Warehouse(s, I.scratch(s), buckets=8)
     w.replace("staging.equis", I.lab_staging(s, d))
-    w.promote("staging.equis", "analytics.equis_raw")
-    return w.read("analytics.equis_raw").select(*_LAB_SHOWN)
+    w.promote("staging.equis", "analytics.equis")
+    return w.read("analytics.equis").select(*_LAB_SHOWN)
 
 
 @check("k4_replace_stations", f"""
@@ -248,6 +248,37 @@ def _(s, d):
     return r6(w.read("analytics.wiski"), "value")
 
 
+@check("k4_unnamed_stations", f"""
+    SELECT {_OBS} FROM sensor_obs WHERE station_id <> 'H01'
+    UNION ALL
+    SELECT datetime, round(value * 2, 6), station_id, station_origin, constituent, unit FROM sensor_obs WHERE station_id IN ('E00', 'H03')""")
+def _(s, d):
+    # The batch holds stations that are not to be replaced: they keep their rows and gain new ones.
+    w = Warehouse(s, I.scratch(s), buckets=2)
+    w.replace("analytics.wiski", sensor_obs(s, d))
+    incoming = w.read("analytics.wiski", ["E00", "H03"]).withColumn("value", F.col("value") * 2)
+    w.replace_stations("analytics.wiski", incoming, ["H01"])
+    return r6(w.read("analytics.wiski"), "value")
+
+
+@check("k4_empty_list", f"""
+    SELECT {_OBS} FROM sensor_obs
+    UNION ALL
+    SELECT datetime, round(value * 2, 6), station_id, station_origin, constituent, unit FROM sensor_obs WHERE station_id = 'E02'""")
+def _(s, d):
+    w = Warehouse(s, I.scratch(s), buckets=2)
+    w.replace("analytics.wiski", sensor_obs(s, d))
+    w.replace_stations("analytics.wiski", w.read("analytics.wiski", ["E02"]).withColumn("value", F.col("value") * 2), [])
+    return r6(w.read("analytics.wiski"), "value")
+
+
+@check("k4_reopened", f"SELECT {_OBS} FROM sensor_obs WHERE station_id = 'E02'")
+def _(s, d):
+    w = Warehouse(s, I.scratch(s), buckets=5)
+    w.replace("analytics.wiski", sensor_obs(s, d))
+    return r6(Warehouse(s, w.root).read("analytics.wiski", ["E02"]), "value")
+
+
 @check("k5_write_parquet", f"SELECT {_OBS} FROM lab_obs")
 def _(s, d):
     path = I.scratch(s) + "/obs"
@@ -782,9 +813,11 @@ def _(s, d):
     return r6(lab.available_pairs(I.lab_raw(s, d)), "value")
 
 
-@check("a14_available_sensor", "SELECT station_id, constituent, ts_name, ts_id FROM sensor_norm WHERE ts_name IN ('15.Rated','09.Archive','08.Provisional.Edited')")
+@check("a14_available_sensor", """
+    SELECT station_no AS station_id, ts_name, ts_id, stationparameter_no FROM sensor
+    WHERE ts_name IN ('15.Rated','09.Archive','08.Provisional.Edited') AND stationparameter_no IN ('262.1','450.42','863','866')""")
 def _(s, d):
-    return sensor.available_series(I.sensor(s, d)).select("station_id", "constituent", "ts_name", "ts_id")
+    return sensor.available_series(I.sensor(s, d)).select("station_id", "ts_name", "ts_id", "stationparameter_no")
 
 
 @check("a14_available_portal", """
@@ -809,6 +842,20 @@ def _(s, d):
     return mapped(s, d).select("station_id", "source", "opnids", "repo_name", "outlet_id")
 
 
+@check("w1_first_row", """
+    SELECT station_id, source, opnids, repo_name FROM registry
+    WHERE trim(opnids) <> '' AND repo_name IS NOT NULL
+    QUALIFY row_number() OVER (PARTITION BY station_id, source ORDER BY comments DESC) = 1""")
+def _(s, d):
+    # Landed in falling order of names, against which the order of contents is wrong.
+    folder, parts = I.scratch(s), []
+    for name, rows in zip(("sensor", "lab"), I.registry_parts(s, d)):
+        write_csv(rows.orderBy(F.desc("comments")), f"{folder}/{name}")
+        parts.append(s.read.schema(rows.schema).options(header=True).csv(f"{folder}/{name}"))
+    done = outlets.assign_outlets(sources.read_station_registry(*parts))
+    return done.select("station_id", "source", "opnids", "repo_name")
+
+
 @check("w2_baseflow", "SELECT station_id, datetime, 'QB' AS constituent, 'cfs' AS unit, round(b, 6) AS value FROM filtered")
 def _(s, d):
     return r6(bf.baseflow(sensor_hourly(s, d), **FIXED_FILTER), "value")
@@ -816,7 +863,7 @@ def _(s, d):
 
 @check("w2_baseflow_calibrated")
 def _(s, d):
-    return r6(bf.baseflow(sensor_hourly(s, d), min_per_year=24), "value")
+    return r6(bf.baseflow(sensor_hourly(s, d)), "value")
 
 
 @check("w3_keep_first", """
@@ -1057,10 +1104,12 @@ def _(s, d):
 @check("x7_init_warehouse", "SELECT * FROM pairs")
 def _(s, d):
     w = Warehouse(s, I.scratch(s), buckets=8)
-    # The registry table keeps no order column: rows are told apart by the supplier's name.
-    sensors, labs = I.registry_parts(s, d)
-    w.init()
-    w.load_outlets(outlets.build_outlets(outlets.assign_outlets(sources.read_station_registry(sensors, labs), ["comments"])))
+    # Landed in the order of the suppliers' names, so the first row of a station is the smallest name's.
+    parts = []
+    for name, rows in zip(("sensor", "lab"), I.registry_parts(s, d)):
+        write_csv(rows.orderBy("comments"), f"{w.root}/landed/{name}")
+        parts.append(s.read.schema(rows.schema).options(header=True).csv(f"{w.root}/landed/{name}"))
+    w.init(sources.read_station_registry(*parts))
     w.validate()
     return w.pairs()
 

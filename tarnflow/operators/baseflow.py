@@ -14,7 +14,7 @@ Lyne-Hollick:  ``b[t] = min(beta * b[t-1] + (1-beta)/2 * (Q[t] + Q[t-1]), Q[t])`
 The published filters leave some choices open; they are parameters here:
 
 * ``seed_share``: the filter starts at this share of the first flow (default 1).
-* ``min_per_year``: years of a station with fewer values are left out (default 120).
+* ``min_per_year``: years of a station with fewer values are left out (default 1: none).
 * ``a``: when not given, the slow recession rate of the station. Of all falling points
   (``Q[t-1] > Q[t] > Q[t+1]``) the rate ``-dQ/Q`` with ``dQ = (Q[t+1] - Q[t-1]) / 2`` is taken, and
   ``a = exp(-rate)`` at its ``recession_share`` quantile (default 0.05).
@@ -272,7 +272,7 @@ def _fit_c(chunks: DataFrame, seed_share: float, grid: tuple[float, ...]) -> Dat
 def calibrate(
     df: DataFrame,
     months: int = 12,
-    min_per_year: int = 120,
+    min_per_year: int = 1,
     seed_share: float = 1.0,
     recession_share: float = 0.05,
     grid: tuple[float, ...] = C_GRID,
@@ -297,10 +297,12 @@ def baseflow(
     c: float | None = None,
     params: DataFrame | None = None,
     months: int = 12,
-    min_per_year: int = 120,
+    min_per_year: int = 1,
     seed_share: float = 1.0,
     origin: str | None = None,
     shared: bool = False,
+    recession_share: float = 0.05,
+    grid: tuple[float, ...] = C_GRID,
 ) -> DataFrame:
     """Baseflow rows (constituent QB, unit cfs) of every station with flow.
 
@@ -317,7 +319,7 @@ def baseflow(
             known = chunks.withColumns({"a": F.lit(float(a)), "c": F.lit(float(c))})
         else:
             if params is None:
-                params = calibrate(df, months, min_per_year, seed_share)
+                params = calibrate(df, months, min_per_year, seed_share, recession_share, grid)
             known = chunks.join(params.select("station_id", "a", "c"), "station_id")
         arguments = [F.col("q"), F.col("a"), F.col("c"), F.col("before")]
         done = _scan(known, *_boughton_udfs(seed_share), arguments)

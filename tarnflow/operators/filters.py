@@ -77,7 +77,7 @@ def preferred_series(df: DataFrame) -> DataFrame:
     """
     names = lookups.series_resolutions(df.sparkSession)
     ranked = df.withColumn("external", codes.is_external(F.col("station_no"))).join(
-        F.broadcast(names), ["constituent", "external", "ts_name"]
+        names, ["constituent", "external", "ts_name"]
     )
     keys = ["station_no", "constituent"]
     best = ranked.groupBy(*keys).agg(F.min("resolution").alias("resolution"))
@@ -111,7 +111,7 @@ def parameter_scope(df: DataFrame, constituent: str | None = None, load_network:
     elif constituent in lookups.CONSTITUENTS:
         patterns = scope.get(constituent, ())
     else:
-        raise ValueError(f"Invalid constituent: {constituent}. Valid constituents are: {lookups.CONSTITUENTS}")
+        raise ValueError(f"Invalid constituent: {constituent}; known: {', '.join(lookups.CONSTITUENTS)}")
     return df.filter(codes.matches(F.col("stationparameter_no"), patterns))
 
 

@@ -24,13 +24,16 @@ def assign_outlets(registry: DataFrame, order: list[str] | None = None) -> DataF
     """Mapped stations with ``outlet_id``.
 
     Blank reach lists and missing models are dropped, the first row per (station, source) is kept
-    - first by ``order``, or by the row's own content - and the distinct (reach list, model) pairs
+    - first by ``order``; without one by the registry's ``row_order``, if it has that column, else by
+    the row's own content - and the distinct (reach list, model) pairs
     are numbered from 0 in sorted order.
     """
     trimmed = registry.withColumn("opnids", F.trim("opnids", F.lit(BLANKS))).filter(
         (F.col("opnids") != "") & F.col("repo_name").isNotNull()
     )
-    mapped = keep_first(trimmed, ["station_id", "source"], order or [])
+    if order is None:
+        order = ["row_order"] if "row_order" in registry.columns else []
+    mapped = keep_first(trimmed, ["station_id", "source"], order).drop("row_order")
     pair = ["opnids", "repo_name"]
     numbered = number_keys(mapped.select(*pair).distinct(), "opnids", pair, "outlet_id")
     return mapped.join(numbered, pair)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from tarnflow.functions import codes, measures, timing
-from tarnflow.operators.filters import drop_incomplete_keys
+from tarnflow.operators.filters import drop_incomplete_keys, parameter_scope
 
 RENAMES = {
     "station_no": "station_id",
@@ -65,8 +65,12 @@ def tag_origin(df: DataFrame, origin: str) -> DataFrame:
     return df.withColumn("station_origin", F.lit(origin))
 
 
-def available_series(df: DataFrame) -> DataFrame:
-    """Series on offer with their constituent: unit-value series only, repeats kept (A14, sensor)."""
+def available_series(df: DataFrame, constituent: str | None = None) -> DataFrame:
+    """Series on offer with their constituent (A14, sensor): unit-value series, repeats kept.
+
+    Only parameter numbers of the given constituent, or of any constituent, are on offer.
+    """
     from tarnflow.lookups import UNIT_SERIES
 
-    return df.filter(F.col("ts_name").isin(*UNIT_SERIES)).transform(sensor_columns)
+    rows = parameter_scope(df.filter(F.col("ts_name").isin(*UNIT_SERIES)), constituent)
+    return rows.transform(sensor_columns)

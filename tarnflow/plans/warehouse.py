@@ -14,8 +14,9 @@ from typing import NamedTuple
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from tarnflow import lookups, schemas
-from tarnflow.operators import outlets as outlet_ops, views
+from tarnflow.operators import outlets as outlet_ops, sensor, views
 from tarnflow.operators.baseflow import baseflow
+from tarnflow.operators.filters import quality_filter
 from tarnflow.operators.outlets import Outlets
 from tarnflow.plans import pipelines, query
 from tarnflow.shared import cut
@@ -54,7 +55,7 @@ def replace_station_rows(
     existing: DataFrame, incoming: DataFrame, stations: Iterable[str], column: str = "station_id", origin: str | None = None
 ) -> DataFrame:
     """Existing rows without these stations (of this origin, where the table has one), then the incoming ones (K4)."""
-    gone = F.col(column).isin(*stations)
+    gone = F.col(column).isin(*stations) if stations else F.lit(False)
     if origin is not None and "station_origin" in existing.columns:
         gone = gone & (F.col("station_origin") == origin)
     return existing.filter(~F.coalesce(gone, F.lit(False))).unionByName(incoming.select(*existing.columns))
@@ -63,8 +64,18 @@ def replace_station_rows(
 class Warehouse:
     """Tables under ``root``."""
 
-    def __init__(self, spark: SparkSession, root: str, buckets: int = 64):
-        self.spark, self.root, self.buckets = spark, root.rstrip("/"), buckets
+    def __init__(self, spark: SparkSession, root: str, buckets: int | None = None):
+        """Open or start a warehouse. ``buckets`` (64 if not given) is stored with it when it is started;
+        an existing one is opened with its own number, and any other is refused.
+        """
+        self.spark, self.root = spark, root.rstrip("/")
+        stored = self.exists("_buckets")
+        held = spark.read.schema("buckets int").parquet(self.path("_buckets")).first()[0] if stored else None
+        if None not in (held, buckets) and held != buckets:
+            raise ValueError(f"{root} is kept in {held} buckets, not {buckets}")
+        self.buckets = held or buckets or 64
+        if not stored:
+            self.spark.range(1).select(F.lit(self.buckets).alias("buckets")).write.parquet(self.path("_buckets"))
 
     # ---- Tables ---------------------------------------------------------------------------
 
@@ -74,10 +85,24 @@ class Warehouse:
     def _bucket(self, station) -> F.Column:
         return F.pmod(F.hash(station), F.lit(self.buckets))
 
+    def _files(self, name: str):
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.path(name))
+        return path.getFileSystem(self.spark._jsc.hadoopConfiguration()), path
+
     def exists(self, name: str) -> bool:
-        jvm = self.spark._jvm
-        path = jvm.org.apache.hadoop.fs.Path(self.path(name))
-        return path.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(path)
+        files, path = self._files(name)
+        return files.exists(path)
+
+    def _table(self, name: str) -> Table | None:
+        """What a table holds: its own columns, or those of the staging table it was promoted from."""
+        for source in TABLES:
+            if name in TABLES and self.exists(f"_promoted.{name}.{source}"):
+                return TABLES[source]
+        return TABLES.get(name)
+
+    def _unpromote(self, name: str) -> None:
+        files, path = self._files(f"_promoted.{name}")
+        files.delete(path, True)
 
     def validate(self, expected: Iterable[str] = tuple(TABLES)) -> None:
         """Error naming the tables that are missing (V2)."""
@@ -87,7 +112,7 @@ class Warehouse:
 
     def read(self, name: str, stations: Iterable[str] | None = None) -> DataFrame:
         """A table, or its rows of some stations (reading only their buckets)."""
-        table = TABLES.get(name)
+        table = self._table(name)
         if table is None:
             return self.spark.read.parquet(self.path(name))
         if table.station is None:
@@ -101,7 +126,7 @@ class Warehouse:
         return rows.drop(BUCKET)
 
     def _write(self, name: str, df: DataFrame, mode: str, dynamic: bool = False) -> None:
-        table = TABLES[name]
+        table = self._table(name)
         rows = schemas.conform(df, table.schema)
         if table.station is None:
             rows.write.mode(mode).parquet(self.path(name))
@@ -118,32 +143,43 @@ class Warehouse:
 
     def replace(self, name: str, df: DataFrame) -> None:
         """The whole table (K2). ``df`` must not read the table itself."""
+        self._unpromote(name)
         self._write(name, df, "overwrite")
 
     def promote(self, staging: str, target: str) -> None:
-        """A staging table copied as it is under another name (K3)."""
+        """A staging table copied as it is under another name, columns included (K3).
+
+        A table of the warehouse then has the staging table's columns until it is replaced.
+        """
         if target in TABLES:
-            self.replace(target, self.read(staging))
+            self._unpromote(target)
+            rows = self.read(staging)
+            self.spark.range(0).write.parquet(self.path(f"_promoted.{target}.{staging}"))
+            self._write(target, rows, "overwrite")
         else:
             self.read(staging).write.mode("overwrite").parquet(self.path(target))
 
     def replace_stations(self, name: str, df: DataFrame, stations: Iterable[str]) -> None:
         """Drop these stations' rows, then add ``df`` (K4).
 
-        Only the buckets of the stations are read and written; the swap happens when the job
-        commits. A bucket left without any row is emptied on its own, as a dynamic overwrite does
-        not touch partitions it has no rows for.
+        The buckets of these stations and of every station in ``df`` are read and written, since a
+        dynamic overwrite replaces each bucket it has rows for; other stations in them stay. The
+        swap happens when the job commits. A bucket left without any row is emptied on its own.
         """
-        table, stations = TABLES[name], list(stations)
-        # Used twice below, so computed once.
+        table, stations = self._table(name), list(stations)
+        bucket = self._bucket(F.col(table.station))
+        # Used several times below, so computed once; so is the merge.
         rows = cut(schemas.conform(df, table.schema))
-        numbers = self.spark.range(1).select(F.array(*[self._bucket(F.lit(s)) for s in stations])).first()[0]
-        touched = sorted(set(numbers))
+        named = self.spark.range(1).select(F.explode(F.array(*[self._bucket(F.lit(s)) for s in stations])).alias("b")) if stations else None
+        incoming = rows.select(bucket.alias("b")).distinct()
+        touched = sorted(r[0] for r in (incoming.union(named).distinct() if stations else incoming).collect())
+        if not touched:
+            return
         stored = T.StructType(table.schema.fields + [T.StructField(BUCKET, T.IntegerType())])
         existing = self.spark.read.schema(stored).parquet(self.path(name)).filter(F.col(BUCKET).isin(*touched))
         held = {r[0] for r in existing.select(BUCKET).distinct().collect()}
-        merged = replace_station_rows(existing.drop(BUCKET), rows, stations, table.station)
-        left = {r[0] for r in merged.select(self._bucket(F.col(table.station))).distinct().collect()}
+        merged = cut(replace_station_rows(existing.drop(BUCKET), rows, stations, table.station))
+        left = {r[0] for r in merged.select(bucket).distinct().collect()}
         self._write(name, merged, "overwrite", dynamic=True)
         for bucket in sorted(held - left):
             empty = self.spark.createDataFrame([], table.schema)
@@ -176,9 +212,12 @@ class Warehouse:
 
     def load_outlets(self, tables: Outlets) -> None:
         """Outlet tables into the warehouse (S11's target); broken constraints are an error."""
-        problems = outlet_ops.validate_outlets(tables).limit(5).collect()
-        if problems:
-            raise ValueError(f"Outlet tables break constraints: {problems}")
+        problems = outlet_ops.validate_outlets(tables)
+        counts = problems.groupBy("table_name", "rule").agg(F.count("*").alias("n_keys"), F.sum("n_rows").alias("n_rows"))
+        broken = [tuple(r) for r in counts.orderBy("table_name", "rule").collect()]  # a row per table and rule
+        if broken:
+            problems.write.mode("overwrite").parquet(self.path("outlets.broken"))
+            raise ValueError(f"Outlet tables break constraints, listed in {self.path('outlets.broken')}: {broken}")
         for name, df in zip(Outlets._fields, tables):
             self.replace(f"outlets.outlet_{name}", df)
 
@@ -240,6 +279,15 @@ class Warehouse:
     def outlet_observations(self) -> DataFrame:
         return views.outlet_observations(self.observations(), self.read("outlets.outlet_stations"))
 
+    def sensor_filtered(self, accepted: Iterable[int] | None = None) -> DataFrame:
+        """Staged sensor rows, normalised, with an accepted quality code (F1)."""
+        rows = sensor.normalize(type_sensor(self.read("staging.wiski")))
+        return quality_filter(rows, accepted) if accepted is not None else quality_filter(rows)
+
+    def sensor_hourly_view(self) -> DataFrame:
+        """Means per started hour of the filtered sensor rows."""
+        return sensor.hourly_bucket(self.sensor_filtered())
+
     def pairs(self) -> DataFrame:
         return outlet_ops.station_reach_pairs(
             self.read("outlets.outlet_stations"), self.read("outlets.outlet_reaches")
@@ -255,6 +303,8 @@ class Warehouse:
             "reports_wiski_qc_count": views.qc_counts(
                 self.read("staging.wiski"), self.read("mappings.wiski_quality_codes")
             ),
+            "analytics_wiski_hourly": self.sensor_hourly_view(),
+            "analytics_wiski_filtered": self.sensor_filtered(),
             "reports_constituent_summary": views.constituent_summary(obs),
             "reports_outlet_constituent_summary": views.outlet_constituent_summary(outlet_obs),
         }

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from tarnflow import lookups, schemas
 from tarnflow.functions.measures import without_nan
@@ -52,11 +53,29 @@ def load_parquet(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_station_registry(sensor: DataFrame, lab: DataFrame) -> DataFrame:
-    """Sensor and laboratory station tables as one registry."""
+    """Sensor and laboratory station tables as one registry.
+
+    ``row_order`` is each row's place in its files; where the tables aren't read from files, in
+    their partitions.
+    """
     shared = ["station_id", "true_opnid", "opnids", "comments", "modeled", "repo_name"]
-    sensor = sensor.select(*shared, "wplmn_flag", F.lit(lookups.SENSOR_ORIGIN).alias("source"))
-    lab = lab.select(*shared, F.lit(0).alias("wplmn_flag"), F.lit(lookups.LAB_ORIGIN).alias("source"))
-    return stack([schemas.conform(sensor, schemas.REGISTRY), schemas.conform(lab, schemas.REGISTRY)])
+    place = T.StructField("row_order", T.StructType().add("file", "string").add("block", "long").add("row", "long"))
+    schema = T.StructType([*schemas.REGISTRY.fields, place])
+    sensor = sensor.select(*shared, "wplmn_flag", F.lit(lookups.SENSOR_ORIGIN).alias("source"), row_order(sensor))
+    lab = lab.select(*shared, F.lit(0).alias("wplmn_flag"), F.lit(lookups.LAB_ORIGIN).alias("source"), row_order(lab))
+    return stack([schemas.conform(sensor, schema), schemas.conform(lab, schema)])
+
+
+def row_order(df: DataFrame) -> Column:
+    """Place of a row: file, block of the file, running number inside. Compares as the files are read."""
+    file, block = F.col("_metadata.file_path"), F.col("_metadata.file_block_start")
+    try:
+        df.select(file, block).schema  # resolved at once; frames not read from files have no such columns
+    except AnalysisException:
+        file, block = F.lit(""), F.lit(0)
+    return F.struct(
+        file.alias("file"), block.cast("bigint").alias("block"), F.monotonically_increasing_id().alias("row")
+    ).alias("row_order")
 
 
 def read_xref(spark: SparkSession, path: str) -> DataFrame:
