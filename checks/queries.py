@@ -191,8 +191,8 @@ def _(s, d):
     FROM sensor WHERE parametertype_id <> '99999' GROUP BY ALL""")
 def _(s, d):
     tables = sources.load_lookups(s)
-    labs = I.lab_raw(s, d).select(F.col("CAS_RN").alias("cas_rn")).join(F.broadcast(tables["equis_casrn"]), "cas_rn")
-    kinds = I.sensor(s, d).select("parametertype_id").join(F.broadcast(tables["wiski_parametertype"]), "parametertype_id")
+    labs = I.lab_raw(s, d).select(F.col("CAS_RN").alias("cas_rn")).join(tables["equis_casrn"], "cas_rn")
+    kinds = I.sensor(s, d).select("parametertype_id").join(tables["wiski_parametertype"], "parametertype_id")
     both = labs.unionByName(kinds.withColumnRenamed("parametertype_id", "cas_rn"))
     return both.groupBy("cas_rn", "constituent").agg(F.count("*").alias("n"))
 
@@ -384,7 +384,7 @@ def _(s, d):
         WHEN 'Total suspended solids' THEN 'TSS' WHEN 'Temperature, water' THEN 'WT' WHEN 'Nitrate as N' THEN 'NO3' END AS constituent,
         count(*) AS n FROM portal GROUP BY ALL""")
 def _(s, d):
-    known = I.portal_raw(s, d).join(F.broadcast(texts(s)), "parameter", "left")
+    known = I.portal_raw(s, d).join(texts(s), "parameter", "left")
     return known.groupBy("parameter", "constituent").agg(F.count("*").alias("n"))
 
 
@@ -409,7 +409,7 @@ def _(s, d):
     SELECT parametertype_id, CASE parametertype_id WHEN '11500' THEN 'Q' WHEN '11504' THEN 'WT' WHEN '11528' THEN 'OP' WHEN '11533' THEN 'DO' END AS constituent,
         count(*) AS n FROM sensor GROUP BY ALL""")
 def _(s, d):
-    done = I.sensor(s, d).join(F.broadcast(lookups.parameter_types(s)), "parametertype_id", "left")
+    done = I.sensor(s, d).join(lookups.parameter_types(s), "parametertype_id", "left")
     return done.groupBy("parametertype_id", "constituent").agg(F.count("*").alias("n"))
 
 

@@ -279,6 +279,11 @@ def calibrate(
 ) -> DataFrame:
     """``a`` and ``c`` per station with flow. Runs jobs: intermediate chunks are checkpointed."""
     chunks = cut(_with_neighbours(flow_chunks(df, months, min_per_year), "q"))
+    return _calibrated(chunks, seed_share, recession_share, grid)
+
+
+def _calibrated(chunks: DataFrame, seed_share: float, recession_share: float, grid: tuple[float, ...]) -> DataFrame:
+    """:func:`calibrate` on checkpointed chunks."""
     stations = chunks.select("station_id").distinct()
     slow = stations.join(recession_constants(chunks, recession_share), "station_id", "left").select(
         "station_id", F.coalesce("a", F.lit(FALLBACK_A)).alias("a")
@@ -307,7 +312,8 @@ def baseflow(
     """Baseflow rows (constituent QB, unit cfs) of every station with flow.
 
     ``a`` and ``c`` may be given for all stations, or per station in ``params``; otherwise they are
-    calibrated. With given values the result is one lazy plan.
+    calibrated on checkpointed chunks, which runs jobs at once. With given values the result is one
+    lazy plan. ``recession_share`` and ``grid`` are passed on to the calibration.
     """
     if method not in METHODS:
         raise ValueError(f"Baseflow method {method} not recognized. Known methods are: {METHODS}")
@@ -319,7 +325,8 @@ def baseflow(
             known = chunks.withColumns({"a": F.lit(float(a)), "c": F.lit(float(c))})
         else:
             if params is None:
-                params = calibrate(df, months, min_per_year, seed_share, recession_share, grid)
+                chunks = cut(chunks)  # read for calibration and again for the result; df only once
+                params = _calibrated(chunks, seed_share, recession_share, grid)
             known = chunks.join(params.select("station_id", "a", "c"), "station_id")
         arguments = [F.col("q"), F.col("a"), F.col("c"), F.col("before")]
         done = _scan(known, *_boughton_udfs(seed_share), arguments)

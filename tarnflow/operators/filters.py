@@ -51,7 +51,7 @@ def lab_extract_filter(
 
 def supported_parameters(df: DataFrame, texts: DataFrame) -> DataFrame:
     """Portal rows whose parameter text is known (F4). ``texts`` is the fixed parameter map."""
-    return df.join(F.broadcast(texts.select("parameter")), "parameter", "left_semi")
+    return df.join(texts.select("parameter"), "parameter", "left_semi")
 
 
 def after_1996(df: DataFrame, column: str = "datetime") -> DataFrame:
@@ -72,16 +72,16 @@ def hydrologic_unit_filter(df: DataFrame, prefix: str, column: str = "stn_HUC12"
 def preferred_series(df: DataFrame) -> DataFrame:
     """Per station and constituent the unit-value series if there is one, else the daily series (F8).
 
-    The names to look for are a small fixed table. The best resolution is a map-side combined
-    minimum, joined back; a busy station is never gathered in one task as a window would.
+    The choice is made on the table of different series, a map-side combined aggregate of a few
+    rows a station; the rows are then kept by a semi-join with the series chosen.
     """
     names = lookups.series_resolutions(df.sparkSession)
-    ranked = df.withColumn("external", codes.is_external(F.col("station_no"))).join(
-        names, ["constituent", "external", "ts_name"]
-    )
     keys = ["station_no", "constituent"]
+    series = df.select(*keys, "ts_name").distinct().withColumn("external", codes.is_external(F.col("station_no")))
+    ranked = series.join(names, ["constituent", "external", "ts_name"])
     best = ranked.groupBy(*keys).agg(F.min("resolution").alias("resolution"))
-    return ranked.join(best, [*keys, "resolution"], "left_semi").select(*df.columns)
+    chosen = ranked.join(best, [*keys, "resolution"]).select(*keys, "ts_name")
+    return df.join(chosen, [*keys, "ts_name"], "left_semi").select(*df.columns)
 
 
 def series_coverage(df: DataFrame, time: str = "datetime") -> DataFrame:

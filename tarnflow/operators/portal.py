@@ -27,7 +27,7 @@ def portal_values(df: DataFrame, texts: DataFrame) -> DataFrame:
     value, unit = measures.portal_measure(measures.without_nan(number), F.col("resultUnit"))
     return (
         df.filter(F.col("result").isNull() | (F.col("result") != "(null)"))
-        .join(F.broadcast(texts), "parameter", "left")
+        .join(texts, "parameter", "left")
         .select(
             "datetime",
             value.alias("value"),

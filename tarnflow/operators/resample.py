@@ -89,7 +89,11 @@ def resample(df: DataFrame, period: str, columns: list[str], agg: str = "mean")
         if agg == "sum":
             own = calendar.anchor(F.col("_first"))
             start, stop = calendar.bin(calendar.base(F.col("_first")), own), calendar.bin(F.col("_last"), own)
-            every = span.filter("_first is not null").select(F.explode(F.sequence(start, stop)).alias("_bin"))
+            # In blocks that are dealt out before they are filled, so that no task makes the whole calendar.
+            blocks = span.filter("_first is not null").select(
+                stop.alias("_stop"), F.explode(F.sequence(start.cast("bigint"), stop.cast("bigint"), F.lit(4096))).alias("_block")
+            ).repartition("_block")
+            every = blocks.select(F.explode(F.sequence("_block", F.least(F.col("_block") + 4095, F.col("_stop")))).alias("_bin"))
             numbered = every.join(numbered, "_bin", "left")
         binned = numbered.withColumn("_label", calendar.label(F.col("_bin"), anchor))
 
@@ -207,7 +211,9 @@ def exact_percentile(df: DataFrame, keys: list[str], column: str, share: float,
         .agg(F.sum("_c").alias("_count"))
     )
     upto = Window.partitionBy(*keys).orderBy(F.col("_value").asc_nulls_first())
-    ranked = slices.withColumn("_upto", F.sum("_count").over(upto)).filter(F.col("_value").isNotNull())
+    below = F.sum(F.when(F.col("_value").isNull(), F.col("_count"))).over(Window.partitionBy(*keys))
+    ranked = slices.withColumns({"_upto": F.sum("_count").over(upto), "_below": F.coalesce(below, F.lit(0))})
+    ranked = ranked.filter(F.col("_value").isNotNull())
 
     def at(position: Column) -> Column:
         # The value at a 0-based position is the smallest whose running count exceeds it.
@@ -215,7 +221,12 @@ def exact_percentile(df: DataFrame, keys: list[str], column: str, share: float,
 
     lower, upper = at(F.floor("_rank")), at(F.ceil("_rank"))
     part = F.min("_rank") - F.floor(F.min("_rank"))
-    found = ranked.groupBy(*keys).agg((lower + (upper - lower) * part).alias(column))
+    # The sketch must have enclosed the rank: fewer values below it, and one that reaches it.
+    enclosed = (F.max("_below") <= F.floor(F.min("_rank"))) & upper.isNotNull()
+    value = F.when(enclosed, lower + (upper - lower) * part).otherwise(
+        F.raise_error(F.lit("percentile: the sketch did not enclose the rank")).cast("double")
+    )
+    found = ranked.groupBy(*keys).agg(value.alias(column))
     empty = bounds.filter("_n = 0").select(
         *[F.col(n).alias(k) for k, n in zip(keys, names)], F.lit(None).cast("double").alias(column)
     )
