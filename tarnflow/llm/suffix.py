@@ -17,8 +17,8 @@ gram only are borders: some of their strings may be repeated. A level keeps the
 each stretch. Where a level of the batch's size exists, both are merged to one of twice the size.
 Batches come in the order of keys, so existing levels are always earlier.
 
-*Borders.* At the end the strings of all borders, and of no other suffix, are read from the texts
-and their first starts found by equality of 128 bits of hash.
+*Borders.* At the end the stretches of all borders, and of no other suffix, are cut out of the texts
+and the first starts of their strings found by equality of 128 bits of hash.
 
 Repeats are first looked for inside each block of documents. So a passage that a third of all rows
 share reaches a shuffle once a block, not once a row, and no step gathers a group.
@@ -27,6 +27,7 @@ share reaches a shuffle once a block, not once a row, and no step gathers a grou
 from __future__ import annotations
 
 import hashlib
+import zlib
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -36,7 +37,8 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from tarnflow.llm.common import release, remove, written
 
-GRAM = 24
+GRAM = 40
+ROUNDS = 4  # in which borders are compared, by gram; only one round's shuffle is on disk
 BLOCK = 1 << 20  # bytes worked on at once
 SEGMENT = 1 << 19  # longer texts are worked on in overlapping segments
 U = np.uint64
@@ -249,53 +251,73 @@ class SuffixFamily:
         return release(spark)
 
     def spans(self, docs: DataFrame) -> DataFrame:
-        """``id``, ``text`` and ``codes`` of ``docs(id, text)``: start << 32 | end of what is repeated, or null."""
+        """``id``, ``text`` and ``codes`` of ``docs(id, text)``: start << 32 | end of what is repeated, or null.
+
+        Borders' stretches are cut out of the texts, their strings compared, and what is repeated
+        joined to the texts: three written steps, so that only one of them has its shuffle on disk.
+        """
         length, found = self.length, self.found[0]
         for more in self.found[1:]:
             found = found.union(more)
         borders = found.where(F.col("kind") == BORDER).groupBy("id").agg(F.collect_set("at").alias("codes"))
-        known = found.where(F.col("kind") == REPEATED).selectExpr(
-            "id", f"shiftleft({_LOW}, 32) | ({_HIGH} + {length}) AS code"
-        )
 
-        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for batch in batches:
+                batch = batch[batch["text"].notna()]
+                out = []
+                for name, text, at in zip(batch["id"].tolist(), batch["text"], batch["codes"]):
+                    raw, at = text.encode(), np.asarray(at, dtype=np.int64)
+                    low, high = (at >> 17) - ((at >> 9) & 255), (at >> 17) - ((at >> 1) & 255) + length
+                    out += [
+                        (name, a, raw[a:b], zlib.crc32(raw[c : c + GRAM]) % ROUNDS)
+                        for a, b, c in zip(low.tolist(), high.tolist(), (at >> 17).tolist())
+                    ]
+                yield pd.DataFrame(out, columns=["id", "start", "stretch", "round"])
+
+        def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for batch in batches:
-                batch = batch[batch["codes"].notna()]
-                raw = [t.encode() for t in batch["text"]]
-                places = dict(zip(batch["id"].tolist(), batch["codes"]))
-                for buffer, names, begins, ends in blocks(batch["id"].tolist(), raw, length):
-                    yield from border_strings(buffer, names, begins, ends, places, length)
-
-        joined = docs.join(borders, "id", "left")
-        strings = joined.mapInPandas(run, "h1 bigint, h2 bigint, id bigint, at bigint, size bigint")
+                ends = batch["stretch"].map(len).cumsum().to_numpy()
+                for rows in _split(batch, ends):
+                    yield from strings(rows["id"].to_numpy(), rows["start"].to_numpy(), rows["stretch"].tolist(), length)
+
+        stretches = written(docs.join(borders, "id").mapInPandas(cut, "id bigint, start bigint, stretch binary, round int"))
+        release(docs.sparkSession)
         first = Window.partitionBy("h1", "h2").orderBy("id", "at")
-        repeated = strings.withColumn("n", F.row_number().over(first)).where("n > 1 or at & 1 = 1")
-        repeated = repeated.selectExpr("id", "shiftleft(shiftright(at, 1), 32) | (shiftright(at, 1) + size) AS code")
+        repeated = None
+        for k in range(ROUNDS):  # equal strings have equal grams
+            rows = stretches.where(F.col("round") == k).mapInPandas(compare, "h1 bigint, h2 bigint, id bigint, at bigint, size bigint")
+            rows = rows.withColumn("n", F.row_number().over(first)).where("n > 1 or at & 1 = 1")
+            part = written(rows.selectExpr("id", "shiftleft(shiftright(at, 1), 32) | (shiftright(at, 1) + size) AS code"))
+            repeated = part if repeated is None else repeated.union(part)
+            release(docs.sparkSession)
+        remove(stretches)
+        known = found.where(F.col("kind") == REPEATED).selectExpr(
+            "id", f"shiftleft({_LOW}, 32) | ({_HIGH} + {length}) AS code"
+        )
         codes = known.union(repeated).groupBy("id").agg(F.collect_list("code").alias("codes"))
         return docs.join(codes, "id", "left")
 
 
-def border_strings(buffer, names, begins, ends, places, length) -> Iterator[pd.DataFrame]:
-    """Strings of the borders of one block: two hashes, key, place and size; the last bit of the
-    place tells a run that is repeated inside the block and has a random hash."""
-    starts = np.r_[0, ends[:-1]]
-    low, count, part = [], [], []
-    for k, (name, begin, end, start) in enumerate(zip(names, begins, ends, starts)):
-        at = np.sort(np.asarray(places[name], dtype=np.int64))
-        a = (at >> 17) - ((at >> 9) & 255) - begin
-        b = (at >> 17) - ((at >> 1) & 255) - begin
-        a, b = np.maximum(a, 0), np.minimum(b, end - start - length)
-        good = a <= b
-        low.append(a[good] + start)
-        count.append((b - a + 1)[good])
-        part.append(np.full(int(good.sum()), k))
-    low, count, part = np.concatenate(low), np.concatenate(count), np.concatenate(part)
-    if not len(low):
-        return
-    position = np.repeat(low - (np.cumsum(count) - count), count) + np.arange(count.sum())
-    part = np.repeat(part, count)
+def _split(batch: pd.DataFrame, ends: np.ndarray) -> Iterator[pd.DataFrame]:
+    """Rows in runs of about BLOCK bytes, given the cumulated sizes."""
+    bounds = np.searchsorted(ends, np.arange(BLOCK, ends[-1], BLOCK)) if len(ends) else []
+    bounds = [0, *bounds, len(batch)]
+    for low, high in zip(bounds, bounds[1:]):
+        if high > low:
+            yield batch.iloc[low:high]
+
+
+def strings(names: np.ndarray, starts: np.ndarray, stretches: list[bytes], length: int) -> Iterator[pd.DataFrame]:
+    """All strings of some stretches: two hashes, key, place and size. The last bit of the place
+    tells a run that is repeated among these stretches; it has hashes of its own."""
+    sizes = np.fromiter(map(len, stretches), dtype=np.int64, count=len(stretches))
+    begin = np.cumsum(sizes) - sizes
+    count = np.maximum(sizes - length + 1, 0)
+    part = np.repeat(np.arange(len(sizes)), count)
+    inside = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+    position, name, place = begin[part] + inside, names[part], starts[part] + inside
+    buffer = b"".join(stretches)
     h1, h2 = (Codes(buffer, seed).of(position, position + length) for seed in (0, 1))
-    name, place = names[part], position - starts[part] + begins[part]
     order = np.lexsort((place, name, h2, h1))
     same = np.zeros(len(order), dtype=bool)
     same[order[1:]] = (h1[order][1:] == h1[order][:-1]) & (h2[order][1:] == h2[order][:-1])
@@ -314,6 +336,14 @@ def border_strings(buffer, names, begins, ends, places, length) -> Iterator[pd.D
         })
 
 
+def plain_keys(docs: DataFrame, key: str) -> bool:
+    """Whether keys are integers without nulls and repeats."""
+    if docs.schema[key].dataType.simpleString() not in ("bigint", "int", "smallint", "tinyint"):
+        return False
+    odd = docs.groupBy(docs[key].alias("key")).agg(F.count("*").alias("n")).where("n > 1 or key is null")
+    return odd.isEmpty()
+
+
 def numbered(docs: DataFrame, key: str, text: str) -> tuple[DataFrame, DataFrame | None]:
     """``docs(id, text)`` with unique ids in the order of keys, and ``(id, key)`` if ids are not the keys.
 
@@ -321,10 +351,8 @@ def numbered(docs: DataFrame, key: str, text: str) -> tuple[DataFrame, DataFrame
     order of (key, text), nulls first: of repeated rows one counts as earlier, whichever.
     """
     plain = docs.select(docs[key].alias("key"), docs[text].cast("string").alias("text"))
-    if plain.schema["key"].dataType.simpleString() in ("bigint", "int", "smallint", "tinyint"):
-        odd = plain.groupBy("key").agg(F.count("*").alias("n")).where("n > 1 or key is null")
-        if odd.isEmpty():
-            return plain.select(F.col("key").cast("bigint").alias("id"), "text"), None
+    if plain_keys(docs, key):
+        return plain.select(F.col("key").cast("bigint").alias("id"), "text"), None
     rows = written(plain.orderBy("key", "text").withColumn("id", F.monotonically_increasing_id()))
     return rows.select("id", "text"), rows.select("id", "key")
 
@@ -376,3 +404,16 @@ def dedup(
     if keys is None:
         return found.select(F.col("id").cast(docs.schema[key].dataType).alias(key), *columns[1:])
     return found.join(keys, "id").select(F.col("key").alias(key), *columns[1:])
+
+
+def remove_repeats(docs: DataFrame, length: int = 100, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
+    """``docs`` with every repeated byte removed from ``text``; all rows and columns, see :func:`dedup`.
+
+    Null and repeated keys are allowed: such rows are numbered first, as :func:`numbered` does.
+    """
+    if not plain_keys(docs, key):
+        number = next(f"_row{k}" for k in range(len(docs.columns) + 1) if f"_row{k}" not in docs.columns)
+        rows = written(docs.orderBy(key, text).withColumn(number, F.monotonically_increasing_id()))
+        return remove_repeats(rows, length, number, text, **options).select(*docs.columns)
+    found = dedup(docs, length, key=key, text=text, with_text=True, **options)
+    return docs.drop(text).join(found.select(key, F.col("kept").alias(text)), key).select(*docs.columns)
