@@ -55,9 +55,16 @@ def damped_hashes(text: str, seed: int = 42) -> list[int]:
     return [h for w, n in counts.items() for h in [xxhash.xxh64_intdigest(w, seed)] * round(n**0.5)]
 
 
+def again(hashes: list[int]) -> list[int]:
+    """Further 64 bits from each hash."""
+    x = np.array(hashes, dtype=np.uint64)
+    x = (x ^ (x >> np.uint64(31))) * np.uint64(0x9FB21C651E98DF25)
+    return ((x ^ (x >> np.uint64(29))) * np.uint64(0xD6E8FEB86659FD93)).tolist()
+
+
 def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = 3, damped: bool = False) -> DataFrame:
     """``key`` and ``fp``, the 64-bit fingerprint as a signed long, of every row; with ``damped`` also
-    ``damped``, a fingerprint of single words.
+    ``more``, 64 further bits of the same kind, and ``damped``, a fingerprint of single words.
 
     A null text counts as empty; a text without words has fingerprint zero. Whole texts are used.
     Repeated rows and ties need no rule: each row is taken for itself. Other columns are not read.
@@ -65,12 +72,14 @@ def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text", words
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             texts = batch["_text"].fillna("").tolist()
-            out = {"_key": batch["_key"].array, "fp": np.array([majority(shingle_hashes(t, words)) for t in texts], dtype=np.int64)}
+            hashes = [shingle_hashes(t, words) for t in texts]
+            out = {"_key": batch["_key"].array, "fp": np.array(list(map(majority, hashes)), dtype=np.int64)}
             if damped:
+                out["more"] = np.array([majority(again(h)) for h in hashes], dtype=np.int64)
                 out["damped"] = np.array([majority(damped_hashes(t)) for t in texts], dtype=np.int64)
             yield pd.DataFrame(out)
 
-    kinds = "_key string, fp bigint" + ", damped bigint" * damped
+    kinds = "_key string, fp bigint" + ", more bigint, damped bigint" * damped
     return unkeyed(keyed(docs, key, text).mapInPandas(run, kinds), docs, key)
 
 
@@ -101,15 +110,15 @@ def cut_bits(low: int, size: int, pieces: int) -> list[tuple[int, int]]:
 def links(nodes: DataFrame, distance: int = 2, check: int | None = None, hot: int = 64) -> DataFrame:
     """All pairs ``a > b`` of nodes whose fingerprints ``fp`` differ in at most ``distance`` bits.
 
-    ``nodes`` has different longs ``node`` with ``fp`` and, if ``check`` is given, a second fingerprint
-    ``other`` that must differ in at most ``check`` bits. Groups of at most ``hot`` members are compared
+    ``nodes`` has different longs ``node`` with ``fp`` and, if ``check`` is given, a second fingerprint of two
+    longs ``other`` and ``more`` that must differ in at most ``check`` bits. Groups of at most ``hot`` members are compared
     pair by pair in a join; larger ones are refined first.
     """
     first = cut_bits(0, 64, distance // 2 + 1)
-    carried = ["node", "fp"] + ["other"] * (check is not None)
+    carried = ["node", "fp"] + ["other", "more"] * (check is not None)
     close = f"a.code = b.code and a.node > b.node and bit_count(a.fp ^ b.fp) <= {distance}"
     if check is not None:
-        close += f" and bit_count(a.other ^ b.other) <= {check}"
+        close += f" and bit_count(a.other ^ b.other) + bit_count(a.more ^ b.more) <= {check}"
     indexed = nodes.select(*carried, F.explode(variants(F.col("fp"), first)).alias("v")).select(
         *carried, F.xxhash64("v.place", "v.rest").alias("code"), F.col("v.place").alias("place"),
     )
@@ -162,19 +171,19 @@ def classes(members: DataFrame, found: DataFrame, key: str) -> DataFrame:
 
 
 def keep_first(
-    docs: DataFrame, words: int = 5, distance: int = 5, check: int = 12, key: str = "doc_id", text: str = "text",
+    docs: DataFrame, words: int = 5, distance: int = 5, check: int = 21, key: str = "doc_id", text: str = "text",
 ) -> DataFrame:
     """``docs`` with one document, that of smallest key, of each group of near-duplicates; all columns.
 
     Near-duplicates agree in about 0.8 of their shingles of ``words`` words. Their shingle fingerprints
-    then still differ in about ten bits, too many to index; so candidates are found by the fingerprint
-    of single words, which edits change less (``distance`` bits), and kept if the shingle
-    fingerprints differ in at most ``check`` bits: 12 of 64 stand for a similarity of 0.75 to 0.85,
-    unrelated texts differ in 32. Rows with a null key stay; of repeated keys one row stays.
+    then still differ in about 15 % of the bits, too many to index; so candidates are found by the
+    fingerprint of single words, which edits change less (``distance`` bits), and kept if shingle
+    fingerprints of 128 bits differ in at most ``check``: 19 stand for a similarity of 0.8, 25 for
+    0.7, and unrelated texts differ in 64. Rows with a null key stay; of repeated keys one row stays.
     """
     prints = fingerprints(docs, key, text, words, damped=True)
-    prints = written(prints.withColumn("node", F.xxhash64("damped", "fp")))
-    nodes = prints.select("node", F.col("damped").alias("fp"), F.col("fp").alias("other")).distinct()
+    prints = written(prints.withColumn("node", F.xxhash64("damped", "fp", "more")))
+    nodes = prints.select("node", F.col("damped").alias("fp"), F.col("fp").alias("other"), "more").distinct()
     named = classes(prints, components(links(nodes, distance, check)), key)
     firsts = written(named.select(F.col("component_id").alias(key)).where(F.col(key).isNotNull()).distinct())
     release(docs.sparkSession)
