@@ -63,6 +63,15 @@ def unkeyed(df: DataFrame, docs: DataFrame, key: str) -> DataFrame:
     return df.select(df["_key"].cast(docs.schema[key].dataType).alias(key), *rest)
 
 
+def sampled(rows: DataFrame, n_rows, wanted: int, *by) -> DataFrame:
+    """About ``wanted`` of ``n_rows`` rows (a number or a column), those of smallest hash of ``by``.
+
+    A row is in by its own hash alone, so nothing is sorted or gathered, and retries agree.
+    """
+    share = F.xxhash64(*by).cast("double") / 2.0**64 + 0.5
+    return rows.where(share < F.lit(float(wanted)) / n_rows)
+
+
 def parts(spark: SparkSession, least: int = 1) -> int:
     return max(least, int(spark.conf.get("spark.sql.shuffle.partitions")))
 

@@ -11,8 +11,8 @@ frozen counts the cost of (context, byte) is a constant, so whole code lengths a
 entries: two gathers per byte for all languages together.
 
 Symbols are bytes after lower-casing A-Z; the ``SYMBOLS - 1`` commonest of the sample have a symbol
-of their own, all others share the last. The sample is bounded: ``per_language`` whole documents
-of each language, those of smallest key hash. Scoring covers every byte of every text.
+of their own, all others share the last. The sample is bounded: about ``per_language`` whole
+documents of each language, those of smallest hash. Scoring covers every byte of every text.
 """
 
 from __future__ import annotations
@@ -21,9 +21,9 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from tarnflow.llm.common import keyed, unkeyed
+from tarnflow.llm.common import keyed, sampled, unkeyed
 
 SYMBOLS = 64
 BLOCK = 1 << 21  # bytes scored at once
@@ -121,15 +121,18 @@ class ContextTrees:
 
 
 def training(docs: DataFrame, key: str, text: str, lang: str, condition: Column, per_language: int) -> dict[str, list[bytes]]:
-    """Bounded sample: per language the ``per_language`` rows of smallest key hash, whole texts."""
+    """Bounded sample: per language about ``per_language`` rows of smallest hash, whole texts.
+
+    Counts per language come first, so each row tells by its own hash whether it is in.
+    """
     rows = docs.where(condition & F.col(lang).isNotNull() & F.col(text).isNotNull() & (F.length(text) > 0))
-    rows = rows.select(F.col(lang).alias("lang"), F.col(text).alias("text"), F.xxhash64(F.col(key).cast("string"), text).alias("h"))
-    window = Window.partitionBy("lang").orderBy("h", F.col("text"))
-    rows = rows.withColumn("n", F.row_number().over(window)).where(F.col("n") <= per_language).select("lang", "text")
-    out: dict[str, list[bytes]] = {}
-    for row in rows.orderBy("lang").toLocalIterator():
-        out.setdefault(row["lang"], []).append(row["text"].encode())
-    return out
+    rows = rows.select(F.col(lang).alias("lang"), F.col(text).alias("text"), F.col(key).cast("string").alias("key"))
+    counts = rows.groupBy("lang").count().collect()  # a row per language
+    if not counts:
+        return {}
+    held = F.create_map(*[F.lit(x) for r in counts for x in (r["lang"], float(r["count"]))])[F.col("lang")]
+    chosen = sampled(rows, held, per_language, "key", "text").select("lang", "text").toPandas()
+    return {name: [t.encode() for t in sorted(part["text"])] for name, part in chosen.groupby("lang")}
 
 
 def predict(
@@ -138,7 +141,7 @@ def predict(
 ) -> DataFrame:
     """``key``, ``lang_pred``, ``score`` and ``bits_per_byte`` of every row.
 
-    Trees are learned from rows where ``train_on`` holds and the language is known; at most
+    Trees are learned from rows where ``train_on`` holds and the language is known; about
     ``per_language`` documents a language are sent to the driver (about 4 MB a language at 4 KB a
     document), since a context tree of order 3 is settled long before. A prediction looks at the
     text alone. The prediction is the language of shortest code, ties to the first in order; the
