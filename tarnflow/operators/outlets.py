@@ -35,7 +35,7 @@ def assign_outlets(registry: DataFrame, order: list[str] | None = None) -> DataF
         order = ["row_order"] if "row_order" in registry.columns else []
     mapped = keep_first(trimmed, ["station_id", "source"], order).drop("row_order")
     pair = ["opnids", "repo_name"]
-    numbered = number_keys(mapped.select(*pair).distinct(), "opnids", pair, "outlet_id")
+    numbered = number_keys(mapped.select(*pair).distinct(), pair, "outlet_id")
     return mapped.join(numbered, pair)
 
 

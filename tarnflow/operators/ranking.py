@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
+from tarnflow.shared import cut
+
 
 def keep_first(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     """First row per key (W3), as a map-side combined minimum instead of a window.
@@ -15,22 +17,22 @@ def keep_first(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     return kept.select(*keys, "_row.*").select(*df.columns)
 
 
-def number_keys(keys: DataFrame, lead: str, order: list[str], name: str, prefix: int = 4) -> DataFrame:
-    """Number distinct rows from 0 in the order of ``order``, whose first column is text ``lead``.
+def number_keys(keys: DataFrame, order: list[str], name: str) -> DataFrame:
+    """Number distinct rows from 0 in the order of ``order``.
 
-    A ranking window without a partition would put every key in one task. Here keys are ranked
-    inside buckets that share the first characters of ``lead`` (which sort the same way as the
-    whole text), and each bucket is moved up by the number of keys in the buckets before it. Only
-    the one-row-per-prefix table of bucket sizes is summed up in a single place.
+    A ranking window without a partition would put every key in one task. Here the keys are sorted
+    by ranges of the whole key and kept with their place in their range, which also spares later
+    uses the work that made them; each range is moved up by the sizes of the ranges before it.
+    Only the one-row-per-range table of sizes is summed up in a single place.
     """
-    bucketed = keys.withColumn("_bucket", F.substring(lead, 1, prefix))
-    sizes = bucketed.groupBy("_bucket").agg(F.count("*").alias("_size"))
-    before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    starts = sizes.select("_bucket", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_start"))
-    inside = F.row_number().over(Window.partitionBy("_bucket").orderBy(*order)) - 1
+    placed = cut(keys.orderBy(*order).withColumn("_at", F.monotonically_increasing_id()))
+    placed = placed.withColumn("_range", F.shiftright("_at", 33))
+    sizes = placed.groupBy("_range").agg(F.count("*").alias("_size"))
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.select("_range", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_start"))
+    inside = F.col("_at") - F.shiftleft("_range", 33)
     return (
-        bucketed.withColumn("_inside", inside)
-        .join(starts, "_bucket")
-        .withColumn(name, (F.col("_start") + F.col("_inside")).cast("int"))
-        .drop("_bucket", "_inside", "_start")
+        placed.join(starts, "_range")
+        .withColumn(name, (F.col("_start") + inside).cast("int"))
+        .drop("_at", "_range", "_start")
     )

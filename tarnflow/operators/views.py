@@ -27,20 +27,23 @@ def append_derived(df: DataFrame, derived: DataFrame) -> DataFrame:
     return df.unionByName(derived.select(*df.columns))
 
 
-def outlet_join(obs: DataFrame, stations: DataFrame) -> DataFrame:
-    """Observations with the outlet of their station.
+STATION_KEYS = ("station_id", "station_origin")
+
+
+def outlet_join(obs: DataFrame, stations: DataFrame, keys: tuple[str, ...] = STATION_KEYS) -> DataFrame:
+    """Observations with the outlet of their station (J3); ``keys`` may add a column both are stored by.
 
     No hint: the station table is broadcast when its measured size allows; otherwise the shuffled
     join has its hot stations split by the adaptive planner.
     """
-    link = stations.filter(F.col("outlet_id").isNotNull()).select("station_id", "station_origin", "outlet_id")
-    return obs.join(link, ["station_id", "station_origin"])
+    link = stations.filter(F.col("outlet_id").isNotNull()).select(*keys, "outlet_id")
+    return obs.join(link, list(keys))
 
 
-def outlet_observations(obs: DataFrame, stations: DataFrame) -> DataFrame:
+def outlet_observations(obs: DataFrame, stations: DataFrame, keys: tuple[str, ...] = STATION_KEYS) -> DataFrame:
     """Mean and count per outlet, constituent and time (A4)."""
     return (
-        outlet_join(obs, stations)
+        outlet_join(obs, stations, keys)
         .groupBy("datetime", "outlet_id", "constituent")
         .agg(F.avg("value").alias("value"), F.count("value").alias("count"))
     )

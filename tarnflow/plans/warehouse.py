@@ -110,7 +110,7 @@ class Warehouse:
         if missing:
             raise ValueError(f"Missing tables: {', '.join(missing)}")
 
-    def read(self, name: str, stations: Iterable[str] | None = None) -> DataFrame:
+    def read(self, name: str, stations: Iterable[str] | None = None, with_bucket: bool = False) -> DataFrame:
         """A table, or its rows of some stations (reading only their buckets)."""
         table = self._table(name)
         if table is None:
@@ -123,7 +123,7 @@ class Warehouse:
             stations = list(stations)
             buckets = [self._bucket(F.lit(s)) for s in stations]
             rows = rows.filter(F.col(BUCKET).isin(*buckets) & F.col(table.station).isin(*stations))
-        return rows.drop(BUCKET)
+        return rows if with_bucket else rows.drop(BUCKET)
 
     def _write(self, name: str, df: DataFrame, mode: str, dynamic: bool = False) -> None:
         table = self._table(name)
@@ -276,6 +276,14 @@ class Warehouse:
     def observations(self, stations: Iterable[str] | None = None) -> DataFrame:
         return views.observations(self.read("analytics.equis", stations), self.read("analytics.wiski", stations))
 
+    def observations_of_outlet(self, outlet: int) -> DataFrame:
+        """A4 of one outlet. The bucket is joined on as well, so that only its stations' buckets are read."""
+        stations = self.read("outlets.outlet_stations").filter(F.col("outlet_id") == outlet)
+        stations = stations.withColumn(BUCKET, self._bucket(F.col("station_id")))
+        columns = [*schemas.OBSERVATION.fieldNames(), BUCKET]
+        lab, wiski = (self.read(f"analytics.{name}", with_bucket=True).select(*columns) for name in ("equis", "wiski"))
+        return views.outlet_observations(lab.unionByName(wiski), stations, (BUCKET, *views.STATION_KEYS))
+
     def outlet_observations(self) -> DataFrame:
         return views.outlet_observations(self.observations(), self.read("outlets.outlet_stations"))
 
@@ -319,7 +327,7 @@ class Warehouse:
         return query.observation_data(self.observations(stations), stations, constituent, period, agg)
 
     def outlet_data(self, outlet: int, constituent: str, period: str | None = "D", agg: str | None = None) -> DataFrame:
-        return query.outlet_data(views.with_flow(self.outlet_observations()), outlet, constituent, period, agg)
+        return query.outlet_data(views.with_flow(self.observations_of_outlet(outlet)), outlet, constituent, period, agg)
 
     def station_data(self, station: str, origin: str) -> DataFrame:
         return query.station_data(self.observations([station]), station, origin)

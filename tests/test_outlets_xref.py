@@ -71,7 +71,7 @@ def test_number_keys_equals_sorting(spark):
     keys = {("".join(rng.choice("0123456789,. ") for _ in range(rng.randint(1, 7))), rng.choice("ab")) for _ in range(500)}
     keys |= {("7", "a"), ("7", "b"), ("700000", "a"), ("7,", "a")}
     df = spark.createDataFrame(list(keys), "opnids string, repo_name string")
-    got = {(r[0], r[1]): r[2] for r in ranking.number_keys(df, "opnids", ["opnids", "repo_name"], "n").collect()}
+    got = {(r[0], r[1]): r[2] for r in ranking.number_keys(df, ["opnids", "repo_name"], "n").collect()}
     assert got == {k: i for i, k in enumerate(sorted(keys))}
 
 
