@@ -153,32 +153,47 @@ def predict(
     shared = docs.sparkSession.sparkContext.broadcast(ContextTrees(samples)) if samples else None
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        trees = shared.value if shared else None
         for batch in batches:
-            texts = batch["_text"].fillna("").tolist()
-            known = np.array([any(map(str.isalpha, t)) for t in texts], dtype=bool)
-            if trees is None:
-                known[:] = False
-            names, score, rate = np.full(len(texts), UNKNOWN, dtype=object), np.zeros(len(texts)), np.zeros(len(texts))
-            if known.any():
-                raw = [t.encode() for t, k in zip(texts, known) if k]
-                per = trees.bits(raw) / np.array([max(1, len(r)) for r in raw])[:, None]
-                best = per.argmin(axis=1)
-                names[known] = np.array(trees.languages, dtype=object)[best]
-                low = per.min(axis=1)
-                score[known] = 1 / np.exp2(8 * (low[:, None] - per)).sum(axis=1)
-                rate[known] = low
+            names, score, rate = judged(shared.value if shared else None, batch["_text"].fillna("").tolist())
             yield pd.DataFrame({"_key": batch["_key"].array, "lang_pred": names, "score": score, "bits_per_byte": rate})
 
     found = keyed(docs, key, text).mapInPandas(run, "_key string, lang_pred string, score double, bits_per_byte double")
     return unkeyed(found, docs, key)
 
 
-def keep_known(docs: DataFrame, least: float = 0.0, **options) -> DataFrame:
+def judged(trees: ContextTrees | None, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Language, score and bits per byte of each text."""
+    lettered = np.array([any(map(str.isalpha, t)) for t in texts], dtype=bool)
+    if trees is None:
+        lettered[:] = False
+    names, score, rate = np.full(len(texts), UNKNOWN, dtype=object), np.zeros(len(texts)), np.zeros(len(texts))
+    if lettered.any():
+        raw = [t.encode() for t, k in zip(texts, lettered) if k]
+        per = trees.bits(raw) / np.array([max(1, len(r)) for r in raw])[:, None]
+        low = per.min(axis=1)
+        names[lettered] = np.array(trees.languages, dtype=object)[per.argmin(axis=1)]
+        score[lettered] = 1 / np.exp2(8 * (low[:, None] - per)).sum(axis=1)
+        rate[lettered] = low
+    return names, score, rate
+
+
+def keep_known(
+    docs: DataFrame, least: float = 0.0, per_language: int = 1000, key: str = "doc_id", text: str = "text", lang: str = "lang",
+) -> DataFrame:
     """Rows of ``docs`` with a predicted language and a score of at least ``least``, all columns.
 
-    Rows that share a key share a fate: the decisions are per key, the best of equal keys.
+    Each row is judged where it stands, so keys may be null or repeated. Where no language is known
+    of any row, nothing can be learned, and all texts with letters stay.
     """
-    key = options.get("key", "doc_id")
-    kept = predict(docs, **options).where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least))
-    return docs.join(kept.select(key).distinct(), key, "left_semi").select(*docs.columns)
+    samples = training(docs, key, text, lang, F.lit(True), per_language)
+    shared = docs.sparkSession.sparkContext.broadcast(ContextTrees(samples)) if samples else None
+
+    @F.pandas_udf("boolean")
+    def known(texts: pd.Series) -> pd.Series:
+        bodies = texts.fillna("").tolist()
+        if shared is None:
+            return pd.Series([any(map(str.isalpha, t)) for t in bodies], dtype=bool)
+        names, score, _ = judged(shared.value, bodies)
+        return pd.Series((names != UNKNOWN) & (score >= least))
+
+    return docs.where(known(text))

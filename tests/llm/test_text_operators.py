@@ -234,6 +234,9 @@ def test_awkward_tables(awkward, docs):
     known = by_id(language.predict(docs))
     assert all(known[k]["lang_pred"] == "und" and known[k]["score"] == 0 for k in (6, 7, 8, 13)) and known[1]["lang_pred"] == "en"
     assert {r["lang_pred"] for r in language.predict(docs.withColumn("lang", F.lit(None).cast("string"))).collect()} == {"und"}
+    kept = language.keep_known(awkward, 0.4)
+    assert kept.columns == awkward.columns and kept.where("doc_id is null").count() == 2 and kept.where("doc_id = 2").count() == 2
+    assert language.keep_known(docs.withColumn("lang", F.lit(None).cast("string"))).count() == docs.count() - 4
     for make in (
         lambda d: wordbpe.digests(d, WORD), lambda d: packing.packed(d, BYTE), simhash.near_duplicates, suffix.dedup,
         lambda d: pii.digest(pii.find(d, pii.fit(d))), language.predict,
