@@ -91,6 +91,17 @@ PARTS = {
         UNION ALL
         SELECT f.station_id, f.n, f.datetime, least(0.95 / 1.02 * p.b + 0.02 / 1.02 * f.q, f.q)
         FROM filtered p JOIN flow f ON f.station_id = p.station_id AND f.n = p.n + 1""",
+    "lh_forward": """
+        SELECT station_id, n, datetime, q AS b, q FROM flow WHERE n = 1
+        UNION ALL
+        SELECT f.station_id, f.n, f.datetime, least(0.925 * p.b + (1 - 0.925) / 2 * (f.q + p.q), f.q), f.q
+        FROM lh_forward p JOIN flow f ON f.station_id = p.station_id AND f.n = p.n + 1""",
+    "lh_ends": "SELECT station_id, max(n) AS n FROM flow GROUP BY 1",
+    "lh_backward": """
+        SELECT l.station_id, l.n, l.datetime, l.b, l.b AS q FROM lh_forward l JOIN lh_ends e ON l.station_id = e.station_id AND l.n = e.n
+        UNION ALL
+        SELECT f.station_id, f.n, f.datetime, least(0.925 * p.b + (1 - 0.925) / 2 * (f.b + p.q), f.b), f.b
+        FROM lh_backward p JOIN lh_forward f ON f.station_id = p.station_id AND f.n = p.n - 1""",
     "sensor_obs": """
         SELECT datetime, value, station_id, 'wiski' AS station_origin, constituent, unit FROM sensor_hourly
         UNION ALL
@@ -207,6 +218,9 @@ PARTS = {
 }
 
 
+RECURSIVE = ("filtered", "lh_forward", "lh_backward")
+
+
 def sql(body: str) -> str:
     """The body with the parts it needs, in order."""
     needed: set[str] = set()
@@ -217,6 +231,6 @@ def sql(body: str) -> str:
             if name not in needed and re.search(rf"(?:FROM|JOIN)\s+{name}\b", text):
                 needed.add(name)
                 waiting.append(PARTS[name])
-    parts = [f"{name} AS MATERIALIZED ({text})" if name != "filtered" else f"{name} AS ({text})"
+    parts = [f"{name} AS MATERIALIZED ({text})" if name not in RECURSIVE else f"{name} AS ({text})"
              for name, text in PARTS.items() if name in needed]
     return f"WITH RECURSIVE {', '.join(parts)} {body}" if parts else body

@@ -866,6 +866,11 @@ def _(s, d):
     return r6(bf.baseflow(sensor_hourly(s, d)), "value")
 
 
+@check("w2_baseflow_lh", "SELECT station_id, datetime, 'QB' AS constituent, 'cfs' AS unit, round(b, 6) AS value FROM lh_backward")
+def _(s, d):
+    return r6(bf.baseflow(sensor_hourly(s, d), method="LH"), "value")
+
+
 @check("w3_keep_first", """
     SELECT o_custkey, o_orderkey, o_orderstatus, o_totalprice FROM orders
     QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) = 1""")
