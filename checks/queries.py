@@ -933,13 +933,14 @@ def _(s, d):
 @check("q2_outlet_data_warehouse", """
     SELECT date_trunc('day', datetime) AS datetime, round(avg(value), 6) AS observed, round(avg(flow_value), 6) AS observed_flow,
         round(avg(baseflow_value), 6) AS observed_baseflow FROM flow_obs
-    WHERE constituent = 'DO' AND outlet_id = 3 GROUP BY 1 HAVING avg(value) IS NOT NULL""")
+    WHERE constituent = 'DO' AND outlet_id = (SELECT min(outlet_id) FROM outlet_stations WHERE station_id = 'E02') GROUP BY 1 HAVING avg(value) IS NOT NULL""")
 def _(s, d):
     w = Warehouse(s, I.scratch(s), buckets=8).init()
     w.load_outlets(outlet_tables(s, d))
     w.replace("analytics.wiski", sensor_obs(s, d))
     w.replace("analytics.equis", lab_obs(s, d))
-    return r6(w.outlet_data(3, "DO", "D"), "observed", "observed_flow", "observed_baseflow")
+    number = w.read("outlets.outlet_stations").filter("station_id = 'E02'").agg(F.min("outlet_id")).first()[0]
+    return r6(w.outlet_data(number, "DO", "D"), "observed", "observed_flow", "observed_baseflow")
 
 
 @check("q3_station_data", f"SELECT {_OBS} FROM obs WHERE station_id = 'H03' AND station_origin = 'wiski'")
