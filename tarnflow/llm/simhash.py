@@ -124,17 +124,65 @@ def links(nodes: DataFrame, distance: int = 2, check: int | None = None, hot: in
     )
     shared = written(indexed.withColumn("n", F.count("*").over(Window.partitionBy("code"))).where("n > 1"))
     release(nodes.sparkSession)
+    rows = refined(shared, first, distance, hot, carried)
+    found = rows.alias("a").join(rows.alias("b"), F.expr(close))
+    return found.select(F.col("a.node").alias("a"), F.col("b.node").alias("b")).distinct()
+
+
+def connected(nodes: DataFrame, distance: int, check: int, hot: int = 64) -> DataFrame:
+    """Components (``node``, ``component``) of the graph of :func:`links`, without all its pairs.
+
+    In a group of copies nearly every pair is a link. So each member of a variant's group is first
+    compared with two leaders only, the members of smallest and largest node. Pairs inside the
+    components that these links make can add nothing; the others are then compared as in
+    :func:`links`, in groups that still hold members of different components.
+    """
+    carried, first = ["node", "fp", "other", "more"], cut_bits(0, 64, distance // 2 + 1)
+
+    def close(a: str, b: str) -> str:
+        return (
+            f"bit_count({a}.fp ^ {b}.fp) <= {distance} and "
+            f"bit_count({a}.other ^ {b}.other) + bit_count({a}.more ^ {b}.more) <= {check}"
+        )
+
+    group = Window.partitionBy("code")
+    member = F.struct(*carried)
+    rows = nodes.select(*carried, F.explode(variants(F.col("fp"), first)).alias("v")).select(
+        member.alias("me"), F.xxhash64("v.place", "v.rest").alias("code"), F.col("v.place").alias("place"),
+    )
+    rows = rows.withColumns({"low": F.min("me").over(group), "high": F.max("me").over(group)}).where("low.node <> high.node")
+    rows = written(rows)
+    release(nodes.sparkSession)
+    stars = None
+    for leader in ("low", "high"):
+        found = rows.where(f"me.node <> {leader}.node and {close('me', leader)}").select(
+            F.col("me.node").alias("a"), F.col(f"{leader}.node").alias("b")
+        )
+        stars = found if stars is None else stars.union(found)
+    stars = written(stars.distinct())
+    merged = written(components(stars))
+    rows = rows.select("me.*", "code", "place").join(merged, "node", "left")
+    rows = rows.select(*carried, "code", "place", F.coalesce("component", "node").alias("root"))
+    mixed = rows.withColumns({"least": F.min("root").over(group), "most": F.max("root").over(group), "n": F.count("*").over(group)})
+    mixed = written(mixed.where("least <> most").drop("least", "most"))
+    release(nodes.sparkSession)
+    pairs = refined(mixed, first, distance, hot, [*carried, "root"])
+    found = pairs.alias("a").join(pairs.alias("b"), F.expr(f"a.code = b.code and a.root > b.root and {close('a', 'b')}"))
+    across = found.select(F.col("a.node").alias("a"), F.col("b.node").alias("b")).distinct()
+    return components(stars.union(across))
+
+
+def refined(shared: DataFrame, first: list[tuple[int, int]], distance: int, hot: int, carried: list[str]) -> DataFrame:
+    """Rows by ``code``; in groups of over ``hot`` members (column ``n``), by code and one further piece."""
     # Members of a large group agree on one segment but for one bit: refine by the other bits.
     rows = shared.where(f"n <= {hot}").select(*carried, "code")
     for low, size in first:
-        other = [*cut_bits(0, low, 1), *cut_bits(low + size, 64 - low - size, 1)]
-        pieces = spread([s for s in other if s[1]], distance + 1)
+        other = [s for s in (*cut_bits(0, low, 1), *cut_bits(low + size, 64 - low - size, 1)) if s[1]]
         here = shared.where(f"n > {hot}").where(F.col("place").between(low * 64, low * 64 + size - 1))
-        parts = F.array(*[masked_with(F.col("fp"), m) for m in pieces])
+        parts = F.array(*[masked_with(F.col("fp"), m) for m in spread(other, distance + 1)])
         here = here.select(*carried, "code", F.posexplode(parts).alias("k", "part"))
         rows = rows.union(here.select(*carried, F.xxhash64("code", "k", "part").alias("code")))
-    found = rows.alias("a").join(rows.alias("b"), F.expr(close))
-    return found.select(F.col("a.node").alias("a"), F.col("b.node").alias("b")).distinct()
+    return rows
 
 
 def spread(ranges: list[tuple[int, int]], pieces: int) -> list[int]:
@@ -184,7 +232,7 @@ def keep_first(
     prints = fingerprints(docs, key, text, words, damped=True)
     prints = written(prints.withColumn("node", F.xxhash64("damped", "fp", "more")))
     nodes = prints.select("node", F.col("damped").alias("fp"), F.col("fp").alias("other"), "more").distinct()
-    named = classes(prints, components(links(nodes, distance, check)), key)
+    named = classes(prints, connected(nodes, distance, check), key)
     firsts = written(named.select(F.col("component_id").alias(key)).where(F.col(key).isNotNull()).distinct())
     release(docs.sparkSession)
     kept = docs.join(firsts, key, "left_semi").select(*docs.columns)

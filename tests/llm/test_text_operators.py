@@ -112,6 +112,18 @@ def test_links_are_all_pairs_in_reach(spark, distance, hot):
     assert got == want and want
 
 
+@pytest.mark.parametrize("hot", [64, 3])
+def test_connected_is_links_without_all_pairs(spark, hot):
+    r, rows = np.random.default_rng(11), {}
+    for k in range(6):
+        base = [int(x) for x in r.integers(-(2**63), 2**63, 3)]
+        for _ in range(30):
+            rows[tuple(b ^ sum(1 << int(f) for f in r.choice(63, r.integers(0, n), replace=False)) for b, n in zip(base, (5, 7, 7)))] = k
+    nodes = spark.createDataFrame([(n, *v) for n, v in enumerate(rows)], "node long, fp long, other long, more long")
+    want = dict(components(simhash.links(nodes, 5, 14, hot)).collect())
+    assert dict(simhash.connected(nodes, 5, 14, hot).collect()) == want and len(set(want.values())) > 3
+
+
 def test_keep_first(docs, awkward):
     assert {r[0] for r in docs.select("doc_id").collect()} - {r["doc_id"] for r in simhash.keep_first(docs).collect()} == {2, 3, 7, 8, 11}
     kept = simhash.keep_first(awkward)
