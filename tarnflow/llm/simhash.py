@@ -21,7 +21,7 @@ import pandas as pd
 import xxhash
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tarnflow.llm.common import components, keyed, release, unkeyed, written
+from tarnflow.llm.common import components, keyed, release, remove, unkeyed, written
 
 UPPER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -151,20 +151,17 @@ def connected(nodes: DataFrame, distance: int, check: int, hot: int = 64) -> Dat
         member.alias("me"), F.xxhash64("v.place", "v.rest").alias("code"), F.col("v.place").alias("place"),
     )
     rows = rows.withColumns({"low": F.min("me").over(group), "high": F.max("me").over(group)}).where("low.node <> high.node")
-    rows = written(rows)
+    leaders = [F.expr(f"if(me.node <> {x}.node and {close('me', x)}, {x}.node, null)").alias(x) for x in ("low", "high")]
+    rows = written(rows.select("me.*", "code", "place", *leaders))
     release(nodes.sparkSession)
-    stars = None
-    for leader in ("low", "high"):
-        found = rows.where(f"me.node <> {leader}.node and {close('me', leader)}").select(
-            F.col("me.node").alias("a"), F.col(f"{leader}.node").alias("b")
-        )
-        stars = found if stars is None else stars.union(found)
+    stars = rows.selectExpr("node AS a", "explode(array(low, high)) AS b").where("b is not null")
     stars = written(stars.distinct())
     merged = written(components(stars))
-    rows = rows.select("me.*", "code", "place").join(merged, "node", "left")
-    rows = rows.select(*carried, "code", "place", F.coalesce("component", "node").alias("root"))
-    mixed = rows.withColumns({"least": F.min("root").over(group), "most": F.max("root").over(group), "n": F.count("*").over(group)})
+    held = rows.drop("low", "high").join(merged, "node", "left")
+    held = held.select(*carried, "code", "place", F.coalesce("component", "node").alias("root"))
+    mixed = held.withColumns({"least": F.min("root").over(group), "most": F.max("root").over(group), "n": F.count("*").over(group)})
     mixed = written(mixed.where("least <> most").drop("least", "most"))
+    remove(rows)
     release(nodes.sparkSession)
     pairs = refined(mixed, first, distance, hot, [*carried, "root"])
     found = pairs.alias("a").join(pairs.alias("b"), F.expr(f"a.code = b.code and a.root > b.root and {close('a', 'b')}"))
