@@ -129,13 +129,14 @@ def links(nodes: DataFrame, distance: int = 2, check: int | None = None, hot: in
     return found.select(F.col("a.node").alias("a"), F.col("b.node").alias("b")).distinct()
 
 
-def connected(nodes: DataFrame, distance: int, check: int, hot: int = 64) -> DataFrame:
+def connected(nodes: DataFrame, distance: int, check: int, hot: int = 4096) -> DataFrame:
     """Components (``node``, ``component``) of the graph of :func:`links`, without all its pairs.
 
     In a group of copies nearly every pair is a link. So each member of a variant's group is first
     compared with two leaders only, the members of smallest and largest node. Pairs inside the
     components that these links make can add nothing; the others are then compared as in
-    :func:`links`, in groups that still hold members of different components.
+    :func:`links`, in groups that still hold members of different components. Only links are
+    emitted, so a group of ``hot`` members is some eight million comparisons in one task.
     """
     carried, first = ["node", "fp", "other", "more"], cut_bits(0, 64, distance // 2 + 1)
 
