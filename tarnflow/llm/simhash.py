@@ -13,7 +13,6 @@ so these are cut into ``distance + 1`` pieces, and the members are joined on eac
 from __future__ import annotations
 
 import re
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,6 +25,7 @@ from tarnflow.llm.common import components, keyed, release, remove, unkeyed, wri
 UPPER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 BATCH = 1 << 18  # shingles whose bits are counted at once
+BANDS, ROWS = 40, 8  # of least hashes, for candidates of near-duplicates
 
 
 def shingle_hashes(text: str, words: int = 3, seed: int = 42) -> list[int]:
@@ -49,22 +49,8 @@ def majority(hashes: list[int]) -> int:
     return value - (1 << 64) if value >> 63 else value
 
 
-def damped_hashes(text: str, seed: int = 42) -> list[int]:
-    """XXH64 of each different word, as often as the rounded root of its count."""
-    counts = Counter(WORD.findall(text.translate(UPPER)))
-    return [h for w, n in counts.items() for h in [xxhash.xxh64_intdigest(w, seed)] * round(n**0.5)]
-
-
-def again(hashes: list[int]) -> list[int]:
-    """Further 64 bits from each hash."""
-    x = np.array(hashes, dtype=np.uint64)
-    x = (x ^ (x >> np.uint64(31))) * np.uint64(0x9FB21C651E98DF25)
-    return ((x ^ (x >> np.uint64(29))) * np.uint64(0xD6E8FEB86659FD93)).tolist()
-
-
-def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = 3, damped: bool = False) -> DataFrame:
-    """``key`` and ``fp``, the 64-bit fingerprint as a signed long, of every row; with ``damped`` also
-    ``more``, 64 further bits of the same kind, and ``damped``, a fingerprint of single words.
+def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = 3) -> DataFrame:
+    """``key`` and ``fp``, the 64-bit fingerprint as a signed long, of every row.
 
     A null text counts as empty; a text without words has fingerprint zero. Whole texts are used.
     Repeated rows and ties need no rule: each row is taken for itself. Other columns are not read.
@@ -72,15 +58,10 @@ def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text", words
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             texts = batch["_text"].fillna("").tolist()
-            hashes = [shingle_hashes(t, words) for t in texts]
-            out = {"_key": batch["_key"].array, "fp": np.array(list(map(majority, hashes)), dtype=np.int64)}
-            if damped:
-                out["more"] = np.array([majority(again(h)) for h in hashes], dtype=np.int64)
-                out["damped"] = np.array([majority(damped_hashes(t)) for t in texts], dtype=np.int64)
-            yield pd.DataFrame(out)
+            found = [majority(shingle_hashes(t, words)) for t in texts]
+            yield pd.DataFrame({"_key": batch["_key"].array, "fp": np.array(found, dtype=np.int64)})
 
-    kinds = "_key string, fp bigint" + ", more bigint, damped bigint" * damped
-    return unkeyed(keyed(docs, key, text).mapInPandas(run, kinds), docs, key)
+    return unkeyed(keyed(docs, key, text).mapInPandas(run, "_key string, fp bigint"), docs, key)
 
 
 def masked(value: Column, low: int, size: int) -> Column:
@@ -216,21 +197,125 @@ def classes(members: DataFrame, found: DataFrame, key: str) -> DataFrame:
     return rooted.join(roots, "_root").select("node", "component_id")
 
 
-def keep_first(
-    docs: DataFrame, words: int = 5, distance: int = 5, check: int = 21, key: str = "doc_id", text: str = "text",
-) -> DataFrame:
+def least_hashes(hashes: np.ndarray) -> np.ndarray:
+    """The least value of the hashes under each of ``BANDS * ROWS`` fixed linear orders."""
+    draw = np.random.Generator(np.random.PCG64(42))
+    factor = draw.integers(0, 2**63, BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+    shift = draw.integers(0, 2**63, BANDS * ROWS, dtype=np.uint64) * np.uint64(2)
+    least = np.full(BANDS * ROWS, np.uint64(2**64 - 1))
+    for begin in range(0, len(hashes), 1024):
+        np.minimum(least, (hashes[begin : begin + 1024, None] * factor + shift).min(axis=0), out=least)
+    return least
+
+
+def sketches(docs: DataFrame, key: str, text: str, words: int) -> DataFrame:
+    """Per row ``key``, ``code`` (hash of the text), ``node`` (hash of its shingle set), ``size`` of the set, ``bands``."""
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            node, size, bands = [], [], []
+            for body in batch["_text"].fillna(""):
+                h = np.unique(np.array(shingle_hashes(body, words), dtype="<u8"))
+                node.append(xxhash.xxh64_intdigest(h.tobytes()) - 2**63)
+                size.append(len(h))
+                rows = least_hashes(h).reshape(BANDS, ROWS) if len(h) else []
+                bands.append([xxhash.xxh64_intdigest(r.tobytes(), k) - 2**63 for k, r in enumerate(rows)])
+            yield pd.DataFrame({"_key": batch["_key"].array, "code": batch["code"].array, "node": node, "size": size, "bands": bands})
+
+    rows = keyed(docs, key, text).withColumn("code", F.xxhash64(F.coalesce("_text", F.lit(""))))
+    return unkeyed(rows.mapInPandas(run, "_key string, code bigint, node bigint, size bigint, bands array<bigint>"), docs, key)
+
+
+def forest(nodes: np.ndarray, sets: list[np.ndarray], least: tuple[int, int]) -> list[tuple[int, int]]:
+    """Links that join the sets to the components of the graph of all pairs of Jaccard similarity ``least`` or more."""
+    sizes, (up, down) = np.array(list(map(len, sets))), least
+    owner = np.repeat(np.arange(len(sets)), sizes)
+    _, shingle = np.unique(np.concatenate(sets), return_inverse=True)
+    order = np.argsort(shingle, kind="stable")
+    held, ends = owner[order], np.cumsum(np.bincount(shingle))
+    begins = np.concatenate([[0], ends[:-1]])
+    root, out, at = list(range(len(sets))), [], 0
+
+    def top(k: int) -> int:
+        while root[k] != k:
+            root[k] = root[root[k]]
+            k = root[k]
+        return k
+
+    for k, size in enumerate(sizes):
+        mine = shingle[at : at + size]
+        at += size
+        count = ends[mine] - begins[mine]
+        place = np.arange(count.sum()) + np.repeat(begins[mine] - np.concatenate([[0], np.cumsum(count)[:-1]]), count)
+        shared = np.bincount(held[place], minlength=len(sets))[:k]
+        for j in np.flatnonzero((shared > 0) & (down * shared >= up * (size + sizes[:k] - shared))):
+            a, b = top(k), top(int(j))
+            if a != b:
+                root[a] = b
+                out.append((int(nodes[k]), int(nodes[j])))
+    return out
+
+
+def alike(found: DataFrame, docs: DataFrame, text: str, words: int, least: tuple[int, int], block: int = 1000, mass: int = 1 << 22) -> DataFrame:
+    """Components (``node``, ``component``) of rows of :func:`sketches` by exact similarity of candidates.
+
+    Candidates share a band. They are first joined to components by bands alone. A component is
+    compared as a whole, all pairs exactly, in pairs of blocks of about ``block`` sets and ``mass`` shingles;
+    one of over ``BANDS`` blocks is compared by band instead, which covers its candidates with fewer copies
+    of the sets. Of the links of a pair of blocks only a forest is emitted.
+    """
+    nodes = found.where("size > 0").groupBy("node").agg(F.min("code").alias("code"), F.first("size").alias("size"), F.first("bands").alias("bands"))
+    nodes = written(nodes)
+    spread = nodes.select("node", F.explode("bands").alias("band"))
+    first = spread.groupBy("band").agg(F.min("node").alias("low"), F.count("*").alias("n")).where("n > 1")
+    stars = written(spread.join(first, "band").where("node <> low").select(F.col("node").alias("a"), F.col("low").alias("b")).distinct())
+    members = written(nodes.join(components(stars), "node"))
+    release(docs.sparkSession)
+
+    def blocks(rows: DataFrame) -> DataFrame:
+        sums = rows.groupBy("unit").agg(F.greatest(F.ceil(F.count("*") / block), F.ceil(F.sum("size") / mass)).alias("blocks"), F.count("*").alias("n"))
+        return rows.join(sums.where("n > 1").drop("n"), "unit")
+
+    whole = blocks(members.withColumn("unit", F.col("component")))
+    large = whole.where(F.col("blocks") > BANDS).select("node", "code", "size", F.explode("bands").alias("unit"))
+    units = whole.where(F.col("blocks") <= BANDS).select("unit", "node", "code", "blocks").union(
+        blocks(large).select("unit", "node", "code", "blocks")
+    )
+    mine = F.pmod(F.xxhash64("node"), F.col("blocks"))
+    other = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1))
+    units = units.withColumn("mine", mine).withColumn("other", other)
+    units = units.select("unit", "node", "code", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"))
+
+    def sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            bodies = [np.unique(np.array(shingle_hashes(t, words), dtype="<u8")).tobytes() for t in batch["_text"].fillna("")]
+            yield pd.DataFrame({"code": batch["code"].array, "shingles": bodies})
+
+    bodies = docs.select(docs[text].cast("string").alias("_text")).withColumn("code", F.xxhash64(F.coalesce("_text", F.lit(""))))
+    bodies = bodies.join(members.select("code"), "code", "left_semi").mapInPandas(sets, "code bigint, shingles binary")
+    bodies = written(bodies.groupBy("code").agg(F.first("shingles").alias("shingles")))
+
+    def run(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values("node")
+        links = forest(rows["node"].to_numpy(), [np.frombuffer(x, dtype="<u8") for x in rows["shingles"]], least)
+        return pd.DataFrame(links, columns=["a", "b"], dtype=np.int64)
+
+    links = units.join(bodies, "code").select("unit", "i", "j", "node", "shingles").groupBy("unit", "i", "j").applyInPandas(run, "a bigint, b bigint")
+    out = components(written(links))
+    release(docs.sparkSession)
+    return out
+
+
+def keep_first(docs: DataFrame, words: int = 5, least: tuple[int, int] = (4, 5), key: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` with one document, that of smallest key, of each group of near-duplicates; all columns.
 
-    Near-duplicates agree in about 0.8 of their shingles of ``words`` words. Their shingle fingerprints
-    then still differ in about 15 % of the bits, too many to index; so candidates are found by the
-    fingerprint of single words, which edits change less (``distance`` bits), and kept if shingle
-    fingerprints of 128 bits differ in at most ``check``: 19 stand for a similarity of 0.8, 25 for
-    0.7, and unrelated texts differ in 64. Rows with a null key stay; of repeated keys one row stays.
+    Near-duplicates are documents whose sets of shingles of ``words`` words have a Jaccard similarity of ``least``
+    (a fraction) or more. At 0.8 SimHash bits differ by 15 %, too many to index by deletion variants,
+    so candidates are documents that agree in one of ``BANDS`` bands of ``ROWS`` least hashes (0.9994 of the
+    pairs at 0.8, and more above), and each is verified on the whole sets. Texts without words are alike.
+    Rows with a null key stay; of repeated keys one row stays.
     """
-    prints = fingerprints(docs, key, text, words, damped=True)
-    prints = written(prints.withColumn("node", F.xxhash64("damped", "fp", "more")))
-    nodes = prints.select("node", F.col("damped").alias("fp"), F.col("fp").alias("other"), "more").distinct()
-    named = classes(prints, connected(nodes, distance, check), key)
+    prints = written(sketches(docs, key, text, words))
+    named = classes(prints, alike(prints, docs, text, words, least), key)
     firsts = written(named.select(F.col("component_id").alias(key)).where(F.col(key).isNotNull()).distinct())
     release(docs.sparkSession)
     kept = docs.join(firsts, key, "left_semi").select(*docs.columns)

@@ -268,3 +268,43 @@ def test_pipeline(spark, awkward, tmp_path):
     kept = {r["doc_id"]: r["text"] for r in rows}
     assert 1 in kept and not {2, 3, 6, 7, 8, 13} & kept.keys() and "<EMAIL>" in kept[17]
     assert {r["doc_id"] for r in corpus_pipeline.STAGES[-1][1](spark, frame, "").collect()} == kept.keys()
+
+
+def shingle_set(text, n=5):
+    words = text.lower().split()
+    return {" ".join(words[k : k + n]) for k in range(max(1, len(words) - n + 1))}
+
+
+def edited(seed):
+    """A text of 300 words and copies with a passage appended, a block replaced or words changed, at about 0.6 to 0.97."""
+    r = np.random.default_rng(seed)
+    words = [f"w{x}" for x in r.integers(0, 5000, 300)]
+    new = lambda n: [f"v{x}" for x in r.integers(0, 5000, n)]
+    out = [words]
+    for n in (12, 35, 55, 68, 85, 130):
+        out += [words + new(n), words[:100] + new(n // 2) + words[100 + n // 2 :]]
+    for n in (3, 6, 11, 17):
+        some = list(words)
+        for k in r.choice(300, n, replace=False):
+            some[k] = new(1)[0]
+        out.append(some)
+    return [" ".join(w) for w in out]
+
+
+@pytest.mark.parametrize("block", [1000, 4])
+def test_near_duplicates_are_exact_at_four_fifths(spark, block):
+    bodies = [t for seed in range(12) for t in edited(seed)]
+    rows = spark.createDataFrame(list(enumerate(bodies)), "doc_id long, text string")
+    sets = list(map(shingle_set, bodies))
+    group = list(range(len(sets)))
+    for a in range(len(sets)):
+        for b in range(a):
+            if 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b]) and group[a] != group[b]:
+                low, high = sorted((group[a], group[b]))
+                group = [low if g == high else g for g in group]
+    found = simhash.sketches(rows, "doc_id", "text", 5)
+    roots = dict(simhash.alike(found, rows, "text", 5, (4, 5), block).collect())
+    of = {r["doc_id"]: roots.get(r["node"], r["node"]) for r in found.select("doc_id", "node").collect()}
+    assert len(set(of.values())) == len(set(group)) and len({(of[k], g) for k, g in enumerate(group)}) == len(set(group))
+    if block == 1000:
+        assert {r["doc_id"] for r in simhash.keep_first(rows).collect()} == set(group)
