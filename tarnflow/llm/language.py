@@ -47,6 +47,10 @@ class ContextTrees:
         order = np.lexsort((np.arange(256), -seen))[: SYMBOLS - 1]
         self.symbol[order] = np.arange(SYMBOLS - 1)
         found = {k: [self.grams(texts, n) for n in range(1, self.ORDER + 2)] for k, texts in lowered.items()}
+        single = np.ones((len(found), SYMBOLS))
+        for k, name in enumerate(self.languages):
+            single[k, found[name][0][0]] += found[name][0][1]
+        self.single = -np.log2(single / single.sum(axis=1, keepdims=True))
         deep = np.unique(np.concatenate([f[-1][0] // SYMBOLS for f in found.values()] + [np.zeros(0, np.int64)]))
         two = SYMBOLS ** 2
         # Row of each context of three symbols: its own if any language has seen it, else the one
@@ -99,6 +103,11 @@ class ContextTrees:
             begin = end
         return out
 
+    def plain_bits(self, texts: list[bytes]) -> np.ndarray:
+        """Code length of each text in each language by the frequencies of its symbols alone."""
+        counts = [np.bincount(self.symbol[np.frombuffer(t.translate(LOWER), dtype=np.uint8)], minlength=SYMBOLS) for t in texts]
+        return np.array(counts, dtype=float).reshape(len(texts), SYMBOLS) @ self.single.T
+
     def _bits(self, texts: list[bytes]) -> np.ndarray:
         # Every text is preceded by three blanks, which are contexts only.
         flat = b"".join(b"   " + t for t in texts)
@@ -177,23 +186,50 @@ def judged(trees: ContextTrees | None, texts: list[str]) -> tuple[np.ndarray, np
     return names, score, rate
 
 
+def calibrated(samples: dict[str, list[bytes]], enough: int = 20) -> tuple[ContextTrees, np.ndarray]:
+    """Trees of three quarters of the sample, and what their contexts save a byte on the rest.
+
+    The saving, against the frequencies of single symbols, is the median per language; NaN where
+    fewer than ``enough`` texts are held out. A language's number depends on its own texts alone.
+    """
+    trees = ContextTrees({k: [t for n, t in enumerate(texts) if n % 4] for k, texts in samples.items()})
+    usual = np.full(len(trees.languages), np.nan)
+    for k, name in enumerate(trees.languages):
+        held = samples[name][::4]
+        if len(held) >= enough:
+            usual[k] = np.median((trees.plain_bits(held) - trees.bits(held))[:, k] / list(map(len, held)))
+    return trees, usual
+
+
 def keep_known(
-    docs: DataFrame, least: float = 0.0, per_language: int = 1000, key: str = "doc_id", text: str = "text", lang: str = "lang",
+    docs: DataFrame, least: float = 0.0, per_language: int = 1000, slack: float = 40.0,
+    key: str = "doc_id", text: str = "text", lang: str = "lang",
 ) -> DataFrame:
-    """Rows of ``docs`` with a predicted language and a score of at least ``least``, all columns.
+    """Rows of ``docs`` with a predicted language whose contexts fit the text, all columns.
 
-    Each row is judged where it stands, so keys may be null or repeated. Where no language is known
-    of any row, nothing can be learned, and all texts with letters stay.
+    They fit if they save at least ``least`` of the bits a byte that they usually save in the language (see
+    :func:`calibrated`); a text is rejected only if it falls short by over ``slack`` bits, so that a
+    few odd words don't count as evidence. The number of labels, or several labels for one language, don't
+    matter. Each row is judged where it stands, so keys may be null or repeated. Languages with too small a
+    sample reject nothing, and where no language is known of any row, all texts with letters stay.
     """
     samples = training(docs, key, text, lang, F.lit(True), per_language)
-    shared = docs.sparkSession.sparkContext.broadcast(ContextTrees(samples)) if samples else None
+    shared = docs.sparkSession.sparkContext.broadcast(calibrated(samples)) if samples else None
 
     @F.pandas_udf("boolean")
     def known(texts: pd.Series) -> pd.Series:
         bodies = texts.fillna("").tolist()
-        if shared is None:
-            return pd.Series([any(map(str.isalpha, t)) for t in bodies], dtype=bool)
-        names, score, _ = judged(shared.value, bodies)
-        return pd.Series((names != UNKNOWN) & (score >= least))
+        lettered = np.array([any(map(str.isalpha, t)) for t in bodies], dtype=bool)
+        if shared is not None and lettered.any():
+            lettered[lettered] = fitting(*shared.value, [t.encode() for t, k in zip(bodies, lettered) if k], least, slack)
+        return pd.Series(lettered)
 
     return docs.where(known(text))
+
+
+def fitting(trees: ContextTrees, usual: np.ndarray, texts: list[bytes], least: float, slack: float) -> np.ndarray:
+    """Whether each text fits its best language, as in :func:`keep_known`."""
+    bits = trees.bits(texts)
+    best, row = bits.argmin(axis=1), np.arange(len(texts))
+    short = least * usual[best] * list(map(len, texts)) - (trees.plain_bits(texts) - bits)[row, best]
+    return ~(short > slack)

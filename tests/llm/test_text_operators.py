@@ -308,3 +308,18 @@ def test_near_duplicates_are_exact_at_four_fifths(spark, block):
     assert len(set(of.values())) == len(set(group)) and len({(of[k], g) for k, g in enumerate(group)}) == len(set(group))
     if block == 1000:
         assert {r["doc_id"] for r in simhash.keep_first(rows).collect()} == set(group)
+
+
+def test_known_languages_do_not_depend_on_labels(spark):
+    rows = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").where("text rlike '[a-z]'").select("text", "lang").toPandas()
+    r = np.random.default_rng(3)
+    junk = ["".join(r.choice(list("abcdefghijklmnopqrstuvwxyz "), 400)).encode() for _ in range(20)]
+    kept = []
+    for labels in (1, 3, 40):
+        samples = {}
+        for k, (text, lang) in enumerate(zip(rows["text"], rows["lang"])):
+            samples.setdefault(f"{lang}-{k % labels}" if lang == "en" else lang, []).append(text.encode())
+        model = language.calibrated(samples, enough=1)
+        kept.append(language.fitting(*model, [t.encode() for t in rows["text"]], corpus_pipeline.LEAST_SAVING, 40.0).mean())
+        assert not language.fitting(*model, junk, corpus_pipeline.LEAST_SAVING, 40.0).any()
+    assert min(kept) > 0.99
