@@ -312,13 +312,22 @@ def keep_first(docs: DataFrame, words: int = 5, least: tuple[int, int] = (4, 5),
     (a fraction) or more. At 0.8 SimHash bits differ by 15 %, too many to index by deletion variants,
     so candidates are documents that agree in one of ``BANDS`` bands of ``ROWS`` least hashes (0.9994 of the
     pairs at 0.8, and more above), and each is verified on the whole sets. Texts without words are alike.
-    Rows with a null key stay; of repeated keys one row stays.
+    Rows with a null key stay. A row is known by key and text: of a component the row of smallest key stays, of
+    equal keys the one of smallest hash of the text, and of equal rows one, so a key may stand for several texts.
     """
     prints = written(sketches(docs, key, text, words))
-    named = classes(prints, alike(prints, docs, text, words, least), key)
-    firsts = written(named.select(F.col("component_id").alias(key)).where(F.col(key).isNotNull()).distinct())
+    found = alike(prints, docs, text, words, least)
+    rooted = prints.where(F.col(key).isNotNull()).join(found, "node", "left").withColumn("_root", F.coalesce("component", "node"))
+    firsts = rooted.groupBy("_root").agg(F.min(F.struct(key, "code")).alias("first"))
+    firsts = written(firsts.select(F.col(f"first.`{key}`").alias(key), F.col("first.code").alias("_code")))
     release(docs.sparkSession)
-    kept = docs.join(firsts, key, "left_semi").select(*docs.columns)
-    if not prints.groupBy(key).count().where(F.col(key).isNotNull() & (F.col("count") > 1)).isEmpty():
-        kept = kept.dropDuplicates([key])
-    return kept.union(docs.where(F.col(key).isNull()))
+    kept = docs.withColumn("_code", F.xxhash64(F.coalesce(docs[text].cast("string"), F.lit(""))))
+    kept = kept.join(firsts, [key, "_code"], "left_semi").select(*docs.columns, "_code")
+    copies = prints.where(F.col(key).isNotNull()).groupBy(key, "code").count().where("count > 1")
+    if not copies.isEmpty():
+        # Of rows of one key and text the least by all columns stays; only these are grouped.
+        copies = copies.select(key, F.col("code").alias("_code"))
+        one = kept.join(copies, [key, "_code"], "left_semi").groupBy(key, "_code").agg(F.min(F.struct(*docs.columns)).alias("_row"))
+        rest = kept.join(copies, [key, "_code"], "left_anti").select(*docs.columns)
+        kept = rest.union(one.select("_row.*").select(*docs.columns))
+    return kept.select(*docs.columns).union(docs.where(F.col(key).isNull()))

@@ -323,3 +323,11 @@ def test_known_languages_do_not_depend_on_labels(spark):
         kept.append(language.fitting(*model, [t.encode() for t in rows["text"]], corpus_pipeline.LEAST_SAVING, 40.0).mean())
         assert not language.fitting(*model, junk, corpus_pipeline.LEAST_SAVING, 40.0).any()
     assert min(kept) > 0.99
+
+
+def test_keys_that_stand_for_several_texts(spark):
+    a, b, c = ([f"{name}{k * k}" for k in range(40)] for name in "abc")
+    rows = [(5, a, "x"), (5, b, "x"), (7, b, "x"), (5, c, "y"), (5, c, "x"), (9, a, "x"), (None, a, "x")]
+    frame = spark.createDataFrame([(k, " ".join(t), s) for k, t, s in rows], "doc_id long, text string, source string")
+    kept = [(r["doc_id"], r["text"][0], r["source"]) for r in simhash.keep_first(frame).collect()]
+    assert sorted(kept, key=str) == [(5, "a", "x"), (5, "b", "x"), (5, "c", "x"), (None, "a", "x")]
