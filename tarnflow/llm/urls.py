@@ -52,15 +52,71 @@ def rule_of(name: Column, where: Column, rules: list[tuple[str, str, str]]) -> C
     return found
 
 
+#: Named character references that may stand in a URL.
+REFERENCES = {
+    "amp": "&", "AMP": "&", "quot": '"', "apos": "'", "lt": "<", "gt": ">", "sol": "/", "colon": ":", "period": ".",
+    "quest": "?", "equals": "=", "num": "#", "lowbar": "_", "percnt": "%", "plus": "+", "comma": ",", "semi": ";",
+}
+
+
+def decoded(text: Column) -> Column:
+    """Character references by number and by the names above as their characters, each once."""
+    named = F.create_map(*[F.lit(x) for pair in REFERENCES.items() for x in pair])
+
+    def one(token: Column) -> Column:
+        inner = F.regexp_extract(token, r"^&(?:#[xX]?)?([0-9A-Za-z]+);$", 1)
+        hexed = F.when(token.rlike("^&#[xX]"), F.lpad(inner, 8, "0")).otherwise(F.lpad(F.conv(inner, 10, 16), 8, "0"))
+        number = token.rlike(r"^&#(?:[0-9]{1,7}|[xX]0{0,2}[0-9A-Fa-f]{1,5});$")
+        return F.when(number, F.decode(F.unhex(hexed), "UTF-32")).otherwise(F.coalesce(F.try_element_at(named, inner), token))
+
+    return F.array_join(F.transform(F.regexp_extract_all(text, F.lit(r"(&#?[0-9A-Za-z]+;|[^&]+|&)"), F.lit(1)), one), "")
+
+
+def resolved(target: Column, page: Column) -> Column:
+    """A target of a page as an absolute URL, by scheme, host and directory of the page's; empty if it names none."""
+    scheme, site = F.regexp_extract(page, r"(?s)^([^:/?#]+):", 1), F.regexp_extract(page, r"(?s)^[^:/?#]+://([^/?#]*)", 1)
+    where, query = F.regexp_extract(page, r"(?s)^[^:/?#]+://[^/?#]*([^?#]*)", 1), F.regexp_extract(page, r"(?s)^[^:/?#]+://[^/?#]*([^#]*)", 1)
+    origin = F.concat(scheme, F.lit("://"), site)
+    folder = F.when(where == "", "/").otherwise(F.regexp_replace(where, r"[^/]*$", ""))
+    own = F.regexp_extract(target, r"(?s)^([^?#]*)", 1)
+    rest = F.substring(target, F.length(own) + 1, F.length(target))
+    # Segments "." and ".." are taken away in one pass over the path.
+    steps = F.split(F.when(own.startswith("/"), own).otherwise(F.concat(folder, own)), "/")
+    last = F.element_at(steps, -1)
+    clean = F.aggregate(F.slice(steps, 2, F.greatest(F.size(steps) - 1, F.lit(0))), F.array().cast("array<string>"), lambda done, step: F.when(
+        step == "..", F.slice(done, 1, F.greatest(F.size(done) - 1, F.lit(0)))
+    ).when(step == ".", done).otherwise(F.concat(done, F.array(step))))
+    joined = F.concat(F.lit("/"), F.array_join(clean, "/"))
+    joined = F.when(last.isin(".", "..") & (joined != "/"), F.concat(joined, F.lit("/"))).otherwise(joined)
+    return (
+        F.when(target.rlike(r"(?i)^[a-z][a-z0-9+.-]*://"), target)
+        .when((target == "") | target.rlike(r"(?i)^[a-z][a-z0-9+.-]*:") | (scheme == "") | (site == ""), "")
+        .when(target.startswith("//"), F.concat(scheme, F.lit(":"), target))
+        .when(own != "", F.concat(origin, joined, rest))
+        .when(target.startswith("?"), F.concat(origin, where, target))
+        .otherwise(F.concat(origin, query))
+    )
+
+
 def links(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
-    """Edges ``a``, ``b`` between a page's URL and the absolute URLs it names as its own or sends to."""
+    """Edges ``a``, ``b`` between a page's URL and the URLs it names as its own or sends to.
+
+    Character references in targets are decoded; relative targets are resolved against the page's URL.
+    """
     body = F.coalesce(F.col(html), F.lit(""))
     tags = F.regexp_extract_all(body, F.lit(r"(?is)(<(?:link|meta)\b[^>]*>)"), F.lit(1))
     tags = F.filter(tags, lambda t: t.rlike(
         r"(?is)rel\s*=\s*[\"']?\s*canonical|http-equiv\s*=\s*[\"']?\s*refresh|property\s*=\s*[\"']?\s*og:url"
     ))
-    target = F.transform(tags, lambda t: F.regexp_extract(t, r"(?is)(?:href\s*=\s*[\"']?|content\s*=\s*[\"']?(?:[^\"'>]*url\s*=\s*)?)\s*([a-z][a-z0-9+.-]*://[^\"'\s>]+)", 1))
-    rows = pages.select(F.col(url).alias("a"), F.explode(target).alias("b"))
+    named = r"(?is)[\s\"'/](?:href|content)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+)"
+    sent = r"(?is)^[\s0-9.]*[;,\s]\s*url\s*=\s*[\"']?([^\"']*)"
+    # The attribute's value, without its quotes; of a refresh what follows "url=".
+    value = F.transform(tags, lambda t: F.struct(
+        t.rlike(r"(?is)http-equiv\s*=\s*[\"']?\s*refresh").alias("sends"), decoded(F.regexp_replace(F.regexp_extract(t, named, 1), "^[\"']|[\"']$", "")).alias("text"),
+    ))
+    target = F.transform(value, lambda v: F.trim(F.when(v["sends"], F.regexp_extract(v["text"], sent, 1)).otherwise(v["text"])))
+    rows = pages.select(F.col(url).alias("a"), F.explode(target).alias("target"))
+    rows = rows.select("a", resolved(F.regexp_replace(F.col("target"), r"^\s+|\s+$", ""), F.col("a")).alias("b"))
     return rows.where("a is not null and b <> '' and a <> b")
 
 

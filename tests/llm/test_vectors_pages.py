@@ -123,3 +123,15 @@ def test_site_trees(spark):
     assert len(found) == len(rows) and all(got[k] == f"Story {k} {'abcdefgh'[k]}" for k in range(8))
     assert all(got[20 + k] == "One text under one host" for k in range(8)) and got[40] == got[41] == "" and got[None] == "z"
     assert all(r["n_chars"] == len(r["text"]) for r in found) and sitetree.extract(pages.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("tag, want", [
+    ('<link rel="canonical" href="/es/x">', "https://h.net/es/x"), ("<link rel=canonical href=x.html>", "https://h.net/a/x.html"),
+    ('<link rel="canonical" href="//shop.net/es/1">', "https://shop.net/es/1"), ('<meta property="og:url" content="../es/./y">', "https://h.net/es/y"),
+    ('<meta http-equiv="refresh" content="0; url=/es/z">', "https://h.net/es/z"), ("<meta http-equiv=refresh content=\"0;URL='q?b=1&amp;c=2'\">", "https://h.net/a/q?b=1&c=2"),
+    ('<link rel="canonical" href="https:&#x2F;&#47;s.net/?a=1&amp;amp;b">', "https://s.net/?a=1&amp;b"), ('<link rel="canonical" href="?p=2">', "https://h.net/a/b?p=2"),
+    ('<meta property="og:url" content=" https://s.net/es/ ">', "https://s.net/es/"), ('<link rel="canonical" href="javascript:x">', None),
+])
+def test_targets_of_every_form(spark, tag, want):
+    pages = spark.createDataFrame([("https://h.net/a/b?k=v#f", tag), (None, tag), ("no scheme", tag if want is None else "")], "url string, html string")
+    assert [r["b"] for r in urls.links(pages).collect()] == ([want] if want else [])
