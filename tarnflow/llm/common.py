@@ -6,7 +6,7 @@ import gc
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -72,6 +72,26 @@ def sampled(rows: DataFrame, n_rows, wanted: int, *by) -> DataFrame:
     return rows.where(share < F.lit(float(wanted)) / n_rows)
 
 
+def numbered(rows: DataFrame, by: list[str], order: list, name: str) -> DataFrame:
+    """``rows``, written, with their place ``name`` (from 0) in this order inside each group of the columns ``by``.
+
+    The rows are range-sorted, so a group of any size lies over many tasks; a place is the number of the
+    group's rows in earlier partitions plus those before it in its own. Equal rows get different places.
+    ``by`` must not hold nulls. ``rows`` are read twice and should be written.
+    """
+    keys = [*by, *order, F.col("_tie")]
+    told = rows.withColumn("_tie", F.monotonically_increasing_id())
+    told = told.repartitionByRange(parts(rows.sparkSession), *keys).sortWithinPartitions(*keys).drop("_tie")
+    told = written(told.withColumn("_row", F.monotonically_increasing_id()))
+    part = F.shiftright("_row", 33)
+    counts = told.groupBy(*by, part.alias("_part")).agg(F.min("_row").alias("_least"), F.count("*").alias("_n"))
+    before = Window.partitionBy(*(by or [F.lit(0)])).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select(*by, "_part", (F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_least")).alias("_shift"))
+    return told.withColumn("_part", part).join(offsets, [*by, "_part"]).withColumn(name, F.col("_row") + F.col("_shift")).drop(
+        "_row", "_part", "_shift"
+    )
+
+
 def parts(spark: SparkSession, least: int = 1) -> int:
     return max(least, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
