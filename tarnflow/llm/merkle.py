@@ -97,17 +97,16 @@ def _grow(nodes: DataFrame, height: int) -> DataFrame:
         block = block.append_column("steps", pa.array(steps, pa.list_(pa.string())))
         return block.append_column("top", pa.array([top] * len(block), pa.string())).drop_columns(["_block"])
 
-    placed = nodes.withColumn("_block", F.shiftright("at", height))
-    schema = T.StructType(nodes.schema.fields).add("steps", T.ArrayType(T.StringType())).add("top", T.StringType())
-    return placed.groupBy("run", "_block").applyInArrow(grow, schema)
+    schema = T.StructType([f for f in nodes.schema.fields if f.name != "_block"]).add("steps", T.ArrayType(T.StringType())).add("top", T.StringType())
+    return nodes.groupBy("run", "_block").applyInArrow(grow, schema)
 
 
 def _append(old: list[DataFrame], fresh: DataFrame, height: int) -> list[DataFrame]:
     """Levels after ``fresh`` nodes (run, at, digest, item), which follow or replace the last of the old ones."""
     levels, depth = [], 0
     while True:
-        totals = fresh.groupBy("run").agg(F.min("at").alias("_first"), (F.max("at") + 1).alias("total"))
-        fresh = fresh.join(totals.select("run", "total"), "run")
+        spans = fresh.groupBy("run", F.shiftright("at", height).alias("_block")).agg(F.min("at").alias("_first"), F.max("at").alias("_last"))
+        totals = spans.groupBy("run").agg(F.min("_first").alias("_first"), (F.max("_last") + 1).alias("total"))
         kept = None
         if depth < len(old):
             held = old[depth].join(totals.withColumnRenamed("total", "_total"), "run", "left")
@@ -117,9 +116,13 @@ def _append(old: list[DataFrame], fresh: DataFrame, height: int) -> list[DataFra
             earlier = F.shiftright("at", height) < F.shiftright(first, height)
             shut = first.isNull() | (earlier & (F.col("total") > (1 << height)))
             kept = held.where(shut).select(*old[depth].columns)
-            again = held.where(~shut & (F.col("at") < first)).withColumn("total", F.col("_total"))
-            fresh = fresh.unionByName(again.select(*fresh.columns))
-        after = written(_grow(fresh.select("run", "at", "digest", "item", "total"), height))
+            fresh = fresh.unionByName(held.where(~shut & (F.col("at") < first)).select(*fresh.columns))
+            again = held.where(~shut).select("run", F.shiftright("at", height).alias("_block")).distinct()
+            spans = spans.select("run", "_block").unionByName(again).distinct()
+        # A run's total reaches its rows by way of the blocks, which are few, so no run meets in one task.
+        blocks = spans.select("run", "_block").join(totals.select("run", "total"), "run")
+        placed = fresh.withColumn("_block", F.shiftright("at", height)).join(blocks, ["run", "_block"])
+        after = written(_grow(placed.select("run", "_block", "at", "digest", "item", "total"), height))
         roots = after.where(F.col("total") > (1 << height)).select(
             "run", F.shiftright("at", height).alias("at"), F.col("top").alias("digest"), F.lit(None).cast("string").alias("item")
         ).distinct()
