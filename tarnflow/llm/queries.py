@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tarnflow.llm import balltree, language, merkle, packing, permutation, pii, simhash, sitetree, suffix, urls, wordbpe
+from tarnflow.llm import balltree, language, merkle, negatives, packing, permutation, pii, simhash, sitetree, suffix, urls, weighted, wordbpe
 from tarnflow.llm.common import table
 
 
@@ -61,6 +61,16 @@ def op10_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return wordbpe.digests(table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op11_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = table(spark, folder, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.hard_negatives(vectors.withColumn("label", moved), F.col("id") % 50 == 0, factor=256)
+
+
+def op12_weighted(spark: SparkSession, folder: str) -> DataFrame:
+    return weighted.edited(table(spark, folder, "documents"))
+
+
 def op13_merkle(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     chosen = F.crc32(F.col("doc_id").cast("string")) % 7 == 0
@@ -78,6 +88,8 @@ QUERIES = {
     "op8_packing": op8_packing,
     "op9_pii": op9_pii,
     "op10_bpe": op10_bpe,
+    "op11_negatives": op11_negatives,
+    "op12_weighted": op12_weighted,
     "op13_merkle": op13_merkle,
 }
 
