@@ -19,7 +19,7 @@ from tarnflow.llm.common import numbered, release, written
 
 SAMPLES = 64
 #: Samples computed in one row: few enough for generated code that is compiled whole.
-TOGETHER = 8
+TOGETHER = 4
 #: White space that parts words.
 SPACE = "[ \\t-\\r]"
 ROW = ["_a", "_b"]
@@ -38,34 +38,46 @@ def _half(bits: Column, high: bool) -> Column:
     return (part.cast("double") + 0.5) / 4294967296.0
 
 
+def _draws(j: int) -> list[Column]:
+    """r, ln c and b of the ``j``-th sample of a group; each draw hashes the one before."""
+    first = F.xxhash64("_seed", F.lit(j))
+    second = F.xxhash64(first)
+    third = F.xxhash64(second)
+    r, c = -F.log(_half(first, True) * _half(first, False)), -F.log(_half(second, True) * _half(second, False))
+    return [r.alias(f"_r{j}"), F.log(c).alias(f"_c{j}"), _half(third, True).alias(f"_u{j}")]
+
+
 def _ranks(j: int, names: list[str]) -> list[Column]:
     """Smallest rank of the ``j``-th sample of a group, for each of the columns of log weights."""
-    first, second, third = (F.xxhash64("_word", "_group", F.lit(3 * j + k)) for k in range(3))
-    r, c, b = -F.log(_half(first, True) * _half(first, False)), -F.log(_half(second, True) * _half(second, False)), _half(third, True)
-    return [F.min(F.log(c) - r * (F.floor(F.col(n) / r + b) - b + 1.0)).alias(f"{n}_{j}") for n in names]
+    r, c, b = F.col(f"_r{j}"), F.col(f"_c{j}"), F.col(f"_u{j}")
+    return [F.min(c - r * (F.floor(F.col(n) / r + b) - b + 1.0)).alias(f"{n}_{j}") for n in names]
 
 
 def signatures(words: DataFrame, names: list[str]) -> DataFrame:
     """One fingerprint a row and name, from (``_a``, ``_b``, ``_word`` hash, log weights under ``names``, null for none).
 
-    512 hex digits, eight a sample; texts without words have zeros. Rows that have the same hashes are one.
+    128 bytes, two a sample, so other samples agree by chance once in 65536; texts without words have
+    zeros. Rows that have the same hashes are one.
     """
     grouped = words.withColumn("_group", F.explode(F.sequence(F.lit(0), F.lit(SAMPLES // TOGETHER - 1))))
-    least = grouped.groupBy(*ROW, "_group").agg(*[x for j in range(TOGETHER) for x in _ranks(j, names)])
+    # Drawn once for all names, in a step of their own.
+    seeded = grouped.select(*ROW, *names, "_group", F.xxhash64("_word", "_group").alias("_seed"))
+    drawn = seeded.select(*ROW, *names, "_group", *[x for j in range(TOGETHER) for x in _draws(j)])
+    least = drawn.groupBy(*ROW, "_group").agg(*[x for j in range(TOGETHER) for x in _ranks(j, names)])
 
     def shown(name: str) -> Column:
         each = [F.col(f"{name}_{j}") for j in range(TOGETHER)]
-        bits = [F.when(x.isNull(), F.lit(0)).otherwise(F.xxhash64(x).bitwiseAND(F.lit(0xFFFFFFFF))) for x in each]
-        return F.concat(*[F.lower(F.lpad(F.hex(x), 8, "0")) for x in bits])
+        bits = [F.when(x.isNull(), F.lit(0)).otherwise(F.xxhash64(x).bitwiseAND(F.lit(0xFFFF))) for x in each]
+        return F.concat(*[F.lpad(F.hex(x), 4, "0") for x in bits])
 
     told = least.select(*ROW, F.struct("_group", *[shown(n).alias(n) for n in names]).alias("_told"))
     told = told.groupBy(*ROW).agg(F.sort_array(F.collect_list("_told")).alias("_told"))
-    return told.select(*ROW, *[F.array_join(F.col(f"_told.{n}"), "").alias(n) for n in names])
+    return told.select(*ROW, *[F.unhex(F.array_join(F.col(f"_told.{n}"), "")).alias(n) for n in names])
 
 
 def likeness(a: Column, b: Column) -> Column:
-    """Share of equal samples of two fingerprints."""
-    same = [(F.substring(a, 8 * k + 1, 8) == F.substring(b, 8 * k + 1, 8)).cast("int") for k in range(SAMPLES)]
+    """Share of equal samples of two fingerprints (binary)."""
+    same = [(F.substring(a, 2 * k + 1, 2) == F.substring(b, 2 * k + 1, 2)).cast("int") for k in range(SAMPLES)]
     total = same[0]
     for x in same[1:]:
         total = total + x
@@ -90,7 +102,7 @@ def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
     """
     rows = _named(docs, key, text)
     named = rows.groupBy(*ROW).agg(F.min("_text").alias("_piece")).withColumn("fingerprint", F.lit(1))
-    made = written(signatures(counted(named, ["fingerprint"]), ["fingerprint"]))
+    made = written(signatures(counted(named, ["fingerprint"]), ["fingerprint"])).withColumn("fingerprint", F.lower(F.hex("fingerprint")))
     return rows.select(*ROW, F.col("_key").alias(key)).join(made, ROW).drop(*ROW)
 
 
@@ -127,12 +139,12 @@ def edited(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFram
     names = ["fingerprint", "edited_fingerprint"]
     # Both branches read the same exchanges, and the join needs none: everything is kept by row.
     signed = signatures(counted(both.select(*ROW, F.inline(pieces)), names), names)
-    sums = both.select(*ROW, F.sha2(F.col("_edited").cast("binary"), 256).alias("edited_sha256"))
+    sums = both.select(*ROW, F.unhex(F.sha2(F.col("_edited").cast("binary"), 256)).alias("edited_sha256"))
     made = written(signed.join(sums, ROW))
     release(docs.sparkSession)
     nexts = made.select(F.col("_a").alias("_na"), F.col("_b").alias("_nb"), F.col("fingerprint").alias("_nf"))
     compared = placed.join(nexts, ["_na", "_nb"]).join(made, ROW).select(
-        *ROW, "n_chars", "edited_sha256", *names, likeness(F.col("fingerprint"), F.col("edited_fingerprint")).alias("near_edited"),
+        *ROW, "n_chars", F.lower(F.hex("edited_sha256")).alias("edited_sha256"), *[F.lower(F.hex(n)).alias(n) for n in names], likeness(F.col("fingerprint"), F.col("edited_fingerprint")).alias("near_edited"),
         likeness(F.col("fingerprint"), F.col("_nf")).alias("near_next"),
     )
     return rows.select(*ROW, F.col("_key").alias(key)).join(compared, ROW).drop(*ROW)

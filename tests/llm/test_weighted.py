@@ -54,7 +54,7 @@ def test_equal_texts_have_equal_fingerprints(table, got):
         by.setdefault(r["doc_id"], []).append(r)
     assert len(by[107]) == 3 and len({r["fingerprint"] for r in by[107] + by[109]}) == 1
     assert by[103][0]["fingerprint"] == by[104][0]["fingerprint"] != by[105][0]["fingerprint"]
-    assert {by[k][0]["fingerprint"] for k in (100, 101, 102)} == {"0" * 512} and {len(r["fingerprint"]) for r in got} == {512}
+    assert {by[k][0]["fingerprint"] for k in (100, 101, 102)} == {"0" * 256} and {len(r["fingerprint"]) for r in got} == {256}
     assert by[101][0]["near_next"] == 1.0
     alone = {(r["doc_id"], r["fingerprint"]) for r in weighted.fingerprints(table[1]).collect()}
     assert alone == {(r["doc_id"], r["fingerprint"]) for r in got}
