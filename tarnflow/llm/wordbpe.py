@@ -12,9 +12,11 @@ from __future__ import annotations
 
 import hashlib
 import json
+import re
+import sys
 import unicodedata
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import cached_property, lru_cache
 
 import numpy as np
 import pandas as pd
@@ -51,6 +53,11 @@ class WordBpe:
         self.cut = regex.compile("(" + "|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))) + ")")
         split = spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
         self.words = regex.compile(split).findall
+        self.path = path
+        gaps = [c for c in range(128, sys.maxunicode + 1) if unicodedata.category(chr(c)) == "Cn" or unicodedata.combining(chr(c))]
+        ends = [k for k in range(len(gaps)) if k + 1 == len(gaps) or gaps[k + 1] > gaps[k] + 1]
+        spans = zip([0, *(k + 1 for k in ends[:-1])], ends)
+        self.unknown = re.compile("[" + "".join(f"{re.escape(chr(gaps[a]))}-{re.escape(chr(gaps[b]))}" for a, b in spans) + "]").search
         letters = byte_letters()
         self.inner = np.array([vocab[c] for c in letters], dtype=np.int64)
         self.last = np.array([vocab[c + end] for c in letters], dtype=np.int64)
@@ -113,8 +120,22 @@ class WordBpe:
         counts = np.bincount(owner, minlength=len(raw))
         return np.split(symbols, np.cumsum(counts)[:-1])
 
-    def _pieces(self, text: str) -> list[str]:
-        """Runs between white space of a normalised text."""
+    @cached_property
+    def library(self):
+        from tokenizers import Tokenizer
+
+        return Tokenizer.from_file(self.path)
+
+    def _pieces(self, text: str) -> list[str | tuple[str]]:
+        """Runs between white space of a normalised text, to be parted into words, or words as they are in tuples.
+
+        Python and ``regex`` know other versions of Unicode than the tokenizers library. Where a text has a
+        character that Python's tables lack, or a combining one, whose order may differ, the library is
+        asked for its normal form and its words.
+        """
+        if not text.isascii() and self.unknown(text):
+            normal = self.library.normalizer.normalize_str(text)
+            return [(w,) for w, _ in self.library.pre_tokenizer[0].pre_tokenize_str(normal)]
         if not unicodedata.is_normalized("NFC", text):
             text = unicodedata.normalize("NFC", text)
         # Letter by letter: no rule for the sigma at a word's end.
@@ -125,7 +146,7 @@ class WordBpe:
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """Ids of each text, as little-endian unsigned 32-bit integers."""
-        flat: list[str] = []
+        flat: list[str | tuple[str]] = []
         ends = []
         for text in texts:
             for k, part in enumerate(self.cut.split(text)):
@@ -136,11 +157,12 @@ class WordBpe:
             ends.append(len(flat))
         if not flat:
             return [np.zeros(0, dtype="<u4") for _ in texts]
-        codes, different = pd.factorize(np.array(flat, dtype=object))
+        different: dict[str | tuple[str], int] = {}
+        codes = np.fromiter((different.setdefault(piece, len(different)) for piece in flat), dtype=np.int64, count=len(flat))
         words: dict[str, int] = {}
         owned = []
         for piece in different:
-            found = [piece] if piece in self.special else self.words(piece)
+            found = list(piece) if isinstance(piece, tuple) else [piece] if piece in self.special else self.words(piece)
             owned.append([words.setdefault(w, len(words)) for w in found])
         plain = [w for w in words if w not in self.special]
         ids = dict(zip(plain, self.merged(plain)))
