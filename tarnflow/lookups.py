@@ -1,6 +1,6 @@
 """Code lists and lookup tables.
 
-All of these are fixed and tiny, so they are the only tables the library broadcasts by hint.
+All of these are fixed and small; the optimizer broadcasts them by their measured size.
 """
 
 from __future__ import annotations
@@ -38,6 +38,8 @@ PARAMETER_SCOPE = {
     "Q": ("262*",), "WT": ("450*", "451*"), "OP": ("863*",), "DO": ("866*",), "TRB": ("811*",),
     "TP": (), "TSS": (), "N": (), "TKN": (),
 }
+# Parameter numbers offered when no constituent is asked for.
+OFFERED_NUMBERS = ("262*", "450*", "451*", "863*", "866*")
 PARAMETER_SCOPE_LOAD = {
     "Q": ("262*",), "WT": ("450*", "451*"), "OP": ("863*", "5034", "5035"), "DO": ("866*",),
     "TP": ("5005", "5004"), "TSS": ("5014", "5015"), "N": ("5024", "5025"), "TKN": ("5044", "5045"),

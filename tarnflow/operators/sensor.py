@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from tarnflow import lookups
 from tarnflow.functions import codes, measures, timing
-from tarnflow.operators.filters import drop_incomplete_keys, parameter_scope
+from tarnflow.operators.filters import drop_incomplete_keys
 
 RENAMES = {
     "station_no": "station_id",
@@ -68,9 +69,13 @@ def tag_origin(df: DataFrame, origin: str) -> DataFrame:
 def available_series(df: DataFrame, constituent: str | None = None) -> DataFrame:
     """Series on offer with their constituent (A14, sensor): unit-value series, repeats kept.
 
-    Only parameter numbers of the given constituent, or of any constituent, are on offer.
+    Without a constituent those of the parameter numbers offered by default; with one those of its own numbers,
+    and all numbers for a constituent that has none.
     """
-    from tarnflow.lookups import UNIT_SERIES
-
-    rows = parameter_scope(df.filter(F.col("ts_name").isin(*UNIT_SERIES)), constituent)
+    if constituent is not None and constituent not in lookups.CONSTITUENTS:
+        raise ValueError(f"Invalid constituent: {constituent}; known: {', '.join(lookups.CONSTITUENTS)}")
+    patterns = lookups.OFFERED_NUMBERS if constituent is None else lookups.PARAMETER_SCOPE[constituent]
+    rows = df.filter(F.col("ts_name").isin(*lookups.UNIT_SERIES))
+    if patterns:
+        rows = rows.filter(codes.matches(F.col("stationparameter_no"), patterns))
     return rows.transform(sensor_columns)

@@ -3,12 +3,15 @@
 Station tables are partitioned by ``station_bucket``, a hash of the station's name, so that a
 question about a station reads one bucket and replacing a station rewrites one bucket. Writers are
 rebalanced by bucket with the adaptive planner splitting a bucket that has grown too big for one
-task.
+task. Every write makes a new version folder, and a load shows in all its tables at once, see
+:mod:`tarnflow.plans.versions`. A bucket spread over too many versions is written together again.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable
+from functools import reduce
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
@@ -19,10 +22,12 @@ from tarnflow.operators.baseflow import baseflow
 from tarnflow.operators.filters import quality_filter
 from tarnflow.operators.outlets import Outlets
 from tarnflow.plans import pipelines, query
-from tarnflow.shared import cut
+from tarnflow.plans.versions import Change, States
 from tarnflow.sources.tables import clean_lab, load_lookups, type_sensor
 
 BUCKET = "station_bucket"
+#: Versions a bucket may lie in before it is written together.
+MOST_VERSIONS = 8
 
 
 class Table(NamedTuple):
@@ -41,6 +46,12 @@ TABLES = {
 }
 
 
+OBSERVATION_VIEWS = (
+    "analytics_observations", "analytics_outlet_observations", "analytics_outlet_observations_with_flow",
+    "reports_constituent_summary", "reports_outlet_constituent_summary",
+)
+
+
 def write_parquet(df: DataFrame, path: str, codec: str = "snappy", mode: str = "error") -> None:
     """Parquet folder (K5)."""
     df.write.mode(mode).option("compression", codec).parquet(path)
@@ -69,13 +80,13 @@ class Warehouse:
         an existing one is opened with its own number, and any other is refused.
         """
         self.spark, self.root = spark, root.rstrip("/")
-        stored = self.exists("_buckets")
-        held = spark.read.schema("buckets int").parquet(self.path("_buckets")).first()[0] if stored else None
+        self.states = States(spark, self.root)
+        held = self.states.latest()[1].get("buckets")
         if None not in (held, buckets) and held != buckets:
             raise ValueError(f"{root} is kept in {held} buckets, not {buckets}")
         self.buckets = held or buckets or 64
-        if not stored:
-            self.spark.range(1).select(F.lit(self.buckets).alias("buckets")).write.parquet(self.path("_buckets"))
+        if held is None:
+            self.states.publish(0, {"buckets": self.buckets, "tables": {}})
 
     # ---- Tables ---------------------------------------------------------------------------
 
@@ -85,24 +96,8 @@ class Warehouse:
     def _bucket(self, station) -> F.Column:
         return F.pmod(F.hash(station), F.lit(self.buckets))
 
-    def _files(self, name: str):
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.path(name))
-        return path.getFileSystem(self.spark._jsc.hadoopConfiguration()), path
-
     def exists(self, name: str) -> bool:
-        files, path = self._files(name)
-        return files.exists(path)
-
-    def _table(self, name: str) -> Table | None:
-        """What a table holds: its own columns, or those of the staging table it was promoted from."""
-        for source in TABLES:
-            if name in TABLES and self.exists(f"_promoted.{name}.{source}"):
-                return TABLES[source]
-        return TABLES.get(name)
-
-    def _unpromote(self, name: str) -> None:
-        files, path = self._files(f"_promoted.{name}")
-        files.delete(path, True)
+        return name in self.states.latest()[1]["tables"] or (name not in TABLES and self.states.files().exists(self.states.path(name.replace(".", "/"))))
 
     def validate(self, expected: Iterable[str] = tuple(TABLES)) -> None:
         """Error naming the tables that are missing (V2)."""
@@ -110,41 +105,99 @@ class Warehouse:
         if missing:
             raise ValueError(f"Missing tables: {', '.join(missing)}")
 
+    def _own_columns(self, name: str) -> bool:
+        """Whether a table has its own columns, not those of a staging table promoted to its place."""
+        return self.states.latest()[1]["tables"].get(name, {"kind": name})["kind"] == name
+
     def read(self, name: str, stations: Iterable[str] | None = None, with_bucket: bool = False) -> DataFrame:
         """A table, or its rows of some stations (reading only their buckets)."""
-        table = self._table(name)
-        if table is None:
+        if name not in TABLES:
             return self.spark.read.parquet(self.path(name))
+        held = self.states.latest()[1]["tables"].get(name)
+        if held is None:
+            raise ValueError(f"Missing tables: {name}")
+        table, rows = TABLES[held["kind"]], self._rows(name, held["kind"], held["versions"])
         if table.station is None:
-            return self.spark.read.schema(table.schema).parquet(self.path(name))
-        stored = T.StructType(table.schema.fields + [T.StructField(BUCKET, T.IntegerType())])
-        rows = self.spark.read.schema(stored).parquet(self.path(name))
+            return rows
         if stations is not None:
             stations = list(stations)
             buckets = [self._bucket(F.lit(s)) for s in stations]
             rows = rows.filter(F.col(BUCKET).isin(*buckets) & F.col(table.station).isin(*stations))
         return rows if with_bucket else rows.drop(BUCKET)
 
-    def _write(self, name: str, df: DataFrame, mode: str, dynamic: bool = False) -> None:
-        table = self._table(name)
-        rows = schemas.conform(df, table.schema)
+    def _rows(self, name: str, kind: str, versions: dict[str, dict]) -> DataFrame:
+        """Rows of version folders, with the bucket if the table has one."""
+        table = TABLES[kind]
+        fields = table.schema.fields + ([T.StructField(BUCKET, T.IntegerType())] if table.station else [])
+        if not versions:
+            return self.spark.createDataFrame([], T.StructType(fields))
+        stored = T.StructType(fields + [T.StructField("version", T.StringType())])
+        paths = [f"{self.path(name)}/version={v}" for v in versions]
+        rows = self.spark.read.schema(stored).option("basePath", self.path(name)).parquet(*paths)
+        if not all(held["whole"] for held in versions.values()):
+            counts = [F.col("version").isin(*[v for v, held in versions.items() if held["whole"]])]
+            counts += [(F.col("version") == v) & F.col(BUCKET).isin(*held["buckets"]) for v, held in versions.items() if not held["whole"]]
+            rows = rows.filter(reduce(lambda a, b: a | b, counts))
+        return rows.drop("version")
+
+    def _stage(self, name: str, kind: str, df: DataFrame) -> tuple[str, list[int] | None]:
+        """Rows into a new version folder, which no state names yet: its name and its buckets."""
+        table, version = TABLES[kind], "v" + uuid.uuid4().hex
+        rows, folder = schemas.conform(df, table.schema), f"{self.path(name)}/version={version}"
         if table.station is None:
-            rows.write.mode(mode).parquet(self.path(name))
-            return
+            rows.write.parquet(folder)
+            return version, None
         spread = rows.withColumn(BUCKET, self._bucket(F.col(table.station))).hint("rebalance", BUCKET)
-        writer = spread.write.mode(mode).partitionBy(BUCKET)
-        if dynamic:
-            writer = writer.option("partitionOverwriteMode", "dynamic")
-        writer.parquet(self.path(name))
+        spread.write.partitionBy(BUCKET).parquet(folder)
+        made = self.states.listed(folder.removeprefix(f"{self.root}/"))
+        return version, [int(n.partition("=")[2]) for n in made if n.startswith(f"{BUCKET}=")]
+
+    def _add(self, change: Change, name: str, df: DataFrame) -> None:
+        """Rows after those a table holds; buckets in too many versions are written together."""
+        if name not in change.tables:
+            change.replace(name, name)
+        kind = change.tables[name]["kind"]
+        change.add(name, *self._stage(name, kind, df))
+        if TABLES[kind].station is None:
+            return
+        spread: dict[int, int] = {}
+        for held in change.versions(name).values():
+            for bucket in held["buckets"]:
+                spread[bucket] = spread.get(bucket, 0) + 1
+        wide = {bucket for bucket, n in spread.items() if n > MOST_VERSIONS}
+        if wide:
+            rows = self._rows(name, kind, change.versions(name)).filter(F.col(BUCKET).isin(*sorted(wide)))
+            together = self._stage(name, kind, rows.drop(BUCKET))
+            change.without(name, wide)
+            change.add(name, *together)
+
+    def _replace_stations(self, change: Change, name: str, df: DataFrame, stations: list[str]) -> None:
+        """The buckets of these stations are written without them, then ``df`` is added."""
+        if name not in change.tables:
+            change.replace(name, name)
+        kind = change.tables[name]["kind"]
+        if stations:
+            touched = self.spark.range(1).select(F.explode(F.array(*[self._bucket(F.lit(s)) for s in stations])).alias("b")).distinct()
+            buckets = {r[0] for r in touched.collect()}
+            held = self._rows(name, kind, change.versions(name)).filter(F.col(BUCKET).isin(*sorted(buckets))).drop(BUCKET)
+            left = self._stage(name, kind, replace_station_rows(held, held.limit(0), stations, TABLES[kind].station))
+            change.without(name, buckets)
+            change.add(name, *left)
+        self._add(change, name, df)
 
     def append(self, name: str, df: DataFrame) -> None:
         """Rows in the table's own columns and order (K1)."""
-        self._write(name, df, "append")
-
-    def replace(self, name: str, df: DataFrame) -> None:
-        """The whole table (K2). ``df`` must not read the table itself."""
-        self._unpromote(name)
-        self._write(name, df, "overwrite")
+        change = Change(self.states)
+        self._add(change, name, df)
+        change.publish()
+
+    def replace(self, name: str, df: DataFrame, kind: str | None = None) -> None:
+        """The whole table (K2), which ``df`` may read. With ``kind``, in the columns of that table."""
+        change = Change(self.states)
+        made = self._stage(name, kind or name, df)
+        change.replace(name, kind or name)
+        change.add(name, *made)
+        change.publish()
 
     def promote(self, staging: str, target: str) -> None:
         """A staging table copied as it is under another name, columns included (K3).
@@ -152,38 +205,36 @@ class Warehouse:
         A table of the warehouse then has the staging table's columns until it is replaced.
         """
         if target in TABLES:
-            self._unpromote(target)
-            rows = self.read(staging)
-            self.spark.range(0).write.parquet(self.path(f"_promoted.{target}.{staging}"))
-            self._write(target, rows, "overwrite")
+            self.replace(target, self.read(staging), staging)
         else:
             self.read(staging).write.mode("overwrite").parquet(self.path(target))
 
     def replace_stations(self, name: str, df: DataFrame, stations: Iterable[str]) -> None:
-        """Drop these stations' rows, then add ``df`` (K4).
+        """Drop these stations' rows, then add ``df`` (K4), in one step.
 
-        The buckets of these stations and of every station in ``df`` are read and written, since a
-        dynamic overwrite replaces each bucket it has rows for; other stations in them stay. The
-        swap happens when the job commits. A bucket left without any row is emptied on its own.
+        Only the buckets of these stations are read and written again; other stations in them stay.
         """
-        table, stations = self._table(name), list(stations)
-        bucket = self._bucket(F.col(table.station))
-        # Used several times below, so computed once; so is the merge.
-        rows = cut(schemas.conform(df, table.schema))
-        named = self.spark.range(1).select(F.explode(F.array(*[self._bucket(F.lit(s)) for s in stations])).alias("b")) if stations else None
-        incoming = rows.select(bucket.alias("b")).distinct()
-        touched = sorted(r[0] for r in (incoming.union(named).distinct() if stations else incoming).collect())
-        if not touched:
-            return
-        stored = T.StructType(table.schema.fields + [T.StructField(BUCKET, T.IntegerType())])
-        existing = self.spark.read.schema(stored).parquet(self.path(name)).filter(F.col(BUCKET).isin(*touched))
-        held = {r[0] for r in existing.select(BUCKET).distinct().collect()}
-        merged = cut(replace_station_rows(existing.drop(BUCKET), rows, stations, table.station))
-        left = {r[0] for r in merged.select(bucket).distinct().collect()}
-        self._write(name, merged, "overwrite", dynamic=True)
-        for bucket in sorted(held - left):
-            empty = self.spark.createDataFrame([], table.schema)
-            empty.write.mode("overwrite").parquet(f"{self.path(name)}/{BUCKET}={bucket}")
+        change = Change(self.states)
+        self._replace_stations(change, name, df, list(stations))
+        change.publish()
+
+    def vacuum(self) -> list[str]:
+        """Delete version folders and states that the newest state does not name; returns the versions deleted.
+
+        Not to be run beside a load or a reader of an earlier state.
+        """
+        number, content = self.states.latest()
+        gone = []
+        for name in TABLES:
+            folder = name.replace(".", "/")
+            for version in self.states.listed(folder):
+                if version.removeprefix("version=") not in content["tables"].get(name, {"versions": {}})["versions"]:
+                    self.states.remove(f"{folder}/{version}")
+                    gone.append(f"{name}/{version}")
+        for old in self.states.numbers():
+            if old < number:
+                self.states.remove(f"_states/{old:012d}.json")
+        return gone
 
     def template(self, name: str) -> DataFrame:
         """No rows in a table's columns (K8)."""
@@ -226,13 +277,17 @@ class Warehouse:
     ) -> None:
         """Staging -> hourly observations -> baseflow.
 
-        The hourly table is written first and baseflow reads its flow rows back, so staging is
-        scanned once.
+        The hourly rows are written first and baseflow reads its flow rows back, so staging is scanned
+        once; both show together.
         """
+        name, change = "analytics.wiski", Change(self.states)
         staged = type_sensor(self.read("staging.wiski"))
-        self.replace("analytics.wiski", pipelines.sensor_hourly(staged, filter_quality, accepted))
-        hourly = self.read("analytics.wiski").filter(F.col("constituent") == views.FLOW)
-        self.append("analytics.wiski", baseflow(hourly, origin=lookups.SENSOR_ORIGIN, **baseflow_options))
+        hourly = self._stage(name, name, pipelines.sensor_hourly(staged, filter_quality, accepted))
+        change.replace(name, name)
+        change.add(name, *hourly)
+        flow = self._rows(name, name, change.versions(name)).drop(BUCKET).filter(F.col("constituent") == views.FLOW)
+        change.add(name, *self._stage(name, name, baseflow(flow, origin=lookups.SENSOR_ORIGIN, **baseflow_options)))
+        change.publish()
         self.refresh_views()
 
     def process_lab(self) -> None:
@@ -246,12 +301,14 @@ class Warehouse:
         self.process_lab()
 
     def _load(self, source: str, raw: DataFrame, done: DataFrame, stations: list[str], overwrite: bool) -> None:
-        if overwrite:
-            self.replace_stations(f"staging.{source}", raw, stations)
-            self.replace_stations(f"analytics.{source}", done, stations)
-        else:
-            self.append(f"staging.{source}", raw)
-            self.append(f"analytics.{source}", done)
+        """Staging and analytics in one step: a load that fails anywhere leaves both as they were."""
+        change = Change(self.states)
+        for name, rows in ((f"staging.{source}", raw), (f"analytics.{source}", done)):
+            if overwrite:
+                self._replace_stations(change, name, rows, stations)
+            else:
+                self._add(change, name, rows)
+        change.publish()
         self.refresh_views()
 
     def load_sensor(self, raw: DataFrame, stations: Iterable[str], overwrite: bool = True, **options) -> None:
@@ -293,8 +350,8 @@ class Warehouse:
         return quality_filter(rows, accepted) if accepted is not None else quality_filter(rows)
 
     def sensor_hourly_view(self) -> DataFrame:
-        """Means per started hour of the filtered sensor rows."""
-        return sensor.hourly_bucket(self.sensor_filtered())
+        """Means per started hour of all staged sensor rows, normalised."""
+        return sensor.hourly_bucket(sensor.normalize(type_sensor(self.read("staging.wiski"))))
 
     def pairs(self) -> DataFrame:
         return outlet_ops.station_reach_pairs(
@@ -302,24 +359,36 @@ class Warehouse:
         )
 
     def views(self) -> dict[str, DataFrame]:
-        obs, outlet_obs = self.observations(), self.outlet_observations()
-        return {
-            "analytics_observations": obs,
-            "analytics_outlet_observations": outlet_obs,
-            "analytics_outlet_observations_with_flow": views.with_flow(outlet_obs),
+        """All views that the tables allow: those over observations need tables with the columns of observations."""
+        found = {
             "outlets_station_reach_pairs": self.pairs(),
             "reports_wiski_qc_count": views.qc_counts(
                 self.read("staging.wiski"), self.read("mappings.wiski_quality_codes")
             ),
             "analytics_wiski_hourly": self.sensor_hourly_view(),
             "analytics_wiski_filtered": self.sensor_filtered(),
-            "reports_constituent_summary": views.constituent_summary(obs),
-            "reports_outlet_constituent_summary": views.outlet_constituent_summary(outlet_obs),
         }
+        if self._own_columns("analytics.equis") and self._own_columns("analytics.wiski"):
+            obs, outlet_obs = self.observations(), self.outlet_observations()
+            found |= {
+                "analytics_observations": obs,
+                "analytics_outlet_observations": outlet_obs,
+                "analytics_outlet_observations_with_flow": views.with_flow(outlet_obs),
+                "reports_constituent_summary": views.constituent_summary(obs),
+                "reports_outlet_constituent_summary": views.outlet_constituent_summary(outlet_obs),
+            }
+        return found
 
     def refresh_views(self) -> None:
-        """Register all analytics and report views for SQL; nothing is computed (K9)."""
-        for name, df in self.views().items():
+        """Register all analytics and report views for SQL; nothing is computed (K9).
+
+        A view that a promoted table leaves without its columns is dropped until the table is replaced.
+        """
+        found = self.views()
+        for name in OBSERVATION_VIEWS:
+            if name not in found:
+                self.spark.catalog.dropTempView(name)
+        for name, df in found.items():
             df.createOrReplaceTempView(name)
 
     def observation_data(self, stations: Iterable[str], constituent: str, period: str | None = None, agg: str | None = None) -> DataFrame:

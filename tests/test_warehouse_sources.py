@@ -99,6 +99,64 @@ def test_replacing_with_nothing_empties_the_bucket(spark, warehouse):
     assert w.read("analytics.wiski", ["H3"]).count() == 0
 
 
+def test_a_failed_load_leaves_staging_and_analytics(spark, warehouse, rows):
+    w = warehouse
+    options = {"a": 0.95, "c": 0.02, "min_per_year": 1}
+    w.load_sensor(sensor_batch(spark, ["H1", "H2"]), ["H1", "H2"], **options)
+    before = [rows(w.read(f"{part}.wiski")) for part in ("staging", "analytics")]
+    state = w.states.latest()
+    raw = sensor_batch(spark, ["H1"], hours=5)
+    broken = w.template("analytics.wiski").unionByName(
+        observation(spark, [(T0, 1.0, "H1", "wiski", "Q", "cfs")]).withColumn("value", F.raise_error(F.lit("lost on the way")).cast("double")))
+    for overwrite in (True, False):
+        with pytest.raises(Exception, match="lost on the way"):
+            w._load("wiski", raw, broken, ["H1"], overwrite)
+    assert [rows(w.read(f"{part}.wiski")) for part in ("staging", "analytics")] == before and w.states.latest() == state
+    # What the failed loads had written is no part of any state, and goes when asked.
+    assert w.vacuum() and w.vacuum() == []
+    assert [rows(w.read(f"{part}.wiski")) for part in ("staging", "analytics")] == before
+
+
+def test_two_writers_and_readers_of_one_state(spark, warehouse, rows):
+    from tarnflow.plans.versions import Change
+
+    w = warehouse
+    w.append("analytics.wiski", observation(spark, [(T0, 1.0, "H1", "wiski", "Q", "cfs")]))
+    reader = w.read("analytics.wiski")
+    mine, other = Change(w.states), Change(w.states)
+    w._add(mine, "analytics.wiski", observation(spark, [(T0, 2.0, "H1", "wiski", "Q", "cfs")]))
+    w._replace_stations(other, "analytics.wiski", observation(spark, [(T0, 3.0, "H1", "wiski", "Q", "cfs")]), ["H1"])
+    other.publish()
+    with pytest.raises(RuntimeError, match="another change"):
+        mine.publish()
+    assert rows(w.read("analytics.wiski"), "value") == [(3.0,)] and rows(reader, "value") == [(1.0,)]
+
+
+def test_many_appends_stay_in_few_versions(spark, warehouse, rows):
+    from tarnflow.plans.warehouse import MOST_VERSIONS
+
+    w = warehouse
+    for k in range(2 * MOST_VERSIONS + 3):
+        w.append("analytics.wiski", observation(spark, [(T0, float(k), "H1", "wiski", "Q", "cfs"), (T0, float(k), f"H{k}", "wiski", "WT", "degf")]))
+    held = w.states.latest()[1]["tables"]["analytics.wiski"]["versions"]
+    for bucket in range(w.buckets):
+        assert sum(bucket in v["buckets"] for v in held.values()) <= MOST_VERSIONS
+    assert w.read("analytics.wiski").count() == 2 * (2 * MOST_VERSIONS + 3)
+    assert rows(w.read("analytics.wiski", ["H1"]).filter("constituent = 'Q'"), "value") == sorted([(float(k),) for k in range(2 * MOST_VERSIONS + 3)], key=lambda r: f"{r[0]}")
+
+
+def test_views_after_a_promoted_table(spark, warehouse):
+    w = warehouse
+    w.load_lab(lab_batch(spark, ["S1"]), ["S1"])
+    w.promote("staging.equis", "analytics.equis")
+    w.append("staging.wiski", sensor_batch(spark, ["H1"]))
+    w.process_sensor(a=0.95, c=0.02, min_per_year=1)
+    assert "SYS_LOC_CODE" in w.read("analytics.equis").columns and w.read("analytics.wiski").count() == 48 * 3
+    assert spark.catalog.tableExists("analytics_wiski_hourly") and not spark.catalog.tableExists("analytics_observations")
+    w.process_lab()
+    assert spark.table("analytics_observations").count() == 48 * 3 + 5
+
+
 def test_station_question_reads_one_bucket(spark, warehouse):
     w = warehouse
     w.append("analytics.wiski", observation(spark, [(T0, 1.0, f"H{i}", "wiski", "Q", "cfs") for i in range(40)]))
@@ -149,7 +207,7 @@ def test_writers(spark, tmp_path):
     write_parquet(df, str(tmp_path / "p"), "gzip")
     assert [p.name for p in (tmp_path / "p").glob("*.gz.parquet")]
     write_csv(df, str(tmp_path / "c"), header=False, sep="|")
-    assert next((tmp_path / "c").glob("*.csv")).read_text().count("|") == 5
+    assert "".join(part.read_text() for part in (tmp_path / "c").glob("*.csv")).count("|") == 5
 
 
 def test_landed_files(spark, tmp_path, rows):
