@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tarnflow import schemas
 from tarnflow.functions import timing
-from tarnflow.sources import read_station_registry, type_sensor
+from tarnflow.sources import read_station_registry, type_sensor, with_row_order
 
 LAB_CODES = (
     "479-61-8", "CHLA-CORR", "BOD", "NO2NO3", "14797-55-8", "14797-65-0", "14265-44-2", "N-KJEL",
@@ -209,7 +209,7 @@ def registry_parts(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     """Sensor and laboratory station tables."""
     key, nation = F.col("s_suppkey"), F.col("s_nationkey")
     places = (
-        table(spark, sf, "supplier")
+        with_row_order(table(spark, sf, "supplier"))
         .join(table(spark, sf, "nation"), nation == F.col("n_nationkey"))
         .join(table(spark, sf, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
     )
@@ -225,6 +225,7 @@ def registry_parts(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
         F.col("s_name").alias("comments"),
         F.when(key % 2 == 0, "yes").alias("modeled"),
         F.when(nation != 24, F.col("r_name")).alias("repo_name"),
+        "row_order",
     ]
     sensors = places.select(sensor_station(key % 5).alias("station_id"), *shared, (key % 2).cast("int").alias("wplmn_flag"))
     labs = places.select(lab_station(key).alias("station_id"), *shared)

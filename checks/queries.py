@@ -236,6 +236,16 @@ def _(s, d):
     return w.read("analytics.equis").select(*_LAB_SHOWN)
 
 
+@check("k3_then_process", f"SELECT {_OBS} FROM sensor_obs UNION ALL SELECT {_OBS} FROM lab_obs")
+def _(s, d):
+    w = _staged(s, d)
+    w.promote("staging.equis", "analytics.equis")
+    w.process_sensor(**FIXED_FILTER)
+    first = w.read("analytics.wiski")
+    w.process_lab()
+    return r6(first.unionByName(w.read("analytics.equis").select(*first.columns)), "value")
+
+
 @check("k4_replace_stations", f"""
     SELECT {_OBS} FROM sensor_obs WHERE station_id NOT IN ('E00', 'H01')
     UNION ALL
@@ -820,6 +830,24 @@ def _(s, d):
     return sensor.available_series(I.sensor(s, d)).select("station_id", "ts_name", "ts_id", "stationparameter_no")
 
 
+_RENUMBERED = """(SELECT * REPLACE (CASE WHEN stationparameter_no = '5004' AND "Quality Code" % 2 = 0 THEN '811.3' ELSE stationparameter_no END
+    AS stationparameter_no) FROM sensor WHERE ts_name IN ('15.Rated','09.Archive','08.Provisional.Edited'))"""
+
+
+@check("a14_available_sensor_numbers", f"""
+    SELECT 'default' AS asked, station_no AS station_id, ts_name, stationparameter_no FROM {_RENUMBERED} WHERE stationparameter_no IN ('262.1','450.42','863','866')
+    UNION ALL SELECT 'TRB', station_no, ts_name, stationparameter_no FROM {_RENUMBERED} WHERE stationparameter_no = '811.3'
+    UNION ALL SELECT 'TP', station_no, ts_name, stationparameter_no FROM {_RENUMBERED}""")
+def _(s, d):
+    number = F.col("stationparameter_no")
+    rows = I.sensor(s, d).withColumn("stationparameter_no", F.when((number == "5004") & (F.col("Quality Code") % 2 == 0), "811.3").otherwise(number))
+    parts = [
+        sensor.available_series(rows, asked).select(F.lit(asked or "default").alias("asked"), "station_id", "ts_name", "stationparameter_no")
+        for asked in (None, "TRB", "TP")
+    ]
+    return views.stack(parts)
+
+
 @check("a14_available_portal", """
     SELECT station_id, "stationName", unit AS "resultUnit" FROM (SELECT DISTINCT station_id, stationName AS "stationName",
         CASE lower(resultUnit) WHEN 'ug/l' THEN 'mg/l' WHEN 'deg c' THEN 'degF' ELSE lower(resultUnit) END AS unit FROM portal)
@@ -850,6 +878,7 @@ def _(s, d):
     # Landed in falling order of names, against which the order of contents is wrong.
     folder, parts = I.scratch(s), []
     for name, rows in zip(("sensor", "lab"), I.registry_parts(s, d)):
+        rows = rows.drop("row_order")
         write_csv(rows.orderBy(F.desc("comments")), f"{folder}/{name}")
         parts.append(s.read.schema(rows.schema).options(header=True).csv(f"{folder}/{name}"))
     done = outlets.assign_outlets(sources.read_station_registry(*parts))
@@ -902,6 +931,18 @@ def _(s, d):
     return r6(views.append_derived(hourly, derived), "value")
 
 
+@check("k9_sensor_hourly", "SELECT station_id, constituent, date_trunc('hour', datetime) AS hour_start, unit, round(avg(value), 6) AS value FROM sensor_norm GROUP BY ALL")
+def _(s, d):
+    _staged(s, d).refresh_views()
+    return r6(s.table("analytics_wiski_hourly"), "value")
+
+
+@check("k9_sensor_filtered", f"SELECT station_id, datetime, quality_code, value FROM (SELECT station_id, datetime, quality_code, round(value, 6) AS value FROM sensor_norm) WHERE quality_code IN {ACCEPTED}")
+def _(s, d):
+    _staged(s, d).refresh_views()
+    return r6(s.table("analytics_wiski_filtered"), "value").select("station_id", "datetime", "quality_code", "value")
+
+
 # ---- Query API ----------------------------------------------------------------------------------
 
 _IN = ", ".join(f"'{x}'" for x in SENSORS)
@@ -1119,12 +1160,33 @@ def _(s, d):
     return r6(w.observations(), "value")
 
 
+@check("x6_failed_load", f"""
+    SELECT 'analytics' AS part, station_id, datetime, round(value, 6) AS value FROM sensor_obs
+    UNION ALL SELECT 'staging', station_no, "Timestamp", round("Value", 6) FROM sensor""")
+def _(s, d):
+    w = Warehouse(s, I.scratch(s), buckets=8).init()
+    w.load_sensor(I.sensor_text(s, d), SENSORS, **FIXED_FILTER)
+    # Half of the rows again; staging is written, then analytics fail.
+    raw = I.sensor_text(s, d).filter(F.col("Quality Code") % 2 == 0)
+    broken = w.read("analytics.wiski").withColumn("value", F.when(F.col("station_id") == SENSORS[0], F.raise_error(F.lit("lost on the way")).cast("double")))
+    for overwrite in (True, False):
+        try:
+            w._load("wiski", raw, broken, SENSORS, overwrite)
+        except Exception as error:
+            if "lost on the way" not in str(error):
+                raise
+    kept = w.read("analytics.wiski").select(F.lit("analytics").alias("part"), "station_id", "datetime", "value")
+    staged = sources.type_sensor(w.read("staging.wiski"))
+    return r6(kept.unionByName(staged.select(F.lit("staging").alias("part"), F.col("station_no").alias("station_id"), F.col("Timestamp").alias("datetime"), F.col("Value").alias("value"))), "value")
+
+
 @check("x7_init_warehouse", "SELECT * FROM pairs")
 def _(s, d):
     w = Warehouse(s, I.scratch(s), buckets=8)
     # Landed in the order of the suppliers' names, so the first row of a station is the smallest name's.
     parts = []
     for name, rows in zip(("sensor", "lab"), I.registry_parts(s, d)):
+        rows = rows.drop("row_order")
         write_csv(rows.orderBy("comments"), f"{w.root}/landed/{name}")
         parts.append(s.read.schema(rows.schema).options(header=True).csv(f"{w.root}/landed/{name}"))
     w.init(sources.read_station_registry(*parts))

@@ -41,9 +41,15 @@ def outlet_join(obs: DataFrame, stations: DataFrame, keys: tuple[str, ...] = STA
 
 
 def outlet_observations(obs: DataFrame, stations: DataFrame, keys: tuple[str, ...] = STATION_KEYS) -> DataFrame:
-    """Mean and count per outlet, constituent and time (A4)."""
+    """Mean and count per outlet, constituent and time (A4).
+
+    Rows are dealt out by outlet and time, which serves this aggregate and what comes after it alike:
+    pairing with flow (J4) needs no other exchange. An outlet and time hold few rows, one per station and
+    constituent, so there would be little to combine before the shuffle.
+    """
     return (
         outlet_join(obs, stations, keys)
+        .repartition("outlet_id", "datetime")
         .groupBy("datetime", "outlet_id", "constituent")
         .agg(F.avg("value").alias("value"), F.count("value").alias("count"))
     )

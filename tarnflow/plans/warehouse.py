@@ -253,9 +253,11 @@ class Warehouse:
         """Lookups, outlets and empty tables (X7). Existing tables stay unless ``reset``."""
         for name, table in load_lookups(self.spark, xref_path, quality_path).items():
             table.write.mode("overwrite").parquet(self.path(f"mappings.{name}"))
+        change = Change(self.states)
         for name in TABLES:
-            if reset or not self.exists(name):
-                self.replace(name, self.template(name))
+            if reset or name not in change.tables:
+                change.replace(name, name)
+        change.publish()
         if registry is not None:
             self.load_outlets(outlet_ops.build_outlets(outlet_ops.assign_outlets(registry), model))
         self.refresh_views()
@@ -269,8 +271,13 @@ class Warehouse:
         if broken:
             problems.write.mode("overwrite").parquet(self.path("outlets.broken"))
             raise ValueError(f"Outlet tables break constraints, listed in {self.path('outlets.broken')}: {broken}")
-        for name, df in zip(Outlets._fields, tables):
-            self.replace(f"outlets.outlet_{name}", df)
+        change = Change(self.states)
+        for part, df in zip(Outlets._fields, tables):
+            name = f"outlets.outlet_{part}"
+            made = self._stage(name, name, df)
+            change.replace(name, name)
+            change.add(name, *made)
+        change.publish()
 
     def process_sensor(
         self, filter_quality: bool = True, accepted: Iterable[int] | None = None, **baseflow_options

@@ -19,11 +19,12 @@ from tarnflow.sources.tables import (
     read_station_registry,
     read_xref,
     type_sensor,
+    with_row_order,
 )
 
 __all__ = [
     "import_outlets", "load_csv", "load_lookups", "load_parquet", "parse_portal_json",
     "parse_series_json", "parse_table_json", "read_gauge_csv", "read_lab_staging",
     "read_parameter_map", "read_portal_results", "read_quality_codes", "read_sensor_staging",
-    "read_station_registry", "read_xref", "type_sensor",
+    "read_station_registry", "read_xref", "type_sensor", "with_row_order",
 ]

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from tarnflow import lookups, schemas
 from tarnflow.functions.measures import without_nan
@@ -55,27 +55,32 @@ def load_parquet(spark: SparkSession, path: str) -> DataFrame:
 def read_station_registry(sensor: DataFrame, lab: DataFrame) -> DataFrame:
     """Sensor and laboratory station tables as one registry.
 
-    ``row_order`` is each row's place in its files; where the tables aren't read from files, in
-    their partitions.
+    ``row_order`` is each row's place in its files. It is carried from the read: tables that were joined or
+    shuffled since must have got it before, from :func:`with_row_order`, and tables straight from files
+    get it here. Any other table is an error, since its first rows could not be told.
     """
     shared = ["station_id", "true_opnid", "opnids", "comments", "modeled", "repo_name"]
-    place = T.StructField("row_order", T.StructType().add("file", "string").add("block", "long").add("row", "long"))
-    schema = T.StructType([*schemas.REGISTRY.fields, place])
-    sensor = sensor.select(*shared, "wplmn_flag", F.lit(lookups.SENSOR_ORIGIN).alias("source"), row_order(sensor))
-    lab = lab.select(*shared, F.lit(0).alias("wplmn_flag"), F.lit(lookups.LAB_ORIGIN).alias("source"), row_order(lab))
+    schema = T.StructType([*schemas.REGISTRY.fields, T.StructField("row_order", ROW_ORDER)])
+    sensor, lab = (df if "row_order" in df.columns else with_row_order(df) for df in (sensor, lab))
+    sensor = sensor.select(*shared, "wplmn_flag", F.lit(lookups.SENSOR_ORIGIN).alias("source"), "row_order")
+    lab = lab.select(*shared, F.lit(0).alias("wplmn_flag"), F.lit(lookups.LAB_ORIGIN).alias("source"), "row_order")
     return stack([schemas.conform(sensor, schema), schemas.conform(lab, schema)])
 
 
-def row_order(df: DataFrame) -> Column:
-    """Place of a row: file, block of the file, running number inside. Compares as the files are read."""
+ROW_ORDER = T.StructType().add("file", "string").add("block", "long").add("row", "long")
+
+
+def with_row_order(df: DataFrame) -> DataFrame:
+    """A table just read from files with each row's place: file, block of the file, running number inside.
+
+    Compares as the files are read. ValueError for a table that isn't read from one set of files.
+    """
     file, block = F.col("_metadata.file_path"), F.col("_metadata.file_block_start")
+    place = F.struct(file.alias("file"), block.cast("bigint").alias("block"), F.monotonically_increasing_id().alias("row"))
     try:
-        df.select(file, block).schema  # resolved at once; frames not read from files have no such columns
-    except AnalysisException:
-        file, block = F.lit(""), F.lit(0)
-    return F.struct(
-        file.alias("file"), block.cast("bigint").alias("block"), F.monotonically_increasing_id().alias("row")
-    ).alias("row_order")
+        return df.withColumn("row_order", place)
+    except AnalysisException as error:
+        raise ValueError("row order is known only where a table is read from files: take it there, with with_row_order") from error
 
 
 def read_xref(spark: SparkSession, path: str) -> DataFrame:
