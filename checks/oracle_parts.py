@@ -102,6 +102,26 @@ PARTS = {
         UNION ALL
         SELECT f.station_id, f.n, f.datetime, least(0.925 * p.b + (1 - 0.925) / 2 * (f.b + p.q), f.b), f.b
         FROM lh_backward p JOIN lh_forward f ON f.station_id = p.station_id AND f.n = p.n - 1""",
+    "neighbours": """
+        SELECT station_id, q, lag(q) OVER series AS before, lead(q) OVER series AS after
+        FROM flow WINDOW series AS (PARTITION BY station_id ORDER BY n)""",
+    "recession": """
+        SELECT station_id, coalesce(exp(-quantile_cont((before - after) / 2 / q, 0.05) FILTER (WHERE before > q AND q > after)), 0.95) AS a
+        FROM neighbours GROUP BY 1""",
+    "grid": "SELECT unnest([0.01, 0.02, 0.03, 0.05, 0.08]::DOUBLE[]) AS c",
+    "tried": """
+        SELECT f.station_id, g.c, f.n, f.q AS b FROM flow f CROSS JOIN grid g WHERE f.n = 1
+        UNION ALL
+        SELECT f.station_id, p.c, f.n, least(r.a / (1 + p.c) * p.b + p.c / (1 + p.c) * f.q, f.q)
+        FROM tried p JOIN flow f ON f.station_id = p.station_id AND f.n = p.n + 1 JOIN recession r ON r.station_id = f.station_id""",
+    "tried_all": "SELECT * FROM tried",
+    "misfit": """
+        SELECT t.station_id, t.c, sum((ln(1 + t.b) - ln(1 + l.b)) ** 2) AS loss
+        FROM tried_all t JOIN lh_backward l ON l.station_id = t.station_id AND l.n = t.n GROUP BY 1, 2""",
+    "calibrated": """
+        SELECT t.station_id, f.datetime, t.b
+        FROM (SELECT station_id, c FROM misfit QUALIFY row_number() OVER (PARTITION BY station_id ORDER BY loss, c) = 1) m
+        JOIN tried_all t ON t.station_id = m.station_id AND t.c = m.c JOIN flow f ON f.station_id = t.station_id AND f.n = t.n""",
     "sensor_obs": """
         SELECT datetime, value, station_id, 'wiski' AS station_origin, constituent, unit FROM sensor_hourly
         UNION ALL
@@ -218,7 +238,7 @@ PARTS = {
 }
 
 
-RECURSIVE = ("filtered", "lh_forward", "lh_backward")
+RECURSIVE = ("filtered", "lh_forward", "lh_backward", "tried")
 
 
 def sql(body: str) -> str:

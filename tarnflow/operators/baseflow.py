@@ -43,41 +43,100 @@ KEYS = ["station_id", "chunk"]
 _STEP = "a array<double>, b array<double>, d array<double>"
 
 
-# ---- Arithmetic of one chunk ---------------------------------------------------------------
+# ---- Arithmetic of chunks -------------------------------------------------------------------
 
-
-def compose(factor, added, caps, seed=None):
-    """Reduce the steps of a chunk to one (A, B, D); a seed replaces the first step."""
-    least = np.minimum if isinstance(factor, np.ndarray) else min
-    if seed is None:
-        a, b, d, begin = factor * 0 + 1.0, factor * 0.0, factor * 0 + np.inf, 0
-    else:
-        a, b, d, begin = factor * 0.0, factor * 0.0 + seed, factor * 0 + np.inf, 1
-    for i in range(begin, len(caps)):
-        a, b, d = factor * a, factor * b + added[i], least(factor * d + added[i], caps[i])
-    return a, b, d
-
-
-def replay(factor, added, caps, state, seed=None) -> Iterator:
-    """Filter values of a chunk from its entry state."""
-    least = np.minimum if isinstance(factor, np.ndarray) else min
-    for i in range(len(caps)):
-        state = factor * 0.0 + seed if seed is not None and i == 0 else least(factor * state + added[i], caps[i])
-        yield state
-
-
-def _flat(values) -> list[float]:
-    return np.atleast_1d(values).tolist()
+#: Values of the chunks that are stepped through together, and of one step of theirs.
+TOGETHER, WIDE = 1 << 21, 1 << 14
 
 
-def _lyne_hollick_terms(values, before):
-    """Added terms of a pass; ``before`` is the value preceding the chunk in the pass's direction."""
-    shifted = np.concatenate(([np.nan if before is None else before], values[:-1]))
-    return ((1 - BETA) / 2 * (values + shifted)).tolist(), values.tolist()
+class Stack:
+    """Chunks side by side, the longest first, so that a step in time is one operation on the first few rows.
 
+    ``base`` and ``caps`` have a row per chunk, ``factor`` and ``gain`` a row per chunk and a column per variant. The step
+    at time t is ``b = min(factor * b + gain * base[t], caps[t])``; a chunk with a seed (not NaN) begins
+    with it. ``order`` holds the chunks' places in the batch.
+    """
 
-def _none_if_nan(x):
-    return None if x is None or np.isnan(x) else float(x)
+    def __init__(self, order, base: list[np.ndarray], caps: list[np.ndarray], factor: np.ndarray, gain: np.ndarray, seeds: np.ndarray):
+        lengths = np.array([len(x) for x in caps])
+        self.order, self.lengths, steps = order, lengths, int(lengths.max())
+        self.base, self.caps = np.zeros((len(caps), steps)), np.zeros((len(caps), steps))
+        for row, (added, cap) in enumerate(zip(base, caps)):
+            self.base[row, :len(added)], self.caps[row, :len(cap)] = added, cap
+        self.factor, self.gain = factor, gain
+        self.seeded = np.flatnonzero(~np.isnan(seeds))
+        self.seeds = seeds[self.seeded][:, None]
+        self.active = np.searchsorted(-lengths, -np.arange(steps))  # chunks longer than t
+
+    def _added(self, t: int, m: int) -> np.ndarray:
+        return self.base[:m, t, None] * self.gain[:m]
+
+    def composed(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Each chunk's steps as one: (A, B, D), a row per chunk and a column per variant."""
+        a, b, d = np.ones(self.factor.shape), np.zeros(self.factor.shape), np.full(self.factor.shape, np.finfo(float).max)
+        for t, m in enumerate(self.active):
+            factor, added = self.factor[:m], self._added(t, m)
+            a[:m] *= factor
+            b[:m] = factor * b[:m] + added
+            d[:m] = np.minimum(factor * d[:m] + added, self.caps[:m, t, None])
+            if t == 0:
+                a[self.seeded], b[self.seeded], d[self.seeded] = 0.0, self.seeds, np.finfo(float).max
+        return a, b, d
+
+    def replayed(self, entry: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+        """The number of chunks that have a step, and their states after it, step by step."""
+        state = entry.copy()
+        for t, m in enumerate(self.active):
+            state[:m] = np.minimum(self.factor[:m] * state[:m] + self._added(t, m), self.caps[:m, t, None])
+            if t == 0:
+                state[self.seeded] = self.seeds
+            yield m, state[:m]
+
+    def values(self, entry: np.ndarray) -> list[np.ndarray]:
+        """States of each chunk, for one variant."""
+        out = np.empty(self.caps.shape)
+        for t, (m, state) in enumerate(self.replayed(entry)):
+            out[:m, t] = state[:, 0]
+        return [row[:n] for row, n in zip(out, self.lengths)]
+
+
+def stacks(base: list[np.ndarray], caps: list[np.ndarray], factor: np.ndarray, gain: np.ndarray, seeds: np.ndarray) -> Iterator[Stack]:
+    """The chunks of a batch in stacks of bounded size."""
+    order = np.argsort([-len(x) for x in caps], kind="stable")
+    begin = 0
+    while begin < len(order):
+        longest = max(1, len(caps[order[begin]]))
+        here = order[begin:begin + max(1, min(TOGETHER // longest, WIDE // factor.shape[1]))]
+        yield Stack(here, [base[k] for k in here], [caps[k] for k in here], factor[here], gain[here], seeds[here])
+        begin += len(here)
+
+
+def composed(given) -> pd.DataFrame:
+    """(A, B, D) of every chunk of a batch, in its order; ``given`` are the arguments of :func:`stacks`."""
+    rows: list = [None] * len(given[1])
+    for stack in stacks(*given):
+        for k, abd in zip(stack.order, zip(*(x.tolist() for x in stack.composed()))):
+            rows[k] = abd
+    return pd.DataFrame(rows, columns=["a", "b", "d"])
+
+
+def replayed(given, entry) -> pd.Series:
+    """Filter values of every chunk of a batch, in its order, from the entry states."""
+    rows: list = [None] * len(given[1])
+    entries = np.stack([np.asarray(e, dtype=float) for e in entry]) if len(rows) else None
+    for stack in stacks(*given):
+        for k, values in zip(stack.order, stack.values(entries[stack.order])):
+            rows[k] = values
+    return pd.Series(rows, dtype=object)
+
+
+def _arrays(column: pd.Series) -> list[np.ndarray]:
+    return [np.asarray(x, dtype=float) for x in column]
+
+
+def _numbers(column: pd.Series) -> np.ndarray:
+    """Numbers, NaN for NULL."""
+    return pd.to_numeric(column).to_numpy(dtype=float, na_value=np.nan)
 
 
 # ---- Chunks ---------------------------------------------------------------------------------
@@ -157,24 +216,22 @@ def _lyne_hollick(chunks: DataFrame) -> DataFrame:
     """Add ``lh``, the two-pass Lyne-Hollick baseflow."""
 
     def inputs(values, before, backward):
-        array = np.asarray(values, dtype=float)[:: -1 if backward else 1]
-        before = _none_if_nan(before)
-        added, caps = _lyne_hollick_terms(array, before)
-        return added, caps, caps[0] if before is None else None
+        caps, ahead = [v[:: -1 if backward else 1] for v in _arrays(values)], _numbers(before)
+        first = np.array([v[0] for v in caps])
+        # Added terms of a pass; ``before`` is the value preceding the chunk in the pass's direction.
+        base = [v + np.concatenate(([x], v[:-1])) for v, x in zip(caps, np.where(np.isnan(ahead), 0.0, ahead))]
+        one = np.ones((len(caps), 1))
+        return base, caps, one * BETA, one * (1 - BETA) / 2, np.where(np.isnan(ahead), first, np.nan)
 
     def make(backward):
         @F.pandas_udf(_STEP)
         def step(values: pd.Series, before: pd.Series) -> pd.DataFrame:
-            done = [compose(BETA, *inputs(v, x, backward)) for v, x in zip(values, before)]
-            return pd.DataFrame([[_flat(x) for x in abd] for abd in done], columns=["a", "b", "d"])
+            return composed(inputs(values, before, backward))
 
         @F.pandas_udf("array<double>")
         def run(values: pd.Series, before: pd.Series, entry: pd.Series) -> pd.Series:
-            def one(v, x, e):
-                added, caps, seed = inputs(v, x, backward)
-                return list(replay(BETA, added, caps, e[0], seed))[:: -1 if backward else 1]
-
-            return pd.Series([one(v, x, e) for v, x, e in zip(values, before, entry)])
+            done = replayed(inputs(values, before, backward), entry)
+            return done.map(lambda v: v[::-1]) if backward else done
 
         return step, run
 
@@ -184,27 +241,21 @@ def _lyne_hollick(chunks: DataFrame) -> DataFrame:
     return both.withColumnRenamed("result", "lh").drop("pass1")
 
 
-def _boughton_udfs(seed_share: float):
-    def inputs(q, a, c, before):
-        flow = np.asarray(q, dtype=float)
-        seed = seed_share * flow[0] if _none_if_nan(before) is None else None
-        return float(a) / (1 + c), (c / (1 + c) * flow).tolist(), flow.tolist(), seed
+def _boughton_inputs(q: pd.Series, a: pd.Series, c: np.ndarray, before: pd.Series, seed_share: float):
+    """``c`` has a row per chunk and a column per variant."""
+    flows = _arrays(q)
+    seeds = np.where(np.isnan(_numbers(before)), seed_share * np.array([v[0] for v in flows]), np.nan)
+    return flows, flows, _numbers(a)[:, None] / (1 + c), c / (1 + c), seeds
 
+
+def _boughton_udfs(seed_share: float):
     @F.pandas_udf(_STEP)
     def step(q: pd.Series, a: pd.Series, c: pd.Series, before: pd.Series) -> pd.DataFrame:
-        done = []
-        for row in zip(q, a, c, before):
-            factor, added, caps, seed = inputs(*row)
-            done.append([_flat(x) for x in compose(factor, added, caps, seed)])
-        return pd.DataFrame(done, columns=["a", "b", "d"])
+        return composed(_boughton_inputs(q, a, _numbers(c)[:, None], before, seed_share))
 
     @F.pandas_udf("array<double>")
     def run(q: pd.Series, a: pd.Series, c: pd.Series, before: pd.Series, entry: pd.Series) -> pd.Series:
-        def one(e, *row):
-            factor, added, caps, seed = inputs(*row)
-            return list(replay(factor, added, caps, e[0], seed))
-
-        return pd.Series([one(e, *row) for e, *row in zip(entry, q, a, c, before)])
+        return replayed(_boughton_inputs(q, a, _numbers(c)[:, None], before, seed_share), entry)
 
     return step, run
 
@@ -236,28 +287,25 @@ def _fit_c(chunks: DataFrame, seed_share: float, grid: tuple[float, ...]) -> Dat
     c = np.asarray(grid)
 
     def inputs(q, a, before):
-        flow = np.asarray(q, dtype=float)
-        seed = seed_share * flow[0] if _none_if_nan(before) is None else None
-        return float(a) / (1 + c), np.outer(flow, c / (1 + c)), flow, seed
+        return _boughton_inputs(q, a, np.tile(c, (len(q), 1)), before, seed_share)
 
     @F.pandas_udf(_STEP)
     def step(q: pd.Series, a: pd.Series, before: pd.Series) -> pd.DataFrame:
-        done = []
-        for row in zip(q, a, before):
-            factor, added, caps, seed = inputs(*row)
-            done.append([_flat(x) for x in compose(factor, added, caps, seed)])
-        return pd.DataFrame(done, columns=["a", "b", "d"])
+        return composed(inputs(q, a, before))
 
     @F.pandas_udf("array<double>")
     def misfit(q: pd.Series, a: pd.Series, before: pd.Series, lh: pd.Series, entry: pd.Series) -> pd.Series:
-        def one(target, e, *row):
-            factor, added, caps, seed = inputs(*row)
-            total = np.zeros(len(c))
-            for wanted, b in zip(np.log1p(np.asarray(target)), replay(factor, added, caps, np.asarray(e), seed)):
-                total += (np.log1p(b) - wanted) ** 2
-            return total.tolist()
-
-        return pd.Series([one(t, e, *row) for t, e, *row in zip(lh, entry, q, a, before)])
+        rows: list = [None] * len(q)
+        entries, wanted = np.stack(_arrays(entry)) if rows else None, [np.log1p(v) for v in _arrays(lh)]
+        for stack in stacks(*inputs(q, a, before)):
+            total, target = np.zeros(stack.factor.shape), np.zeros(stack.caps.shape)
+            for row, k in enumerate(stack.order):
+                target[row, :stack.lengths[row]] = wanted[k]
+            for t, (m, state) in enumerate(stack.replayed(entries[stack.order])):
+                total[:m] += (np.log1p(state) - target[:m, t, None]) ** 2
+            for row, k in enumerate(stack.order):
+                rows[k] = total[row]
+        return pd.Series(rows, dtype=object)
 
     def best(frame: pd.DataFrame) -> pd.DataFrame:
         total = np.sum(np.stack(frame["loss"]), axis=0)
