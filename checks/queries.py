@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from checks import inputs as I
 from checks.oracle_parts import ACCEPTED, hour_round, lab_station, sensor_station, sql
@@ -161,14 +161,23 @@ def _(s, d):
     return sources.parse_table_json(I.table(s, d, "supplier").select(body.alias("body")), ["station_no", "station_name"])
 
 
-@check("s7_parse_portal_json", """
-    SELECT parameter, CAST(datetime AS VARCHAR)[1:10] AS "sampleDate", CAST(datetime AS VARCHAR)[12:16] AS "sampleTime",
-        resultUnit AS "resultUnit", stationName AS "stationName", station_id FROM portal""")
+_PORTAL_ROWS = """
+    SELECT parameter, CAST(datetime AS VARCHAR)[1:10] AS "sampleDate", CAST(datetime AS VARCHAR)[12:16] AS "sampleTime", result,
+        resultUnit AS "resultUnit", stationName AS "stationName", station_id FROM portal"""
+
+
+@check("s7_read_portal_lines", _PORTAL_ROWS)
+def _(s, d):
+    path = I.scratch(s) + "/portal"
+    I.portal_raw(s, d).write.partitionBy("station_id").json(path)
+    return sources.read_portal_results(s, path, lines=True)
+
+
+@check("s7_parse_portal_json", _PORTAL_ROWS)
 def _(s, d):
     row = F.struct("parameter", "sampleDate", "sampleTime", "result", "resultUnit", "stationName")
     body = F.to_json(F.struct(F.array(row).alias("data")))
-    parsed = sources.parse_portal_json(I.portal_raw(s, d).select("station_id", body.alias("body")))
-    return parsed.drop("result")
+    return sources.parse_portal_json(I.portal_raw(s, d).select("station_id", body.alias("body")))
 
 
 @check("s8_read_gauge_csv", """
@@ -319,6 +328,35 @@ def _(s, d):
     return empty.unionByName(I.lab_staging(s, d)).select(*_LAB_SHOWN)
 
 
+@check("k7_export_raw", f"SELECT {_SENSOR_SQL} FROM sensor WHERE station_no = 'E02'")
+def _(s, d):
+    w = Warehouse(s, I.scratch(s), buckets=8).init()
+    w.append("staging.wiski", I.sensor_text(s, d))
+    w.export_raw("E02", "wiski", w.root + "/export")
+    back = s.read.schema(schemas.SENSOR).options(header=True).csv(w.root + "/export")
+    return sources.type_sensor(back).select(*_SENSOR_SHOWN)
+
+
+@check("k8_template_sensor", f"SELECT {_SENSOR_SQL} FROM sensor")
+def _(s, d):
+    empty = Warehouse(s, I.scratch(s)).template("staging.wiski")
+    return sources.type_sensor(empty.unionByName(I.sensor_text(s, d))).select(*_SENSOR_SHOWN)
+
+
+@check("v2_validate_tables", """
+    SELECT unnest(['analytics.equis', 'analytics.wiski', 'outlets.outlet_groups', 'outlets.outlet_reaches', 'outlets.outlet_stations', 'staging.equis']) AS missing,
+        (SELECT count(*) FROM sensor) AS n_staged""")
+def _(s, d):
+    w = Warehouse(s, I.scratch(s), buckets=8)
+    w.append("staging.wiski", I.sensor_text(s, d))
+    try:
+        w.validate()
+    except ValueError as error:
+        missing = str(error).removeprefix("Missing tables: ").split(", ")
+    staged = w.read("staging.wiski").agg(F.count("*").alias("n_staged"))
+    return staged.select(F.explode(F.array(*[F.lit(m) for m in missing])).alias("missing"), "n_staged")
+
+
 @check("k9_refresh_views", "SELECT station_origin, constituent, count(*) AS n FROM obs GROUP BY ALL")
 def _(s, d):
     w = Warehouse(s, I.scratch(s), buckets=8).init()
@@ -816,6 +854,11 @@ def _(s, d):
     return views.station_ids(obs(s, d))
 
 
+@check("a13_station_ids_of_origin", "SELECT DISTINCT station_id FROM obs WHERE station_origin = 'equis'")
+def _(s, d):
+    return views.station_ids(obs(s, d), "equis")
+
+
 @check("a14_available_lab", """
     SELECT station_id, constituent, datetime, cas_rn, round(value, 6) AS value, unit FROM lab_norm
     QUALIFY row_number() OVER (PARTITION BY station_id, constituent ORDER BY datetime NULLS FIRST, cas_rn, value NULLS FIRST, unit) = 1""")
@@ -1003,6 +1046,11 @@ def _(s, d):
     return query.raw_data(I.lab_raw(s, d), I.sensor(s, d), "S000003", "equis").select(*_LAB_SHOWN)
 
 
+@check("q4_raw_data_sensor", f"SELECT {_SENSOR_SQL} FROM sensor WHERE station_no = 'E02'")
+def _(s, d):
+    return query.raw_data(I.lab_raw(s, d), I.sensor(s, d), "E02", "wiski").select(*_SENSOR_SHOWN)
+
+
 @check("q5_outlets", f"SELECT * FROM pairs WHERE repository_name = '{MODEL}'")
 def _(s, d):
     return query.outlets_of_model(pairs(s, d), MODEL)
@@ -1028,6 +1076,39 @@ def _(s, d):
     return query.station_reach_pairs(pairs(s, d))
 
 
+def _written_order(df, report: str, keys: list[str]):
+    """Key columns ``a`` to ``c`` of a written report with each row's position in its files."""
+    path = I.scratch(df.sparkSession) + "/report"
+    write_parquet(df.select(*[F.col(k).cast("string").alias(n) for k, n in zip(keys, "abc")]), path)
+    back = sources.with_row_order(df.sparkSession.read.schema("a string, b string, c string").parquet(path))
+    place = F.row_number().over(Window.orderBy("row_order")).cast("bigint")
+    return back.select(F.lit(report).alias("report"), place.alias("position"), "a", "b", "c")
+
+
+@check("o1_report_order", f"""
+    SELECT 'counts' AS report, row_number() OVER (ORDER BY n, station_id, station_origin, constituent NULLS FIRST) AS position, station_id AS a, station_origin AS b, constituent AS c
+    FROM (SELECT station_id, station_origin, constituent, count(*) AS n FROM obs GROUP BY ALL)
+    UNION ALL SELECT 'stations', row_number() OVER (ORDER BY station_id, station_origin, constituent NULLS FIRST), station_id, station_origin, constituent
+    FROM (SELECT DISTINCT station_id, station_origin, constituent FROM obs)
+    UNION ALL SELECT 'outlets', row_number() OVER (ORDER BY outlet_id, constituent NULLS FIRST), CAST(outlet_id AS VARCHAR), constituent, CAST(sample_count AS VARCHAR)
+    FROM (SELECT outlet_id, constituent, count(*) AS sample_count FROM outlet_obs GROUP BY ALL)
+    UNION ALL SELECT 'quality', row_number() OVER (ORDER BY station_no, parametertype_name, "Quality Code"), station_no, parametertype_name, CAST("Quality Code" AS VARCHAR)
+    FROM (SELECT DISTINCT station_no, parametertype_name, "Quality Code" FROM ({_QC}))
+    UNION ALL SELECT 'pairs', row_number() OVER (ORDER BY outlet_id, station_id, station_origin, reach_id, repository_name), CAST(outlet_id AS VARCHAR), station_id, CAST(reach_id AS VARCHAR) FROM pairs
+    UNION ALL SELECT 'model', row_number() OVER (ORDER BY outlet_id, station_id, station_origin, reach_id), CAST(outlet_id AS VARCHAR), station_id, CAST(reach_id AS VARCHAR)
+    FROM pairs WHERE repository_name = '{MODEL}'""")
+def _(s, d):
+    o, p, key = obs(s, d), pairs(s, d), ["station_id", "station_origin", "constituent"]
+    return views.stack([
+        _written_order(views.constituent_counts(o), "counts", key),
+        _written_order(query.station_summary(o), "stations", key),
+        _written_order(query.outlet_summary(outlet_obs(s, d)), "outlets", ["outlet_id", "constituent", "sample_count"]),
+        _written_order(query.qc_counts(I.sensor(s, d), lookups.quality_codes(s)), "quality", ["station_no", "parametertype_name", "Quality Code"]),
+        _written_order(query.station_reach_pairs(p), "pairs", ["outlet_id", "station_id", "reach_id"]),
+        _written_order(query.outlets_of_model(p, MODEL), "model", ["outlet_id", "station_id", "reach_id"]),
+    ])
+
+
 # ---- Outlet mapping -----------------------------------------------------------------------------
 
 

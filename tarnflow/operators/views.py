@@ -101,8 +101,9 @@ def outlet_constituent_summary(outlet_obs: DataFrame) -> DataFrame:
 
 
 def constituent_counts(obs: DataFrame) -> DataFrame:
-    """Counts and years per station and constituent, smallest count first."""
-    return _summary(obs, ["station_id", "station_origin", "constituent"], stats=False).orderBy("sample_count")
+    """Counts and years per station and constituent, smallest count first, then by key."""
+    keys = ["station_id", "station_origin", "constituent"]
+    return _summary(obs, keys, stats=False).orderBy("sample_count", *keys)
 
 
 def qc_describe(sensor: DataFrame, quality: DataFrame) -> DataFrame:

@@ -1,4 +1,7 @@
-"""Query API (Q1-Q7): each answer is one lazy plan over the tables it is given."""
+"""Query API (Q1-Q7): each answer is one lazy plan over the tables it is given.
+
+Reports are ordered by their whole key, so that equal rows of a leading column have one order (O1).
+"""
 
 from __future__ import annotations
 
@@ -10,6 +13,8 @@ from tarnflow import lookups
 from tarnflow.operators import outlets, views
 from tarnflow.operators.resample import resample
 
+PAIR_ORDER = ("outlet_id", "station_id", "station_origin", "reach_id", "repository_name")
+
 
 def observation_data(
     obs: DataFrame, stations: Iterable[str], constituent: str, period: str | None = None, agg: str | None = None
@@ -54,7 +59,7 @@ def raw_data(lab_staging: DataFrame, sensor_staging: DataFrame, station: str, or
 
 def outlets_of_model(pairs: DataFrame, model: str) -> DataFrame:
     """Station-reach pairs of a model in outlet order (Q5)."""
-    return outlets.pairs_by_model(pairs, model).orderBy("outlet_id")
+    return outlets.pairs_by_model(pairs, model).orderBy(*PAIR_ORDER)
 
 
 def station_summary(obs: DataFrame, constituent: str | None = None) -> DataFrame:
@@ -70,9 +75,9 @@ def outlet_summary(outlet_obs: DataFrame) -> DataFrame:
 
 def qc_counts(sensor_staging: DataFrame, quality: DataFrame) -> DataFrame:
     """Quality-code report (Q7)."""
-    return views.qc_counts(sensor_staging, quality).orderBy("station_no", "parametertype_name")
+    return views.qc_counts(sensor_staging, quality).orderBy("station_no", "parametertype_name", "Quality Code", "Text", "Description")
 
 
 def station_reach_pairs(pairs: DataFrame) -> DataFrame:
     """Station-reach report (Q7)."""
-    return pairs.orderBy("outlet_id", "station_id")
+    return pairs.orderBy(*PAIR_ORDER)

@@ -60,12 +60,17 @@ def parse_portal_json(df: DataFrame, body: str = "body") -> DataFrame:
     return parsed.select("station_id", F.explode("d.data").alias("r")).select("r.*", "station_id")
 
 
-def read_portal_results(spark: SparkSession, path: str) -> DataFrame:
-    """Portal JSON files, one document per station, the file named after it."""
+def read_portal_results(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
+    """Portal JSON files (S7): the station is the folder (``station_id=...``) or else the name of the file.
+
+    A file is one document, which one task holds whole, or with ``lines`` one result row a line: such files
+    are split between tasks, so that a station's file may have any size.
+    """
+    if lines:
+        rows = spark.read.json(path, schema=schemas.PORTAL)
+        return rows.select(*schemas.PORTAL.fieldNames(), _station(rows, ".json").alias("station_id"))
     files = spark.read.text(path, wholetext=True)
-    return parse_portal_json(
-        files.select(F.col("value").alias("body"), _station_of_file(".json").alias("station_id"))
-    )
+    return parse_portal_json(files.select(F.col("value").alias("body"), _station(files, ".json").alias("station_id")))
 
 
 def read_gauge_csv(spark: SparkSession, path: str) -> DataFrame:
@@ -74,10 +79,12 @@ def read_gauge_csv(spark: SparkSession, path: str) -> DataFrame:
     The station is the folder (``station_id=...``) or else the name of the file.
     """
     rows = spark.read.options(header=True).csv(path)
-    station = F.col("station_id") if "station_id" in rows.columns else _station_of_file(".csv")
+    station = _station(rows, ".csv")
     return rows.select("tstamp", "var_name", F.col("value").cast("double").alias("value"), station.alias("station_id"))
 
 
-def _station_of_file(ending: str) -> Column:
-    name = F.col("_metadata.file_name")
-    return F.regexp_replace(name, ending.replace(".", r"\.") + "$", "")
+def _station(rows: DataFrame, ending: str) -> Column:
+    """The folder's station, else the file's name without its ending."""
+    if "station_id" in rows.columns:
+        return F.col("station_id")
+    return F.regexp_replace(F.col("_metadata.file_name"), ending.replace(".", r"\.") + "$", "")
