@@ -54,10 +54,11 @@ class WordBpe:
         split = spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
         self.words = regex.compile(split).findall
         self.path = path
-        gaps = [c for c in range(128, sys.maxunicode + 1) if unicodedata.category(chr(c)) == "Cn" or unicodedata.combining(chr(c))]
-        ends = [k for k in range(len(gaps)) if k + 1 == len(gaps) or gaps[k + 1] > gaps[k] + 1]
-        spans = zip([0, *(k + 1 for k in ends[:-1])], ends)
-        self.unknown = re.compile("[" + "".join(f"{re.escape(chr(gaps[a]))}-{re.escape(chr(gaps[b]))}" for a, b in spans) + "]").search
+        # All characters below U+0300 are assigned, and none of them combines.
+        self.high = re.compile("[\u0300-\U0010ffff]+")
+        self.unsure = frozenset(
+            c for c in map(chr, range(0x300, sys.maxunicode + 1)) if unicodedata.category(c) == "Cn" or unicodedata.combining(c)
+        )
         letters = byte_letters()
         self.inner = np.array([vocab[c] for c in letters], dtype=np.int64)
         self.last = np.array([vocab[c + end] for c in letters], dtype=np.int64)
@@ -133,7 +134,7 @@ class WordBpe:
         character that Python's tables lack, or a combining one, whose order may differ, the library is
         asked for its normal form and its words.
         """
-        if not text.isascii() and self.unknown(text):
+        if not text.isascii() and not self.unsure.isdisjoint(set("".join(self.high.findall(text)))):
             normal = self.library.normalizer.normalize_str(text)
             return [(w,) for w, _ in self.library.pre_tokenizer[0].pre_tokenize_str(normal)]
         if not unicodedata.is_normalized("NFC", text):
