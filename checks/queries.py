@@ -1018,7 +1018,7 @@ def _(s, d):
     WHERE constituent = 'DO' AND outlet_id = (SELECT min(outlet_id) FROM outlet_stations WHERE station_id = 'E02') GROUP BY 1 HAVING avg(value) IS NOT NULL""")
 def _(s, d):
     flow_obs = views.with_flow(outlet_obs(s, d))
-    number = mapped(s, d).filter("station_id = 'E02' and source = 'wiski'").agg(F.min("outlet_id")).first()[0]
+    number = mapped(s, d).filter("station_id = 'E02' and source = 'wiski'").agg(F.min("outlet_id")).scalar()
     done = query.outlet_data(flow_obs, number, "DO", "D")
     return r6(done, "observed", "observed_flow", "observed_baseflow")
 
@@ -1148,8 +1148,7 @@ _NETWORK = "(SELECT min(repo_name) FROM mapped WHERE wplmn_flag = 1 AND source =
 
 
 def _network_model(s, d):
-    found = mapped(s, d).filter("wplmn_flag = 1 and source = 'wiski'").agg(F.min("repo_name"))
-    return found.first()[0]
+    return mapped(s, d).filter("wplmn_flag = 1 and source = 'wiski'").agg(F.min("repo_name")).scalar()
 
 
 @check("m5_load_network_stations", f"SELECT station_id FROM mapped WHERE wplmn_flag = 1 AND source = 'wiski' AND repo_name = {_NETWORK}")
