@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
+import re
+
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from tarnflow import lookups, schemas
@@ -67,20 +68,23 @@ def read_station_registry(sensor: DataFrame, lab: DataFrame) -> DataFrame:
     return stack([schemas.conform(sensor, schema), schemas.conform(lab, schema)])
 
 
+#: The name of a step at the start of a line of a plan.
+_STEP = re.compile(r"[\s:+-]*([A-Z]\w+)")
 ROW_ORDER = T.StructType().add("file", "string").add("block", "long").add("row", "long")
 
 
 def with_row_order(df: DataFrame) -> DataFrame:
     """A table just read from files with each row's place: file, block of the file, running number inside.
 
-    Compares as the files are read. ValueError for a table that isn't read from one set of files.
+    Compares as the files are read. ValueError for a table that isn't read from one set of files, or that has
+    been joined, sorted or dealt out since: the running number would be that of its new partitions.
     """
+    steps = {step[1] for step in map(_STEP.match, df._jdf.queryExecution().analyzed().toString().splitlines()) if step}
+    if not steps <= {"Project", "Filter", "Relation", "SubqueryAlias"}:
+        raise ValueError(f"row order is known only where a table is read from files: take it there, with with_row_order ({', '.join(sorted(steps))})")
     file, block = F.col("_metadata.file_path"), F.col("_metadata.file_block_start")
     place = F.struct(file.alias("file"), block.cast("bigint").alias("block"), F.monotonically_increasing_id().alias("row"))
-    try:
-        return df.withColumn("row_order", place)
-    except AnalysisException as error:
-        raise ValueError("row order is known only where a table is read from files: take it there, with with_row_order") from error
+    return df.withColumn("row_order", place)
 
 
 def read_xref(spark: SparkSession, path: str) -> DataFrame:

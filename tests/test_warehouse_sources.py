@@ -202,6 +202,41 @@ def test_outlet_means_and_counts(spark, rows):
     assert rows(views.outlet_observations(obs, stations), "constituent", "value", "count") == [("DO", 2.0, 2), ("TP", None, 0)]
 
 
+def test_pairing_with_flow_needs_one_exchange(spark):
+    obs = observation(spark, [(T0, 1.0, "H1", "wiski", "Q", "cfs"), (T0, 2.0, "H1", "wiski", "DO", "mg/l")])
+    stations = spark.createDataFrame([(1, "H1", "wiski")], "outlet_id int, station_id string, station_origin string")
+    paired = views.with_flow(views.outlet_observations(obs, F.broadcast(stations)))
+    plan = paired._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning(outlet_id") == plan.count("Exchange hashpartitioning") == 1
+    assert paired.first()["flow_value"] == 1.0
+
+
+def test_numbers_of_keys_follow_their_order(spark, rows):
+    from tarnflow.operators.ranking import number_keys
+
+    keys = spark.range(3000).select((F.col("id") * 7919 % 3001).cast("string").alias("a"), (F.col("id") % 3).alias("b"))
+    got = rows(number_keys(keys, ["a", "b"], "n", ranges=16), "n", "a", "b")
+    order = sorted((a, b) for _, a, b in got)
+    assert {(n, a, b) for n, a, b in got} == {(n, a, b) for n, (a, b) in enumerate(order)} and len(got) == 3000
+    assert number_keys(keys.limit(0), ["a", "b"], "n").count() == 0
+
+
+def test_row_order_is_carried_or_refused(spark, tmp_path, rows):
+    columns = "station_id string, true_opnid int, opnids string, comments string, modeled string, repo_name string, wplmn_flag int"
+    table = spark.createDataFrame([(f"H{k}", 1, "1", "", None, "M", 0) for k in range(50)], columns)
+    with pytest.raises(ValueError, match="row order"):
+        sources.read_station_registry(table, table)
+    table.coalesce(1).write.parquet(str(tmp_path / "stations"))
+    read = spark.read.parquet(str(tmp_path / "stations"))
+    carried = sources.with_row_order(read).repartition(7, "station_id").join(read.select("station_id"), "station_id")
+    a, b = (sources.read_station_registry(df, df).filter("source = 'wiski'").orderBy("row_order").select("station_id") for df in (read, carried))
+    assert [r[0] for r in a.collect()] == [r[0] for r in b.collect()] == [f"H{k}" for k in range(50)]
+    with pytest.raises(ValueError, match="row order"):
+        sources.read_station_registry(read.join(read.select("station_id"), "station_id"), read)
+    with pytest.raises(ValueError, match="Repartition"):
+        sources.read_station_registry(read.repartition(5), read)
+
+
 def test_writers(spark, tmp_path):
     df = observation(spark, [(T0, 1.0, "S1", "equis", "TP", "mg/l")])
     write_parquet(df, str(tmp_path / "p"), "gzip")
