@@ -7,6 +7,7 @@ import re
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tarnflow.functions import timing
+from tarnflow.shared import cut
 
 _SPEC = re.compile(r"^(\d*)(min|h|D|W|MS|ME|M|QS|QE|Q|YS|YE|Y|A)$")
 _SECONDS = {"min": 60, "h": 3600, "D": 86400}
@@ -164,70 +165,88 @@ def interval_aggregate(
     return rows.groupBy(*group).agg(measure("value").alias("value"))
 
 
-# Parts a group is dealt into while its rows meet the bounds of the group.
-DEAL = 16
+#: Each level of cells divides those before it into 256; six of them are finer than any two doubles far apart.
+_STEP, _LAST = 256, 6
 
 
-def exact_percentile(df: DataFrame, keys: list[str], column: str, share: float, accuracy: int = 1000) -> DataFrame:
-    """Exact interpolated percentile per group, without holding a group in one task.
+def _cell(value: Column, level: int) -> Column:
+    """Number of a double's cell: its power of two, divided into ``256^level`` equal parts; rises with the value."""
+    size = F.abs(value)
+    power = F.floor(F.log2(size))
+    # Beside a power of two the logarithm may round to the other side; the order is kept by staying in the octave.
+    part = F.least(F.greatest(size / F.pow(F.lit(2.0), power) - 1, F.lit(0.0)), F.lit(1 - 2.0**-52))
+    fine = _STEP**level
+    number = (power.cast("bigint") + 1100) * fine + F.floor(part * fine).cast("bigint")
+    number = F.when(size == float("inf"), F.lit(3000 * fine)).otherwise(number)
+    return (
+        F.when(F.isnan(value), F.lit(3001 * fine)).when(value == 0, F.lit(0)).when(value < 0, -number).otherwise(number)
+    ).cast("bigint")
 
-    A bounded sketch first encloses the wanted rank between two values (its rank error is at most
-    1/``accuracy`` of the group). Only values between the two are then put in order; values below
-    are merely counted. Equal values are counted together first, and each group is dealt by value
-    into ``DEAL`` parts before it meets its bounds, so that a group holding a large part of all
-    rows is spread over that many tasks.
+
+def exact_percentile(df: DataFrame, keys: list[str], column: str, share: float, small: int = 8192) -> DataFrame:
+    """Exact interpolated percentile per group, as double, without holding a group in one task.
+
+    Equal values are counted together on the map side and spread by value; that table is checkpointed, so the
+    input is read once. Each group gets a histogram of it over cells that depend on the value alone, and the
+    cell that holds the wanted rank is divided again until it has at most ``small`` rows or one value;
+    ranks are sums over cells. After at most six divisions a cell has no more than some hundred different
+    values. Only the values of the chosen cells are put in order. NaN is the largest value, nulls don't
+    count, a group of nulls has a null.
     """
-    slack = 2.0 / accuracy
-    low_share, high_share = max(0.0, share - slack), min(1.0, share + slack)
     names = [f"_k{i}" for i in range(len(keys))]
-    bounds = (
-        df.groupBy(*[F.col(k).alias(n) for k, n in zip(keys, names)])
-        .agg(
-            F.count(column).alias("_n"),
-            F.percentile_approx(column, [low_share, high_share], accuracy).alias("_edge"),
-            F.min(column).alias("_min"),
-            F.max(column).alias("_max"),
-        )
-    )
-    # In a small group the sketch's rounding could miss a neighbour: take the whole group there.
-    small = F.col("_n") <= 4 * accuracy
-    low = F.when(small | F.lit(share <= slack), F.col("_min")).otherwise(F.col("_edge")[0])
-    high = F.when(small | F.lit(share >= 1 - slack), F.col("_max")).otherwise(F.col("_edge")[1])
-    dealt = bounds.select(
-        *names, low.alias("_low"), high.alias("_high"), (F.lit(share) * (F.col("_n") - 1)).alias("_rank"),
-        F.explode(F.sequence(F.lit(0), F.lit(DEAL - 1))).alias("_part"),
-    )
-    values = (
-        df.filter(F.col(column).isNotNull())
-        .groupBy(*keys, F.col(column).alias("_v"))
-        .agg(F.count("*").alias("_c"))
-        .withColumn("_p", F.pmod(F.hash("_v"), F.lit(DEAL)))
-    )
-    on = [F.col(k).eqNullSafe(F.col(n)) for k, n in zip(keys, names)] + [F.col("_p") == F.col("_part")]
-    slices = (
-        values.join(dealt, on)
-        .filter(F.col("_v") <= F.col("_high"))
-        .groupBy(*keys, "_rank", F.when(F.col("_v") >= F.col("_low"), F.col("_v")).alias("_value"))
-        .agg(F.sum("_c").alias("_count"))
-    )
-    upto = Window.partitionBy(*keys).orderBy(F.col("_value").asc_nulls_first())
-    below = F.sum(F.when(F.col("_value").isNull(), F.col("_count"))).over(Window.partitionBy(*keys))
-    ranked = slices.withColumns({"_upto": F.sum("_count").over(upto), "_below": F.coalesce(below, F.lit(0))})
-    ranked = ranked.filter(F.col("_value").isNotNull())
-
-    def at(position: Column) -> Column:
-        # The value at a 0-based position is the smallest whose running count exceeds it.
-        return F.min(F.when(F.col("_upto") > position, F.col("_value")))
-
-    lower, upper = at(F.floor("_rank")), at(F.ceil("_rank"))
-    part = F.min("_rank") - F.floor(F.min("_rank"))
-    # The sketch must have enclosed the rank: fewer values below it, and one that reaches it.
-    enclosed = (F.max("_below") <= F.floor(F.min("_rank"))) & upper.isNotNull()
-    value = F.when(enclosed, lower + (upper - lower) * part).otherwise(
-        F.raise_error(F.lit("percentile: the sketch did not enclose the rank")).cast("double")
-    )
-    found = ranked.groupBy(*keys).agg(value.alias(column))
-    empty = bounds.filter("_n = 0").select(
-        *[F.col(n).alias(k) for k, n in zip(keys, names)], F.lit(None).cast("double").alias(column)
-    )
-    return found.unionByName(empty)
+    rows = df.select(*[F.col(k).alias(n) for k, n in zip(keys, names)], F.col(column).cast("double").alias("_v"))
+    rows = cut(rows.groupBy(*names, "_v").agg(F.count("_v").alias("_n")))
+    measures = [F.sum("_n").alias("_n"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi")]
+
+    def inside(cells: DataFrame, chosen: DataFrame) -> DataFrame:
+        # Cells meet the chosen one they divide: at most 256 of them, or the values of one small cell.
+        told = chosen.select(*[F.col(n).alias(f"{n}_") for n in names], F.col("_cell").alias("_parent_"), "_rank", "_next")
+        on = [F.col(n).eqNullSafe(F.col(f"{n}_")) for n in names] + [F.col("_parent") == F.col("_parent_")]
+        return cells.join(told, on).drop("_parent_", *[f"{n}_" for n in names])
+
+    def holding(cells: DataFrame, order: str) -> DataFrame:
+        """The cell with the rank in it, the rank inside it and the smallest value after it."""
+        by = Window.partitionBy(*names).orderBy(order)
+        cells = cells.withColumns({
+            "_below": F.coalesce(F.sum("_n").over(by.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)),
+            "_next": F.coalesce(F.lead("_lo").over(by), F.col("_next")),
+        })
+        place = F.floor("_rank")
+        found = cells.where(((F.col("_below") <= place) & (place < F.col("_below") + F.col("_n"))) | F.col("_cell").isNull())
+        return found.withColumn("_rank", F.col("_rank") - F.col("_below"))
+
+    first = rows.groupBy(*names, _cell(F.col("_v"), 0).alias("_cell")).agg(*measures)
+    totals = Window.partitionBy(*names)
+    first = first.withColumn("_all", F.sum("_n").over(totals)).where("_n > 0 or _all = 0")  # nulls have no cell
+    first = first.withColumns({"_rank": F.lit(share) * F.greatest(F.col("_all") - 1, F.lit(0)), "_next": F.lit(None).cast("double")})
+    kept = [*names, "_cell", "_n", "_lo", "_hi", "_rank", "_next"]
+    chosen = cut(holding(first, "_cell").select(*kept))
+    done = [chosen.where("_n = 0").select(*names, F.lit(None).cast("double").alias(column))]
+    for level in range(_LAST + 1):
+        # One value fills the cell, or the rank is looked up among the values of a small one.
+        single = F.col("_lo") == F.col("_hi")
+        done.append(_between(chosen.where(single), names, column))
+        several = chosen.where(~single)
+        ready = several.where(F.col("_n") <= small) if level < _LAST else several
+        values = rows.select(*names, "_n", _cell(F.col("_v"), level).alias("_parent"), *[F.col("_v").alias(c) for c in ("_cell", "_lo", "_hi")])
+        done.append(_between(holding(inside(values, ready), "_cell"), names, column))
+        large = several.where(F.col("_n") > small)
+        if level == _LAST or large.isEmpty():
+            break
+        finer = rows.where("_v is not null").groupBy(
+            *names, _cell(F.col("_v"), level).alias("_parent"), _cell(F.col("_v"), level + 1).alias("_cell")
+        ).agg(*measures)
+        chosen = cut(holding(inside(finer, large), "_cell").select(*kept))
+    out = done[0]
+    for part in done[1:]:
+        out = out.unionByName(part)
+    return out.select(*[F.col(n).alias(k) for k, n in zip(keys, names)], column)
+
+
+def _between(found: DataFrame, names: list[str], column: str) -> DataFrame:
+    """The value at a rank from the one value of its cell and the next larger one."""
+    place = F.floor("_rank")
+    part = F.col("_rank") - place
+    upper = F.when(place + 1 < F.col("_n"), F.col("_lo")).otherwise(F.coalesce("_next", "_lo"))
+    value = F.when(part == 0, F.col("_lo")).otherwise(F.col("_lo") + (upper - F.col("_lo")) * part)
+    return found.select(*names, value.alias(column))

@@ -46,21 +46,39 @@ def test_old_letters_and_bad_periods(spark):
     assert rs.resample(df.filter("false"), "3D", ["value"], "sum").count() == 0
 
 
-@pytest.mark.parametrize("accuracy", [3, 20, 1000])
-def test_exact_percentile(spark, accuracy):
+@pytest.mark.parametrize("small", [1, 20, 8192])
+def test_exact_percentile(spark, small):
     rng = np.random.default_rng(11)
-    groups = {"hot": np.round(rng.normal(50, 20, 3000), 2), "few": np.array([3.0, 1.0]), "one": np.array([4.0]),
+    near = 1 + np.arange(300) * 2.0**-52
+    wide = np.concatenate([rng.normal(0, 1, 200) * 10.0 ** rng.integers(-320, 300, 200), [0.0, -0.0, 2.0**-1074, -1e308, 2.0**1023]])
+    groups = {"hot": np.round(rng.normal(50, 20, 3000), 2), "near": near, "wide": wide, "zeros": np.repeat([0.0, -2.0], [500, 20]), "few": np.array([3.0, 1.0]), "one": np.array([4.0]),
               "ties": np.repeat([1.0, 2.0, 3.0], 60), "none": np.array([])}
     rows = [(k, float(v)) for k, vs in groups.items() for v in vs] + [("none", None), ("few", None)]
     df = spark.createDataFrame(rows, "g string, v double").cache()
-    for share in (0.01, 0.05, 0.25, 0.5, 0.9, 0.99):
-        got = {r["g"]: r["v"] for r in rs.exact_percentile(df, ["g"], "v", share, accuracy).collect()}
+    for share in (0.5, 0.99) if small == 1 else (0.01, 0.25, 0.9):
+        got = {r["g"]: r["v"] for r in rs.exact_percentile(df, ["g"], "v", share, small).collect()}
         assert set(got) == set(groups) and got["none"] is None
         for k, vs in groups.items():
             if len(vs):
                 assert got[k] == pytest.approx(np.quantile(vs, share), rel=1e-12), (k, share)
 
 
+def test_percentile_cells_rise_with_the_value(spark):
+    values = [s * m * 2.0**e for e in (-1074, -1022, -3, 0, 1, 52, 1000, 1023) for m in (1, 1 + 2.0**-52, 2 - 2.0**-52) for s in (1, -1)]
+    values = sorted({v for v in values + [0.0, float("inf"), -float("inf")]}) + [float("nan")]
+    df = spark.createDataFrame([(k, v) for k, v in enumerate(values)], "k int, v double")
+    for level in range(7):
+        cells = [r[0] for r in df.select(rs._cell(df["v"], level).alias("c"), "k").orderBy("k").collect()]
+        assert cells == sorted(cells) and cells[-1] > cells[-2], level
+
+
+def test_percentile_infinite_and_nan(spark):
+    rows = [("a", float("inf")), ("a", 1.0), ("a", -float("inf")), ("b", float("nan")), ("b", 1.0), ("b", 2.0)]
+    df = spark.createDataFrame(rows, "g string, v double")
+    assert {r["g"]: r["v"] for r in rs.exact_percentile(df, ["g"], "v", 0.5).collect()} == {"a": 1.0, "b": 2.0}
+    assert rs.exact_percentile(df.where("false"), ["g"], "v", 0.5).count() == 0
+
+
 def test_percentile_null_keys(spark):
     df = spark.createDataFrame([(None, 1.0), (None, 3.0), ("a", 2.0)], "g string, v double")
     got = {r["g"]: r["v"] for r in rs.exact_percentile(df, ["g"], "v", 0.5).collect()}
