@@ -4,13 +4,15 @@ The pages of a host are merged to one tree: a node is a chain of elements (tag a
 root, with counts of how its subtree looks (the sequence of its child elements) and what it says (its
 text). A node that looks or reads differently from page to page is important, one that repeats is
 not: with m different pages its importance is the larger of the two entropies, in units of log m, so
-between 0 and 1. Branches below ``threshold`` are taken out of every page of the host. Elements that
-are no content by their kind (menus, forms, scripts, adverts, comments ...) have importance 0.
-
-The tree is never built in one place: nodes are hashed chains, and counts, entropies and the list of
-unimportant nodes of each host are aggregates. Equal pages of a host count once. Where a page has an
-``article`` (else a ``main``) with text, its text is that element's, and repetition is not asked there,
-so copies of an article under one host stay whole.
+between 0 and 1. Among what a node says, a content on n of the host's m pages has importance
+1 - log n / log m, as its occurrences are spread evenly over n pages. Branches and contents below
+``threshold`` are taken out of every page of the host, inside ``article`` and ``main`` as outside. Elements
+that are no content by their kind (menus, forms, scripts, adverts, comments ...) have importance 0.
+
+Pages of a host with one main text count once, so copies of an article under one host stay whole. The
+tree is never built in one place: nodes are hashed chains, counts and entropies are aggregates, and each
+page gets those of its own nodes that are unimportant, by a join on host and node. A page's text is
+that of its ``article``, else of its ``main``, else what remains of the page.
 """
 
 from __future__ import annotations
@@ -63,11 +65,11 @@ SIBLINGS = {
 
 
 class Element:
-    __slots__ = ("tag", "dropped", "low", "article", "main", "path", "looks", "says")
+    __slots__ = ("tag", "dropped", "low", "article", "main", "path", "looks", "says", "marks")
 
     def __init__(self, tag, dropped, low, article, main, path):
         self.tag, self.dropped, self.low, self.article, self.main, self.path = tag, dropped, low, article, main, path
-        self.looks, self.says = 0, 0
+        self.looks, self.says, self.marks = 0, 0, ()
 
 
 def by_kind(tag: str, attributes: dict[str, str], in_article: bool) -> bool:
@@ -86,9 +88,13 @@ def by_kind(tag: str, attributes: dict[str, str], in_article: bool) -> bool:
 
 
 def read(page: str, unimportant: frozenset = frozenset(), nodes: list | None = None) -> str:
-    """Main text of a page. ``nodes`` collects (path, looks, says) of every element that isn't dropped by kind."""
+    """Main text of a page without unimportant nodes, given by path or, for one content, by path xor says.
+
+    ``nodes`` collects (path, looks, says) of every block element that isn't dropped by kind.
+    """
     root = Element("", False, False, False, False, 0)
     stack, outs, opened = [root], ([], [], []), Counter()
+    follow = nodes is not None or bool(unimportant)
 
     def close(count: int) -> None:
         for _ in range(count):
@@ -96,6 +102,9 @@ def read(page: str, unimportant: frozenset = frozenset(), nodes: list | None = N
             opened[done.tag] -= 1
             if nodes is not None and not done.dropped and done.tag not in INLINE:
                 nodes.append((done.path, done.looks, done.says))
+            if done.tag not in INLINE and done.says and done.path ^ done.says in unimportant:
+                for out, mark in zip(outs, done.marks):
+                    del out[mark:]
             above = stack[-1]
             above.says = (above.says * 31 + done.says + 7) & 0xFFFFFFFFFFFFFFF if done.says else above.says
         gap()
@@ -108,14 +117,15 @@ def read(page: str, unimportant: frozenset = frozenset(), nodes: list | None = N
         top = stack[-1]
         if top.dropped or not text:
             return
+        low = top.low
         text = entities.unescape(text) if "&" in text else text
-        if top.article:
+        if top.article and not low:
             outs[0].append(text)
-        if top.main:
+        if top.main and not low:
             outs[1].append(text)
-        if not top.low:
+        if not low:
             outs[2].append(text)
-        if nodes is not None and not text.isspace():
+        if follow and not text.isspace():
             top.says = (top.says * 31 + xxhash.xxh64_intdigest(" ".join(text.split()))) & 0xFFFFFFFFFFFFFFF
 
     def find(tags: tuple, stops: tuple) -> int:
@@ -190,12 +200,13 @@ def read(page: str, unimportant: frozenset = frozenset(), nodes: list | None = N
         stack.append(Element(
             tag, dropped, low, top.article or (tag == "article" and not dropped), top.main or (tag == "main" and not dropped), path
         ))
+        stack[-1].marks = tuple(map(len, outs)) if unimportant and tag not in INLINE else ()
         if tag in RAW:
             end = re.compile(rf"</{tag}(?=[\s/>])[^>]*>", re.I).search(page, at)
             at = end.end() if end else size
             close(1)
     say(page[at:])
-    if nodes is not None:
+    if follow:
         close(len(stack) - 1)
     for out in outs:
         text = " ".join("".join(out).split())
@@ -205,35 +216,42 @@ def read(page: str, unimportant: frozenset = frozenset(), nodes: list | None = N
 
 
 def nodes_of(pages: DataFrame, url: str, html: str) -> DataFrame:
-    """Different nodes of different pages: host, page (hash), path, looks, says."""
+    """Nodes of pages: host, page (hash), main (hash of its main text), path, looks, says."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             out = []
             for name, page, body in zip(batch["host"], batch["page"].tolist(), batch["html"]):
                 nodes: list = []
-                read(body, nodes=nodes)
-                out += [(name, page, *(v - (1 << 64) if v >> 63 else v for v in n)) for n in nodes]
-            yield pd.DataFrame(out, columns=["host", "page", "path", "looks", "says"])
+                main = xxhash.xxh64_intdigest(read(body, nodes=nodes)) >> 1
+                out += [(name, page, main, *(v - (1 << 64) if v >> 63 else v for v in n)) for n in nodes]
+            yield pd.DataFrame(out, columns=["host", "page", "main", "path", "looks", "says"])
 
     rows = pages.select(host(F.col(url)).alias("host"), F.xxhash64(html).alias("page"), F.col(html).alias("html"))
-    return rows.where("html is not null").mapInPandas(run, "host string, page bigint, path bigint, looks bigint, says bigint")
+    return rows.where("html is not null").mapInPandas(
+        run, "host string, page bigint, main bigint, path bigint, looks bigint, says bigint"
+    )
 
 
-def unimportant(pages: DataFrame, threshold: float = 0.2, least: int = 4, url: str = "url", html: str = "html") -> DataFrame:
-    """``host`` and ``paths``: nodes on at least ``least`` different pages whose importance is below ``threshold``."""
-    nodes = written(nodes_of(pages, url, html).distinct())
+def unimportant(nodes: DataFrame, threshold: float = 0.2, least: int = 4) -> DataFrame:
+    """``host``, ``path`` and ``says`` (null: all contents) of nodes of importance below ``threshold``.
+
+    ``nodes`` are different rows of :func:`nodes_of`. A node or content counts from ``least`` main texts on.
+    """
 
     def entropy(column: str) -> DataFrame:
-        each = nodes.groupBy("host", "path", column).agg(F.count("*").alias("n"))
+        each = nodes.groupBy("host", "main", "path", column).agg(F.lit(1).alias("n")).groupBy("host", "path", column).agg(F.sum("n").alias("n"))
         sums = each.groupBy("host", "path").agg(F.sum("n").alias("m"), F.sum(F.col("n") * F.log("n")).alias("s"))
         return sums.where(F.col("m") >= least).select(
             "host", "path", (1 - F.col("s") / F.col("m") / F.log("m")).alias(f"of_{column}")
         )
 
     both = entropy("looks").join(entropy("says"), ["host", "path"])
-    low = both.where(F.greatest("of_looks", "of_says") < threshold)
-    return low.groupBy("host").agg(F.collect_set("path").alias("paths"))
+    low = both.where(F.greatest("of_looks", "of_says") < threshold).select("host", "path", F.lit(None).cast("bigint").alias("says"))
+    all_mains = nodes.select("host", "main").distinct().groupBy("host").agg(F.count("*").alias("m"))
+    contents = nodes.where("says <> 0").select("host", "path", "says", "main").distinct().groupBy("host", "path", "says").agg(F.count("*").alias("n"))
+    contents = contents.where(F.col("n") >= least).join(all_mains, "host")
+    return low.union(contents.where(1 - F.log("n") / F.log("m") < threshold).select("host", "path", "says"))
 
 
 def extract(
@@ -246,22 +264,27 @@ def extract(
     without a host share one tree. Repeated rows give repeated results, an empty table none;
     other columns are not read.
     """
-    low = written(unimportant(pages, threshold, least, url, html))
+    nodes = written(nodes_of(pages, url, html).distinct())
+    low = written(unimportant(nodes, threshold, least))
+    # The unimportant nodes of each page, not more than it has nodes.
+    mine = nodes.select("host", "page", "path", "says").distinct().join(low.withColumnRenamed("says", "_says"), ["host", "path"])
+    mine = mine.where("_says is null or _says = says").select(
+        "host", "page", F.when(F.col("_says").isNull(), F.col("path")).otherwise(F.col("path").bitwiseXOR(F.col("says"))).alias("code")
+    ).groupBy("host", "page").agg(F.collect_set("code").alias("codes"))
     rows = pages.select(
-        pages[key].cast("string").alias("_key"), pages[url].alias("_url"), pages[html].alias("_html"), host(pages[url]).alias("host"),
-    ).join(low, "host", "left")
+        pages[key].cast("string").alias("_key"), pages[url].alias("_url"), pages[html].alias("_html"),
+        host(pages[url]).alias("host"), F.xxhash64(pages[html]).alias("page"),
+    ).join(written(mine), ["host", "page"], "left")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            known: dict = {}
             texts = []
-            for name, body, paths in zip(batch["host"], batch["_html"], batch["paths"]):
-                if name not in known:
-                    known[name] = frozenset(int(p) & 0xFFFFFFFFFFFFFFFF for p in paths) if paths is not None else frozenset()
-                texts.append(read(body, known[name]) if body else "")
+            for body, codes in zip(batch["_html"], batch["codes"]):
+                known = frozenset(int(c) & 0xFFFFFFFFFFFFFFFF for c in codes) if codes is not None else frozenset()
+                texts.append(read(body, known) if body else "")
             yield pd.DataFrame({
                 "_key": batch["_key"].array, "_url": batch["_url"].array, "text": texts, "n_chars": np.array(list(map(len, texts)), dtype=np.int64),
             })
 
-    found = rows.select("_key", "_url", "_html", "host", "paths").mapInPandas(run, "_key string, _url string, text string, n_chars bigint")
+    found = rows.select("_key", "_url", "_html", "codes").mapInPandas(run, "_key string, _url string, text string, n_chars bigint")
     return unkeyed(found, pages, key).withColumnRenamed("_url", url)

@@ -125,6 +125,44 @@ def test_site_trees(spark):
     assert all(r["n_chars"] == len(r["text"]) for r in found) and sitetree.extract(pages.limit(0)).count() == 0
 
 
+def test_repeated_notices_inside_articles(spark):
+    """Notices without a telling class go, by node or by content, as a merge of the trees in one place finds them."""
+    import math
+    from collections import Counter, defaultdict
+
+    notice, plea = "<div class=x9><p>This site is kept by friends.</p></div>", "<p>Please write to us.</p>"
+    rows = []
+    for k in range(12):
+        body = f"<article><h1>Head {k}</h1>{notice if k % 6 else ''}<p>Story {k} one</p>{plea if k != 3 else ''}<p>Story {k} two</p></article>"
+        rows.append((k, f"https://n.org/{k}", body))
+    rows += [(30 + k, f"https://other.org/{k}", f"<article><p>Own {k}</p>{plea if k == 0 else ''}</article>") for k in range(6)]
+    rows += [(50 + k, f"https://n.org/c{k}", f"<nav>{k}</nav><article><p>Copied one</p><p>Copied two</p></article>") for k in range(20)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r["page_id"]: r["text"] for r in sitetree.extract(pages).collect()}
+    assert all(got[k] == f"Head {k} Story {k} one Story {k} two" for k in range(12))
+    assert got[30] == "Own 0 Please write to us." and all(got[50 + k] == "Copied one Copied two" for k in range(20))
+
+    mains, seen, contents = defaultdict(set), defaultdict(lambda: (set(), set())), defaultdict(set)
+    for _, url, html in rows:
+        name, nodes = url.split("/")[2], []
+        main = sitetree.read(html, nodes=nodes)
+        mains[name].add(main)
+        for path, looks, says in nodes:
+            seen[name, path][0].add((main, looks))
+            seen[name, path][1].add((main, says))
+            if says:
+                contents[name, path, says].add(main)
+
+    def entropy(pairs):
+        n = Counter(v for _, v in pairs)
+        return -sum(c / len(pairs) * math.log(c / len(pairs)) for c in n.values()) / math.log(len(pairs))
+
+    want = {(*node, None) for node, kinds in seen.items() if min(map(len, kinds)) >= 4 and max(map(entropy, kinds)) < 0.2}
+    want |= {c for c, on in contents.items() if len(on) >= 4 and 1 - math.log(len(on)) / math.log(len(mains[c[0]])) < 0.2}
+    found = sitetree.unimportant(sitetree.nodes_of(pages, "url", "html").distinct()).collect()
+    assert {(r["host"], r["path"] % 2**64, r["says"]) for r in found} == want and len(want) == len(found) > 2
+
+
 @pytest.mark.parametrize("tag, want", [
     ('<link rel="canonical" href="/es/x">', "https://h.net/es/x"), ("<link rel=canonical href=x.html>", "https://h.net/a/x.html"),
     ('<link rel="canonical" href="//shop.net/es/1">', "https://shop.net/es/1"), ('<meta property="og:url" content="../es/./y">', "https://h.net/es/y"),
