@@ -98,7 +98,7 @@ def resolved(target: Column, page: Column) -> Column:
     )
 
 
-def links(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
+def links(pages: DataFrame, url: str = "url", html: str = "html", og_url: bool = False) -> DataFrame:
     """Edges ``a``, ``b`` between a page's URL and the URLs it names as its own or sends to.
 
     Character references in targets are decoded; relative targets are resolved against the page's URL.
@@ -106,7 +106,7 @@ def links(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
     body = F.coalesce(F.col(html), F.lit(""))
     tags = F.regexp_extract_all(body, F.lit(r"(?is)(<(?:link|meta)\b[^>]*>)"), F.lit(1))
     tags = F.filter(tags, lambda t: t.rlike(
-        r"(?is)rel\s*=\s*[\"']?\s*canonical|http-equiv\s*=\s*[\"']?\s*refresh|property\s*=\s*[\"']?\s*og:url"
+        r"(?is)rel\s*=\s*[\"']?\s*canonical|http-equiv\s*=\s*[\"']?\s*refresh" + r"|property\s*=\s*[\"']?\s*og:url" * og_url
     ))
     named = r"(?is)[\s\"'/](?:href|content)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+)"
     sent = r"(?is)^[\s0-9.]*[;,\s]\s*url\s*=\s*[\"']?([^\"']*)"
@@ -122,7 +122,7 @@ def links(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
 
 def judged(
     pages: DataFrame, rules: list[tuple[str, str, str]], edges: DataFrame | None = None,
-    key: str = "page_id", url: str = "url", html: str = "html",
+    key: str = "page_id", url: str = "url", html: str = "html", og_url: bool = False, spellings: bool = False,
 ) -> DataFrame:
     """One row per page: ``key``, ``host``, ``path``, ``rule`` and ``verdict``.
 
@@ -132,14 +132,14 @@ def judged(
     """
     rows = pages.select(F.col(key).alias("_key"), F.col(url).alias("_url")).withColumn("host", host(F.col("_url"))).withColumn("path", path(F.col("_url")))
     rows = rows.withColumn("_own", rule_of(F.col("host"), F.col("path"), rules))
-    found = links(pages, url, html)
+    found = links(pages, url, html, og_url)
     if edges is not None:
         found = found.union(edges.select(F.col("a").cast("string"), F.col("b").cast("string")))
-    nodes = rows.select("_url").where(F.col("_url").contains("://"))
     found = written(found.where(F.col("a").contains("://") & F.col("b").contains("://")).distinct())
-    ends = nodes.union(found.select("a")).union(found.select("b")).distinct()
-    same = ends.select(F.col("_url").alias("a"), plain(F.col("_url")).alias("b"))
-    group = written(components(found.union(same)))
+    if spellings:
+        ends = rows.select("_url").where(F.col("_url").contains("://")).union(found.select("a")).union(found.select("b")).distinct()
+        found = found.union(ends.select("_url", plain(F.col("_url"))))
+    group = written(components(found))
     release(pages.sparkSession)
     # A component's fate is decided by the rules of all URLs in it, also of those no page has.
     ruled = group.withColumn("_own", rule_of(host(F.col("node")), path(F.col("node")), rules)).where("_own is not null")

@@ -86,7 +86,7 @@ PAGES = [
 
 def test_url_rules(spark):
     pages = spark.createDataFrame(PAGES, "page_id long, url string, html string").withColumns({"host": F.lit("h"), "a": F.lit("a"), "node": F.lit("n")})
-    got = {r["page_id"]: r for r in urls.judged(pages, URL_RULES).collect()}
+    got = {r["page_id"]: r for r in urls.judged(pages, URL_RULES, og_url=True, spellings=True).collect()}
     assert (got[1]["host"], got[1]["path"], got[1]["rule"], got[1]["verdict"]) == ("www.a.example.com", "/en/x", "example.com/en/", "block")
     assert (got[2]["rule"], got[2]["verdict"]) == ("net/es/", "block")
     # Pages 5 and 10 tie the blocked component to an explicitly allowed host.
@@ -94,14 +94,43 @@ def test_url_rules(spark):
     assert [(got[k]["host"], got[k]["path"], got[k]["verdict"]) for k in (6, 7, 8)] == [("", "", "allow")] * 3
     assert (got[None]["host"], got[None]["path"], got[None]["rule"]) == ("example.com", "", None)
     without = pages.where("page_id is null or page_id not in (5, 10)")
-    got = {r["page_id"]: r for r in urls.judged(without, URL_RULES).collect()}
+    got = {r["page_id"]: r for r in urls.judged(without, URL_RULES, og_url=True, spellings=True).collect()}
     assert {got[k]["verdict"] for k in (3, 4, 9)} == {"block"} and all(got[k]["rule"] is None for k in (3, 4, 9))
-    assert urls.judged(pages, URL_RULES).count() == len(PAGES) and urls.judged(pages.limit(0), URL_RULES).count() == 0
+    assert urls.judged(pages, URL_RULES, og_url=True, spellings=True).count() == len(PAGES) and urls.judged(pages.limit(0), URL_RULES).count() == 0
     more = spark.createDataFrame([("https://e.org/", "https://shop.net/es/1"), (None, "x")], "a string, b string")
     one = pages.where("page_id in (2, 5)").withColumn("url", F.when(F.col("page_id") == 5, "https://e.org/").otherwise(F.col("url"))).withColumn("html", F.lit(None).cast("string"))
     assert {r["page_id"]: r["verdict"] for r in urls.judged(one, URL_RULES, more).collect()} == {2: "block", 5: "block"}
 
 
+def test_url_components_by_brute_force(spark):
+    r = np.random.default_rng(5)
+    sites = ["http://a.org", "https://www.b.org", "https://shop.net/es", "https://x.net/fr", "https://good.com", "https://example.com/en"]
+    names = [f"{s}/{k}" for s in sites[:2] for k in range(60)] + [f"{s}/{k}" for s in sites[2:] for k in range(6)]
+    rows, same = [], {n: n for n in names}
+
+    def top(n):
+        while same[n] != n:
+            n = same[n]
+        return n
+
+    for k in range(200):
+        here, there = r.choice(names[:120]), r.choice(names)
+        link = f'<link rel="canonical" href="{there}">' if k % 2 else f'<meta http-equiv="refresh" content="0;url={there}">'
+        rows.append((k, here, link if k % 3 else "<p>none</p>"))
+        if k % 3:
+            same[top(here)] = top(there)
+    rows += [(300, "http://a.org/0?ref=x", ""), (301, "http://www.a.org/0", '<meta property="og:url" content="https://shop.net/es/1">')]
+    fates = {}
+    for n in names:
+        own = "block" if ".net/" in n or "example.com" in n else "allow" if "good.com" in n else None
+        fates.setdefault(top(n), set()).add(own)
+    got = {p["page_id"]: (p["rule"], p["verdict"]) for p in urls.judged(spark.createDataFrame(rows, "page_id long, url string, html string"), URL_RULES).collect()}
+    for k, url, _ in rows[:200]:
+        fate = fates[top(url)]
+        assert got[k] == (None, "block" if "block" in fate and "allow" not in fate else "allow"), url
+    assert got[300] == got[301] == (None, "allow") and {v for _, v in got.values()} == {"allow", "block"}
+
+
 HTML = """<html><head><title>T</title></head><body class="home"><header><h1>Site</h1></header><nav>menu</nav><div class="cookie-notice">We use</div>
 <main><article><header><h1>Head &amp; line</h1></header><p>One<b>two</b> <i>three</i><p>Four &lt;x&gt; &nbsp; 5 < 6<ul><li>a<li>b</ul><table><tr><td>c<td>d<tr><td>e</table>
 <script>if(a<b){"</p>"}</script><aside>side</aside><form><input>go</form>tail<footer>foot</footer></article><section id="comments"><p>nice</p></section></main><footer>f</footer>"""
@@ -172,4 +201,4 @@ def test_repeated_notices_inside_articles(spark):
 ])
 def test_targets_of_every_form(spark, tag, want):
     pages = spark.createDataFrame([("https://h.net/a/b?k=v#f", tag), (None, tag), ("no scheme", tag if want is None else "")], "url string, html string")
-    assert [r["b"] for r in urls.links(pages).collect()] == ([want] if want else [])
+    assert [r["b"] for r in urls.links(pages, og_url=True).collect()] == ([want] if want else [])
