@@ -193,10 +193,23 @@ def test_personal_data(docs, texts):
 
 
 def test_trees_and_thresholds(spark):
-    rows = [(k, f"number {k} tel +1 (555) 010-{k:04d} and version {k}.2 of {k * 7919}") for k in range(600)]
+    card = "4111111111111111"
+    rows = [
+        (k, f"order {k * 7919} tel +1 (555) 010-{k:04d} or na{'.' * (k % 2)}me{'' if k % 3 else k}@host{k % 11}.org, version {k}.2.{k % 9}, ip 10.{k % 256}.0.{k % 250}, card {card} on {1990 + k % 30}/10/12, id {10**12 + k * 37}")
+        for k in range(600)
+    ]
     model = pii.fit(spark.createDataFrame(rows, "doc_id long, text string"))
     trees, limits = model
-    assert limits[3] < np.inf and limits[0] == np.inf
+    assert max(limits[0], limits[2], limits[3]) < np.inf and limits[1] == np.inf
+    planted = {  # forms no base pattern matches
+        "tel (555) 010-2222 or": (3, "(555) 010-2222"), "tel 001 (555) 010-1234 or": (3, "001 (555) 010-1234"),
+        "or mary.b [at] host9.org, version": (0, "mary.b [at] host9.org"), "or mary.b(at)host9.org, version": (0, "mary.b(at)host9.org"),
+        "card 5500.0000.0000.0004 on": (2, "5500.0000.0000.0004"), "card 5500/0000/0000/0004 on": (2, "5500/0000/0000/0004"),
+    }
+    for text, (kind, span) in planted.items():
+        assert pii.base_spans(text) == [] and (kind, text.index(span), text.index(span) + len(span)) in pii.chosen(text, [], model), text
+    for text in ("ip 10.0.0.256 and", "version 3.14159.26 of", "order 71271 on 2001/10/12,", "nothing", "in 1999 at home"):
+        assert pii.chosen(text, pii.base_spans(text), model) == [], text
     text = "tel +1 (555) 010-1234, v 12.4"
     base = pii.base_spans(text)
     assert all(not (a < e and s < b) for _, a, b in pii.chosen(text, base, model) for _, s, e in base)
@@ -205,6 +218,16 @@ def test_trees_and_thresholds(spark):
     assert ((pii.Trees(x, y).chance(x) > 0.5) == y).mean() > 0.95
 
 
+def test_rewritten_spans():
+    text = "a b@c.de, +1 (555) 010-2222 x 4111 1111 1111 1111 y 10.0.0.1"
+    for turn in range(4):
+        body, spans = pii.rewritten(text, pii.base_spans(text), turn)
+        assert [k for k, _, _ in spans] == [0, 3, 2] and [k for k, _, _ in pii.base_spans(body)] == [1]
+        assert all(body[a:b] and body[a:b].strip() == body[a:b] for _, a, b in spans)
+        assert sum(label for label, _ in pii.examples(text, turn)) >= 3
+    assert pii.rewritten("", [], 0) == ("", [])
+
+
 def test_language(spark):
     base = "/root/testdata/sf0.01/documents.parquet"
     rows = spark.read.parquet(base)
