@@ -6,7 +6,7 @@ import gc
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -92,6 +92,20 @@ def numbered(rows: DataFrame, by: list[str], order: list, name: str) -> DataFram
     )
 
 
+SALTS = 16  # tasks that share the rows of one value in a salted join
+
+
+def salted_join(rows: DataFrame, once: DataFrame, on: list[str], deal: Column) -> DataFrame:
+    """``rows`` joined on the columns ``on`` with a table that has each of their values once.
+
+    Any value may hold any share of ``rows``: these are dealt out by ``deal``, a long, over ``SALTS`` tasks a value,
+    and ``once`` is repeated as often. Both sides are shuffled as they are, so that adaptive skew handling can split further.
+    """
+    salts = F.array(*[F.lit(k).cast("bigint") for k in range(SALTS)])
+    left, right = rows.withColumn("_salt", F.pmod(deal, F.lit(SALTS))), once.withColumn("_salt", F.explode(salts))
+    return left.join(right, [*on, "_salt"]).drop("_salt")
+
+
 def parts(spark: SparkSession, least: int = 1) -> int:
     return max(least, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
@@ -105,7 +119,7 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
 
     Alternating star contraction: a *large star* hangs every larger neighbour of a node on the
     smallest neighbour, a *small star* hangs the node and its smaller neighbours there. Only
-    minima per node and equality joins are used, so a node of any degree stays distributed. Every
+    minima per node and salted equality joins are used, so a node of any degree stays distributed. Every
     round is written, and the loop ends when a round changes no edge, after O(log^2 n) rounds.
     """
     def stars(pairs: DataFrame, large: bool) -> DataFrame:
@@ -113,7 +127,7 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
             pairs = pairs.union(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = pairs.groupBy("a").agg(F.min("b").alias("m"))
         least = least.select("a", F.least("a", "m").alias("m"))
-        joined = pairs.join(least, "a")
+        joined = salted_join(pairs, least, ["a"], F.xxhash64("b"))
         if large:
             joined = joined.where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
             return joined.where("a <> b").distinct()

@@ -6,8 +6,8 @@ with that bit left out: segments that differ in at most one bit agree on one of
 Equal variants are joined and the pairs verified.
 
 Only different fingerprints are indexed; copies share one. Where many fingerprints share a variant,
-their pairs are not all emitted: members differ in at most ``distance`` bits in the other segments,
-so these are cut into ``distance + 1`` pieces, and the members are joined on each piece instead.
+they aren't compared all with all: two of them in a distance of two bits or less are both in a distance of one
+of some third value, so they are joined on all values one bit away, of which no more than 65 fingerprints share one.
 """
 
 from __future__ import annotations
@@ -20,12 +20,11 @@ import pandas as pd
 import xxhash
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tarnflow.llm.common import components, keyed, release, remove, unkeyed, written
+from tarnflow.llm.common import components, keyed, salted_join, unkeyed, written
 
 UPPER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 BATCH = 1 << 18  # shingles whose bits are counted at once
-BANDS, ROWS = 40, 8  # of least hashes, for candidates of near-duplicates
 
 
 def shingle_hashes(text: str, words: int = 3, seed: int = 42) -> list[int]:
@@ -49,19 +48,32 @@ def majority(hashes: list[int]) -> int:
     return value - (1 << 64) if value >> 63 else value
 
 
-def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = 3) -> DataFrame:
-    """``key`` and ``fp``, the 64-bit fingerprint as a signed long, of every row.
+def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = 3, with_code: bool = False) -> DataFrame:
+    """``key`` and ``fp``, the 64-bit fingerprint as a signed long, of every row; ``code``, a hash of the text, if asked for.
 
     A null text counts as empty; a text without words has fingerprint zero. Whole texts are used.
     Repeated rows and ties need no rule: each row is taken for itself. Other columns are not read.
     """
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            texts = batch["_text"].fillna("").tolist()
+            texts = batch.pop("_text").fillna("").tolist()
             found = [majority(shingle_hashes(t, words)) for t in texts]
-            yield pd.DataFrame({"_key": batch["_key"].array, "fp": np.array(found, dtype=np.int64)})
+            yield batch.assign(fp=np.array(found, dtype=np.int64))
 
-    return unkeyed(keyed(docs, key, text).mapInPandas(run, "_key string, fp bigint"), docs, key)
+    rows = keyed(docs, key, text)
+    if with_code:
+        rows = rows.withColumn("code", text_code(F.col("_text")))
+    return unkeyed(rows.mapInPandas(run, "_key string, " + "code bigint, " * with_code + "fp bigint"), docs, key)
+
+
+def text_code(text: Column) -> Column:
+    """64-bit hash of a text; a null text counts as empty."""
+    return F.xxhash64(F.coalesce(text.cast("string"), F.lit("")))
+
+
+def signed(bits: int) -> Column:
+    """The lowest 64 bits of an integer as a long."""
+    return F.lit((bits + (1 << 63)) % (1 << 64) - (1 << 63)).cast("bigint")
 
 
 def masked(value: Column, low: int, size: int) -> Column:
@@ -78,7 +90,7 @@ def variants(value: Column, segments: list[tuple[int, int]]) -> Column:
     for low, size in segments:
         segment = masked(value, low, size)
         for bit in range(size):
-            out.append(F.struct(F.lit(low * 64 + bit).alias("place"), segment.bitwiseAND(F.lit(~(1 << bit))).alias("rest")))
+            out.append(F.struct(F.lit(low * 64 + bit).alias("place"), segment.bitwiseAND(signed(~(1 << bit))).alias("rest")))
     return F.array(*out)
 
 
@@ -88,67 +100,37 @@ def cut_bits(low: int, size: int, pieces: int) -> list[tuple[int, int]]:
     return [(a, b - a) for a, b in zip(bounds, bounds[1:])]
 
 
-def links(nodes: DataFrame, distance: int = 2, check: int | None = None, hot: int = 64) -> DataFrame:
+def links(nodes: DataFrame, distance: int = 2, hot: int = 64) -> DataFrame:
     """All pairs ``a > b`` of nodes whose fingerprints ``fp`` differ in at most ``distance`` bits.
 
-    ``nodes`` has different longs ``node`` with ``fp`` and, if ``check`` is given, a second fingerprint of two
-    longs ``other`` and ``more`` that must differ in at most ``check`` bits. Groups of at most ``hot`` members are compared
-    pair by pair in a join; larger ones are refined first.
+    ``nodes`` has different longs ``node`` with different longs ``fp``. Nodes that share a variant are counted first. Groups of at
+    most ``hot`` members are compared pair by pair in a join; the members of larger ones meet in groups of at
+    most 65 instead (:func:`around`), or, for a distance of more than two, by a further piece of the fingerprint.
     """
     first = cut_bits(0, 64, distance // 2 + 1)
-    carried = ["node", "fp"] + ["other", "more"] * (check is not None)
-    close = f"a.code = b.code and a.node > b.node and bit_count(a.fp ^ b.fp) <= {distance}"
-    if check is not None:
-        close += f" and bit_count(a.other ^ b.other) + bit_count(a.more ^ b.more) <= {check}"
-    indexed = nodes.select(*carried, F.explode(variants(F.col("fp"), first)).alias("v")).select(
-        *carried, F.xxhash64("v.place", "v.rest").alias("code"), F.col("v.place").alias("place"),
+    indexed = nodes.select("node", "fp", F.explode(variants(F.col("fp"), first)).alias("v")).select(
+        "node", "fp", F.xxhash64("v.place", "v.rest").alias("code"), F.col("v.place").alias("place"),
     )
-    shared = written(indexed.withColumn("n", F.count("*").over(Window.partitionBy("code"))).where("n > 1"))
-    release(nodes.sparkSession)
-    rows = refined(shared, first, distance, hot, carried)
+    counts = written(indexed.groupBy("code").agg(F.count("*").alias("n")).where("n > 1"))
+    shared = written(salted_join(indexed, counts, ["code"], F.xxhash64("node")))
+    if distance <= 2:
+        rows = shared.where(f"n <= {hot}").select("node", "fp", "code").union(around(shared.where(f"n > {hot}")))
+    else:
+        rows = refined(shared, first, distance, hot, ["node", "fp"])
+    close = f"a.code = b.code and a.node > b.node and bit_count(a.fp ^ b.fp) <= {distance}"
     found = rows.alias("a").join(rows.alias("b"), F.expr(close))
     return found.select(F.col("a.node").alias("a"), F.col("b.node").alias("b")).distinct()
 
 
-def connected(nodes: DataFrame, distance: int, check: int, hot: int = 4096) -> DataFrame:
-    """Components (``node``, ``component``) of the graph of :func:`links`, without all its pairs.
+def around(rows: DataFrame) -> DataFrame:
+    """Each different node of ``rows`` by a ``code`` of its fingerprint and of the 64 values one bit away from it.
 
-    In a group of copies nearly every pair is a link. So each member of a variant's group is first
-    compared with two leaders only, the members of smallest and largest node. Pairs inside the
-    components that these links make can add nothing; the others are then compared as in
-    :func:`links`, in groups that still hold members of different components. Only links are
-    emitted, so a group of ``hot`` members is some eight million comparisons in one task.
+    Fingerprints that differ in at most two bits share one of these values; no more than 65 different ones share the same.
     """
-    carried, first = ["node", "fp", "other", "more"], cut_bits(0, 64, distance // 2 + 1)
-
-    def close(a: str, b: str) -> str:
-        return (
-            f"bit_count({a}.fp ^ {b}.fp) <= {distance} and "
-            f"bit_count({a}.other ^ {b}.other) + bit_count({a}.more ^ {b}.more) <= {check}"
-        )
-
-    group = Window.partitionBy("code")
-    member = F.struct(*carried)
-    rows = nodes.select(*carried, F.explode(variants(F.col("fp"), first)).alias("v")).select(
-        member.alias("me"), F.xxhash64("v.place", "v.rest").alias("code"), F.col("v.place").alias("place"),
+    near = F.array(F.col("fp"), *[F.col("fp").bitwiseXOR(signed(1 << k)) for k in range(64)])
+    return rows.select("node", "fp").distinct().select("node", "fp", F.explode(near).alias("value")).select(
+        "node", "fp", F.xxhash64(F.lit(-1), "value").alias("code")
     )
-    rows = rows.withColumns({"low": F.min("me").over(group), "high": F.max("me").over(group)}).where("low.node <> high.node")
-    leaders = [F.expr(f"if(me.node <> {x}.node and {close('me', x)}, {x}.node, null)").alias(x) for x in ("low", "high")]
-    rows = written(rows.select("me.*", "code", "place", *leaders))
-    release(nodes.sparkSession)
-    stars = rows.selectExpr("node AS a", "explode(array(low, high)) AS b").where("b is not null")
-    stars = written(stars.distinct())
-    merged = written(components(stars))
-    held = rows.drop("low", "high").join(merged, "node", "left")
-    held = held.select(*carried, "code", "place", F.coalesce("component", "node").alias("root"))
-    mixed = held.withColumns({"least": F.min("root").over(group), "most": F.max("root").over(group), "n": F.count("*").over(group)})
-    mixed = written(mixed.where("least <> most").drop("least", "most"))
-    remove(rows)
-    release(nodes.sparkSession)
-    pairs = refined(mixed, first, distance, hot, [*carried, "root"])
-    found = pairs.alias("a").join(pairs.alias("b"), F.expr(f"a.code = b.code and a.root > b.root and {close('a', 'b')}"))
-    across = found.select(F.col("a.node").alias("a"), F.col("b.node").alias("b")).distinct()
-    return components(stars.union(across))
 
 
 def refined(shared: DataFrame, first: list[tuple[int, int]], distance: int, hot: int, carried: list[str]) -> DataFrame:
@@ -172,7 +154,7 @@ def spread(ranges: list[tuple[int, int]], pieces: int) -> list[int]:
 
 
 def masked_with(value: Column, mask: int) -> Column:
-    return value.bitwiseAND(F.lit(mask - (1 << 64) if mask >> 63 else mask).cast("bigint"))
+    return value.bitwiseAND(signed(mask))
 
 
 def near_duplicates(docs: DataFrame, distance: int = 2, words: int = 3, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -181,153 +163,50 @@ def near_duplicates(docs: DataFrame, distance: int = 2, words: int = 3, key: str
     Documents whose fingerprints differ in at most ``distance`` bits are linked; the component is
     the smallest key reachable. A null key is kept with its fingerprint's component.
     """
-    prints = written(fingerprints(docs, key, text, words))
-    nodes = prints.select(F.col("fp").alias("node"), "fp").distinct()
-    named = classes(prints.select(key, F.col("fp").alias("node")), components(links(nodes, distance)), key)
-    return prints.join(named, prints["fp"] == named["node"]).select(
-        key, F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
+    prints = written(fingerprints(docs, key, text, words)).withColumnRenamed("fp", "node")
+    named = classes(prints, connected(prints, distance), key)
+    return salted_join(prints, named, ["node"], F.monotonically_increasing_id()).select(
+        key, F.lower(F.lpad(F.hex("node"), 16, "0")).alias("fingerprint"), "component_id"
     )
 
 
+def connected(prints: DataFrame, distance: int) -> DataFrame:
+    """Components (``node``, ``component``) of the different fingerprints ``node`` of some rows, as far as they have links."""
+    return components(links(prints.select("node", F.col("node").alias("fp")).distinct(), distance))
+
+
 def classes(members: DataFrame, found: DataFrame, key: str) -> DataFrame:
     """``node`` and ``component_id``, the smallest key of any member of the node's component."""
     least = members.groupBy("node").agg(F.min(key).alias("_least"))
     rooted = least.join(found, "node", "left").select("node", "_least", F.coalesce("component", "node").alias("_root"))
     roots = rooted.groupBy("_root").agg(F.min("_least").alias("component_id"))
-    return rooted.join(roots, "_root").select("node", "component_id")
-
-
-def least_hashes(hashes: np.ndarray) -> np.ndarray:
-    """The least value of the hashes under each of ``BANDS * ROWS`` fixed linear orders."""
-    draw = np.random.Generator(np.random.PCG64(42))
-    factor = draw.integers(0, 2**63, BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-    shift = draw.integers(0, 2**63, BANDS * ROWS, dtype=np.uint64) * np.uint64(2)
-    least = np.full(BANDS * ROWS, np.uint64(2**64 - 1))
-    for begin in range(0, len(hashes), 1024):
-        np.minimum(least, (hashes[begin : begin + 1024, None] * factor + shift).min(axis=0), out=least)
-    return least
-
-
-def sketches(docs: DataFrame, key: str, text: str, words: int) -> DataFrame:
-    """Per row ``key``, ``code`` (hash of the text), ``node`` (hash of its shingle set), ``size`` of the set, ``bands``."""
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            node, size, bands = [], [], []
-            for body in batch["_text"].fillna(""):
-                h = np.unique(np.array(shingle_hashes(body, words), dtype="<u8"))
-                node.append(xxhash.xxh64_intdigest(h.tobytes()) - 2**63)
-                size.append(len(h))
-                rows = least_hashes(h).reshape(BANDS, ROWS) if len(h) else []
-                bands.append([xxhash.xxh64_intdigest(r.tobytes(), k) - 2**63 for k, r in enumerate(rows)])
-            yield pd.DataFrame({"_key": batch["_key"].array, "code": batch["code"].array, "node": node, "size": size, "bands": bands})
-
-    rows = keyed(docs, key, text).withColumn("code", F.xxhash64(F.coalesce("_text", F.lit(""))))
-    return unkeyed(rows.mapInPandas(run, "_key string, code bigint, node bigint, size bigint, bands array<bigint>"), docs, key)
-
-
-def forest(nodes: np.ndarray, sets: list[np.ndarray], least: tuple[int, int]) -> list[tuple[int, int]]:
-    """Links that join the sets to the components of the graph of all pairs of Jaccard similarity ``least`` or more."""
-    sizes, (up, down) = np.array(list(map(len, sets))), least
-    owner = np.repeat(np.arange(len(sets)), sizes)
-    _, shingle = np.unique(np.concatenate(sets), return_inverse=True)
-    order = np.argsort(shingle, kind="stable")
-    held, ends = owner[order], np.cumsum(np.bincount(shingle))
-    begins = np.concatenate([[0], ends[:-1]])
-    root, out, at = list(range(len(sets))), [], 0
-
-    def top(k: int) -> int:
-        while root[k] != k:
-            root[k] = root[root[k]]
-            k = root[k]
-        return k
-
-    for k, size in enumerate(sizes):
-        mine = shingle[at : at + size]
-        at += size
-        count = ends[mine] - begins[mine]
-        place = np.arange(count.sum()) + np.repeat(begins[mine] - np.concatenate([[0], np.cumsum(count)[:-1]]), count)
-        shared = np.bincount(held[place], minlength=len(sets))[:k]
-        for j in np.flatnonzero((shared > 0) & (down * shared >= up * (size + sizes[:k] - shared))):
-            a, b = top(k), top(int(j))
-            if a != b:
-                root[a] = b
-                out.append((int(nodes[k]), int(nodes[j])))
-    return out
-
-
-def alike(found: DataFrame, docs: DataFrame, text: str, words: int, least: tuple[int, int], block: int = 1000, mass: int = 1 << 22) -> DataFrame:
-    """Components (``node``, ``component``) of rows of :func:`sketches` by exact similarity of candidates.
-
-    Candidates share a band. They are first joined to components by bands alone. A component is
-    compared as a whole, all pairs exactly, in pairs of blocks of about ``block`` sets and ``mass`` shingles;
-    one of over ``BANDS`` blocks is compared by band instead, which covers its candidates with fewer copies
-    of the sets. Of the links of a pair of blocks only a forest is emitted.
-    """
-    nodes = found.where("size > 0").groupBy("node").agg(F.min("code").alias("code"), F.first("size").alias("size"), F.first("bands").alias("bands"))
-    nodes = written(nodes)
-    spread = nodes.select("node", F.explode("bands").alias("band"))
-    first = spread.groupBy("band").agg(F.min("node").alias("low"), F.count("*").alias("n")).where("n > 1")
-    stars = written(spread.join(first, "band").where("node <> low").select(F.col("node").alias("a"), F.col("low").alias("b")).distinct())
-    members = written(nodes.join(components(stars), "node"))
-    release(docs.sparkSession)
-
-    def blocks(rows: DataFrame) -> DataFrame:
-        sums = rows.groupBy("unit").agg(F.greatest(F.ceil(F.count("*") / block), F.ceil(F.sum("size") / mass)).alias("blocks"), F.count("*").alias("n"))
-        return rows.join(sums.where("n > 1").drop("n"), "unit")
-
-    whole = blocks(members.withColumn("unit", F.col("component")))
-    large = whole.where(F.col("blocks") > BANDS).select("node", "code", "size", F.explode("bands").alias("unit"))
-    units = whole.where(F.col("blocks") <= BANDS).select("unit", "node", "code", "blocks").union(
-        blocks(large).select("unit", "node", "code", "blocks")
-    )
-    mine = F.pmod(F.xxhash64("node"), F.col("blocks"))
-    other = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1))
-    units = units.withColumn("mine", mine).withColumn("other", other)
-    units = units.select("unit", "node", "code", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"))
-
-    def sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            bodies = [np.unique(np.array(shingle_hashes(t, words), dtype="<u8")).tobytes() for t in batch["_text"].fillna("")]
-            yield pd.DataFrame({"code": batch["code"].array, "shingles": bodies})
-
-    bodies = docs.select(docs[text].cast("string").alias("_text")).withColumn("code", F.xxhash64(F.coalesce("_text", F.lit(""))))
-    bodies = bodies.join(members.select("code"), "code", "left_semi").mapInPandas(sets, "code bigint, shingles binary")
-    bodies = written(bodies.groupBy("code").agg(F.first("shingles").alias("shingles")))
-
-    def run(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values("node")
-        links = forest(rows["node"].to_numpy(), [np.frombuffer(x, dtype="<u8") for x in rows["shingles"]], least)
-        return pd.DataFrame(links, columns=["a", "b"], dtype=np.int64)
-
-    links = units.join(bodies, "code").select("unit", "i", "j", "node", "shingles").groupBy("unit", "i", "j").applyInPandas(run, "a bigint, b bigint")
-    out = components(written(links))
-    release(docs.sparkSession)
-    return out
+    return salted_join(rooted, roots, ["_root"], F.xxhash64("node")).select("node", "component_id")
 
 
-def keep_first(docs: DataFrame, words: int = 5, least: tuple[int, int] = (4, 5), key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``docs`` with one document, that of smallest key, of each group of near-duplicates; all columns.
+def keep_first(docs: DataFrame, distance: int = 2, words: int = 3, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """``docs`` with one document, that of smallest key, of each component of :func:`near_duplicates`; all columns.
 
-    Near-duplicates are documents whose sets of shingles of ``words`` words have a Jaccard similarity of ``least``
-    (a fraction) or more. At 0.8 SimHash bits differ by 15 %, too many to index by deletion variants,
-    so candidates are documents that agree in one of ``BANDS`` bands of ``ROWS`` least hashes (0.9994 of the
-    pairs at 0.8, and more above), and each is verified on the whole sets. Texts without words are alike.
-    Rows with a null key stay. A row is known by key and text: of a component the row of smallest key stays, of
-    equal keys the one of smallest hash of the text, and of equal rows one, so a key may stand for several texts.
+    Texts without words are alike. Rows with a null key stay and decide nothing. A row is known by key and text: of a
+    component the row of smallest key stays, of equal keys the one of smallest hash of the text, and of rows equal in
+    both the one whose columns are smallest as JSON. So a key may stand for several texts, and columns may have any type.
     """
-    prints = written(sketches(docs, key, text, words))
-    found = alike(prints, docs, text, words, least)
-    rooted = prints.where(F.col(key).isNotNull()).join(found, "node", "left").withColumn("_root", F.coalesce("component", "node"))
-    firsts = rooted.groupBy("_root").agg(F.min(F.struct(key, "code")).alias("first"))
-    firsts = written(firsts.select(F.col(f"first.`{key}`").alias(key), F.col("first.code").alias("_code")))
-    release(docs.sparkSession)
-    kept = docs.withColumn("_code", F.xxhash64(F.coalesce(docs[text].cast("string"), F.lit(""))))
-    kept = kept.join(firsts, [key, "_code"], "left_semi").select(*docs.columns, "_code")
-    copies = prints.where(F.col(key).isNotNull()).groupBy(key, "code").count().where("count > 1")
+    code = "_code"
+    while code.lower() in map(str.lower, docs.columns):
+        code += "_"
+    prints = written(fingerprints(docs, key, text, words, with_code=True)).withColumnRenamed("fp", "node")
+    prints = prints.where(F.col(key).isNotNull())
+    least = prints.groupBy("node").agg(F.min(F.struct(F.col(key).alias("k"), F.col("code").alias("c"))).alias("first"))
+    rooted = least.join(connected(prints, distance), "node", "left")
+    firsts = rooted.groupBy(F.coalesce("component", "node")).agg(F.min("first").alias("first"))
+    firsts = written(firsts.select(F.col("first.k").alias(key), F.col("first.c").alias(code)))
+    kept = docs.withColumn(code, text_code(docs[text])).join(firsts, [key, code], "left_semi").select(*docs.columns, code)
+    copies = prints.groupBy(key, F.col("code").alias(code)).count().where("count > 1")
+    copies = written(copies.join(firsts, [key, code], "left_semi").select(key, code))
     if not copies.isEmpty():
-        # Of rows of one key and text the least by all columns stays; only these are grouped.
-        copies = copies.select(key, F.col("code").alias("_code"))
-        one = kept.join(copies, [key, "_code"], "left_semi").groupBy(key, "_code").agg(F.min(F.struct(*docs.columns)).alias("_row"))
-        rest = kept.join(copies, [key, "_code"], "left_anti").select(*docs.columns)
+        # Only rows that repeat key and text are grouped.
+        row = F.struct(*docs.columns)
+        again = kept.join(copies, [key, code], "left_semi").groupBy(key, code)
+        one = again.agg(F.min_by(row, F.to_json(row, {"ignoreNullFields": "false"})).alias("_row"))
+        rest = kept.join(copies, [key, code], "left_anti").select(*docs.columns)
         kept = rest.union(one.select("_row.*").select(*docs.columns))
     return kept.select(*docs.columns).union(docs.where(F.col(key).isNull()))
