@@ -24,11 +24,11 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each component of near-duplicates the document of smallest id stays, once.
+    """Of each component of SimHash near-duplicates the document of smallest id stays, once.
 
-    Five-word shingles, similarity of about 0.8 and more. Rows without an id stay.
+    Three-word shingles, fingerprints that differ in two bits or fewer. Rows without an id stay; texts without words are alike.
     """
-    return simhash.keep_first(docs, words=5)
+    return simhash.keep_first(docs, distance=2, words=3)
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
