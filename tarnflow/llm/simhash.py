@@ -20,7 +20,7 @@ import pandas as pd
 import xxhash
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tarnflow.llm.common import components, keyed, salted_join, unkeyed, written
+from tarnflow.llm.common import components, keyed, parts, salted_join, unkeyed, written
 
 UPPER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -108,11 +108,13 @@ def links(nodes: DataFrame, distance: int = 2, hot: int = 64) -> DataFrame:
     most 65 instead (:func:`around`), or, for a distance of more than two, by a further piece of the fingerprint.
     """
     first = cut_bits(0, 64, distance // 2 + 1)
+    nodes = nodes.repartition(parts(nodes.sparkSession), "node")  # every node becomes 64 rows
     indexed = nodes.select("node", "fp", F.explode(variants(F.col("fp"), first)).alias("v")).select(
         "node", "fp", F.xxhash64("v.place", "v.rest").alias("code"), F.col("v.place").alias("place"),
     )
     counts = written(indexed.groupBy("code").agg(F.count("*").alias("n")).where("n > 1"))
-    shared = written(salted_join(indexed, counts, ["code"], F.xxhash64("node")))
+    # The counts grow with the nodes, so they aren't broadcast, whatever their size.
+    shared = written(salted_join(indexed, counts.hint("merge"), ["code"], F.xxhash64("node")))
     if distance <= 2:
         rows = shared.where(f"n <= {hot}").select("node", "fp", "code").union(around(shared.where(f"n > {hot}")))
     else:
