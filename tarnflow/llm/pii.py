@@ -5,24 +5,29 @@ generators propose further, overlapping spans. Gradient-boosted trees score each
 and context, and per kind a threshold, calibrated on documents held out from the fit, decides
 which of them are reported too.
 
-The trees learn what the base patterns miss: in the texts of a bounded sample each base span is rewritten
+The trees learn what the base patterns miss: in every text each base span is rewritten
 to a form no base pattern matches (an address with "at" in brackets, a phone number with 00 or without its
 country, a card number with points or slashes), and a candidate counts as positive where it covers a rewritten
 span of its kind. Candidates that meet no such span and no remaining base span of their kind are negative. Network addresses have no other form, so nothing is added to
 them. A kind whose threshold can't reach the wanted precision on enough held-out candidates adds nothing.
+
+Every candidate of every text counts, in the half of the texts the trees learn from or in the half that
+sets the thresholds; a hash of text and key decides which. Equal features are counted together, and a level
+of a tree is one pass that sums gradients by node, feature and bin, so only these sums reach the driver.
+All sums are of whole numbers, so that their order never changes a tree.
 """
 
 from __future__ import annotations
 
 import re
-from bisect import bisect_left, insort
-from collections.abc import Iterator
+from bisect import bisect_left, bisect_right, insort
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
-from tarnflow.llm.common import keyed, sampled, unkeyed
+from tarnflow.llm.common import keyed, remove, unkeyed, written
 
 KINDS = ("email", "ip", "card", "phone")
 
@@ -47,6 +52,8 @@ CUES = tuple(re.compile(p, re.I) for p in (
     r"version|license|token|sha|key|isbn|=\s*$",
 ))
 DIGITS = re.compile(r"[0-9]+")
+#: Features are told apart up to this value, so that each has a bounded number of values.
+LARGEST = 99999
 
 
 def luhn(digits: str) -> bool:
@@ -116,66 +123,116 @@ def features(text: str, kind: int, start: int, end: int) -> list[float]:
 
 
 class Trees:
-    """Gradient-boosted trees of depth 3 for the logistic loss, on binned features."""
-
-    DEPTH = 3
-
-    def __init__(self, x: np.ndarray, y: np.ndarray, rounds: int = 40, rate: float = 0.3, bins: int = 32):
-        self.rate, self.trees = rate, []
-        self.edges = [np.unique(np.quantile(x[:, k], np.linspace(0, 1, bins + 1)[1:-1])) for k in range(x.shape[1])]
-        binned = np.stack([np.searchsorted(e, x[:, k], side="left") for k, e in enumerate(self.edges)], axis=1)
-        p = np.clip(y.mean(), 1e-3, 1 - 1e-3)
-        self.start = float(np.log(p / (1 - p)))
-        margin = np.full(len(y), self.start)
-        for _ in range(rounds):
-            chance = 1 / (1 + np.exp(-margin))
-            tree = self._grow(binned, chance - y, np.maximum(chance * (1 - chance), 1e-6), bins)
-            self.trees.append(tree)
-            margin += rate * self._leaf(tree, binned)
-
-    def _grow(self, x, g, h, bins):
-        inner, leaves = 2 ** self.DEPTH - 1, np.zeros(2 ** self.DEPTH)
-        column, at = np.zeros(inner, dtype=np.int64), np.full(inner, bins, dtype=np.int64)
-        node = np.zeros(len(g), dtype=np.int64)
-        for k in range(inner):
-            here = np.flatnonzero(node == k)
-            best, gain = None, 1e-6
-            for c in range(x.shape[1]) if len(here) else ():
-                left_g = np.cumsum(np.bincount(x[here, c], weights=g[here], minlength=bins + 1))
-                left_h = np.cumsum(np.bincount(x[here, c], weights=h[here], minlength=bins + 1))
-                all_g, all_h = left_g[-1], left_h[-1]
-                score = left_g**2 / (left_h + 1) + (all_g - left_g) ** 2 / (all_h - left_h + 1) - all_g**2 / (all_h + 1)
-                if score.max() > gain:
-                    best, gain = (c, int(score.argmax())), score.max()
-            if best:
-                column[k], at[k] = best
-            node[here] = 2 * k + 1 + (x[here, column[k]] > at[k])
-        leaf = node - inner
-        sums_g, sums_h = (np.bincount(leaf, weights=v, minlength=len(leaves)) for v in (g, h))
-        return column, at, -sums_g / (sums_h + 1)
-
-    def _leaf(self, tree, x):
-        column, at, leaves = tree
+    """Gradient-boosted trees of depth 3 for the logistic loss, on binned features.
+
+    Margins are whole: logits in parts of ``UNIT``. A leaf moves them by at most ``STEP`` logits before the rate.
+    """
+
+    DEPTH, UNIT, STEP, RATE, BINS, ROUNDS = 3, 1 << 10, 8.0, 0.3, 32, 40
+    FIXED = 1 << 20  # gradients are whole parts of it
+
+    def __init__(self, x: np.ndarray, y: np.ndarray):
+        """Learned from arrays; :func:`fit` learns the same way from a table."""
+        self._begin([np.quantile(x[:, k], self.borders()) for k in range(x.shape[1])], y.sum(), len(y))
+        binned, ones = self.binned(x), np.ones(len(y), dtype=np.int64)
+        self.learn(lambda tree, level: self.sums(binned, ones, np.asarray(y, dtype=np.int64), self.margin(binned), tree, level))
+
+    @classmethod
+    def begun(cls, quantiles: list, positive: int, total: int) -> Trees:
+        """No tree yet, only bins and start, from the features' quantiles at :meth:`borders`."""
+        trees = cls.__new__(cls)
+        trees._begin(quantiles, positive, total)
+        return trees
+
+    @classmethod
+    def borders(cls) -> np.ndarray:
+        return np.linspace(0, 1, cls.BINS + 1)[1:-1]
+
+    def _begin(self, quantiles: list, positive: int, total: int) -> None:
+        self.edges, self.trees = [np.unique(q) for q in quantiles], []
+        p = min(max(positive / total, 1e-3), 1 - 1e-3)
+        self.start = int(np.rint(np.log(p / (1 - p)) * self.UNIT))
+
+    def learn(self, sums: Callable) -> None:
+        """All trees; ``sums(tree, level)`` adds :meth:`sums` over all examples, by the trees so far."""
+        for _ in range(self.ROUNDS):
+            self.trees.append(self._grow(sums))
+
+    def _grow(self, sums: Callable):
+        inner = 2**self.DEPTH - 1
+        column, at = np.zeros(inner, dtype=np.int64), np.full(inner, self.BINS, dtype=np.int64)
+        leaves = np.zeros(inner + 1, dtype=np.int64)
+        for level in range(self.DEPTH):
+            left_g, left_h = np.cumsum(sums((column, at), level), axis=3) / self.FIXED
+            for node in range(2**level):
+                g, h, k = left_g[node], left_h[node], 2**level - 1 + node
+                all_g, all_h = g[0, -1], h[0, -1]
+                score = g**2 / (h + 1) + (all_g - g) ** 2 / (all_h - h + 1) - all_g**2 / (all_h + 1)
+                if score.max() > 1e-6:
+                    column[k], at[k] = np.unravel_index(score.argmax(), score.shape)
+                if level == self.DEPTH - 1:
+                    split = (column[k], min(at[k], self.BINS - 1))
+                    for side, (g_in, h_in) in enumerate(((g[split], h[split]), (all_g - g[split], all_h - h[split]))):
+                        step = np.clip(-g_in / (h_in + 1), -self.STEP, self.STEP)
+                        leaves[2 * node + side] = np.rint(step * self.RATE * self.UNIT)
+        return column, at, leaves
+
+    @staticmethod
+    def _node(tree, x: np.ndarray, depth: int) -> np.ndarray:
+        """Place of each row among the nodes of a level."""
+        column, at = tree[:2]
         node = np.zeros(len(x), dtype=np.int64)
-        for _ in range(self.DEPTH):
+        for _ in range(depth):
             node = 2 * node + 1 + (x[np.arange(len(x)), column[node]] > at[node])
-        return leaves[node - (2 ** self.DEPTH - 1)]
+        return node - (2**depth - 1)
+
+    def sums(self, x, n, positive, margin, tree, level: int) -> np.ndarray:
+        """First and second gradients by node of the level, feature and bin, of rows that stand for ``n`` examples."""
+        chance = 1 / (1 + np.exp(-margin / self.UNIT))
+        g = n * np.rint(chance * self.FIXED) - positive * self.FIXED
+        h = n * np.rint(np.maximum(chance * (1 - chance), 1e-6) * self.FIXED)
+        shape = (2**level, x.shape[1], self.BINS)
+        slot = ((self._node(tree, x, level)[:, None] * shape[1] + np.arange(shape[1])) * self.BINS + x).ravel()
+        added = [np.bincount(slot, weights=np.repeat(v, shape[1]), minlength=np.prod(shape)) for v in (g, h)]
+        return np.stack(added).astype(np.int64).reshape(2, *shape)
+
+    def binned(self, x: np.ndarray) -> np.ndarray:
+        x = np.minimum(x, LARGEST)
+        return np.stack([np.searchsorted(e, x[:, k], side="left") for k, e in enumerate(self.edges)], axis=1).astype(np.uint8)
+
+    def moved(self, binned: np.ndarray, since: int = 0) -> np.ndarray:
+        """What the trees from number ``since`` on add to the margins."""
+        added = np.zeros(len(binned), dtype=np.int64)
+        for tree in self.trees[since:]:
+            added += tree[2][self._node(tree, binned, self.DEPTH)]
+        return added
+
+    def margin(self, binned: np.ndarray) -> np.ndarray:
+        return self.start + self.moved(binned)
 
     def chance(self, x: np.ndarray) -> np.ndarray:
-        binned = np.stack([np.searchsorted(e, x[:, k], side="left") for k, e in enumerate(self.edges)], axis=1)
-        margin = np.full(len(x), self.start)
-        for tree in self.trees:
-            margin += self.rate * self._leaf(tree, binned)
-        return 1 / (1 + np.exp(-margin))
+        return 1 / (1 + np.exp(-self.margin(self.binned(x)) / self.UNIT))
+
+
+class Spans:
+    """Spans of one kind that don't overlap, in order."""
 
+    def __init__(self, kind: int, spans: list[tuple[int, int, int]]):
+        self.starts, self.ends = [a for k, a, _ in spans if k == kind], [b for k, _, b in spans if k == kind]
 
-def covered(kind: int, start: int, end: int, spans: list[tuple[int, int, int]]) -> bool:
-    """A span of the kind holds at least four fifths of the candidate and lies in it by as much."""
-    for k, a, b in spans:
-        shared = min(end, b) - max(start, a)
-        if k == kind and 5 * shared >= 4 * max(end - start, b - a):
-            return True
-    return False
+    def met(self, a: int, b: int) -> Iterator[tuple[int, int]]:
+        """Those that overlap the stretch."""
+        k = bisect_right(self.ends, a)
+        while k < len(self.starts) and self.starts[k] < b:
+            yield self.starts[k], self.ends[k]
+            k += 1
+
+    def covers(self, a: int, b: int) -> bool:
+        """One holds at least four fifths of the stretch and lies in it by as much."""
+        return any(5 * (min(b, e) - max(a, s)) >= 4 * max(b - a, e - s) for s, e in self.met(a, b))
+
+    def meets(self, a: int, b: int) -> bool:
+        return next(self.met(a, b), None) is not None
 
 
 def rewritten(text: str, base: list[tuple[int, int, int]], turn: int) -> tuple[str, list[tuple[int, int, int]]]:
@@ -207,61 +264,143 @@ def rewritten(text: str, base: list[tuple[int, int, int]], turn: int) -> tuple[s
     return "".join(out) + text[at:], spans
 
 
-def examples(text: str, turn: int, most: int | None = None) -> list[tuple[bool, list[float]]]:
-    """Label and features of the first ``most`` candidates of a rewritten text."""
-    body, wanted = rewritten(text, base_spans(text), turn)
-    base = base_spans(body)
-    out = []
-    for kind, a, b in candidates(body)[:most]:
-        label = covered(kind, a, b, wanted)
-        if label or not any(s < b and a < e for k, s, e in base + wanted if k == kind):
-            out.append((label, features(body, kind, a, b)))
-    return out
+def examples(text: str, turn: int) -> Iterator[tuple[bool, list[float]]]:
+    """Label and features of the candidates of a rewritten text."""
+    body, rewrites = rewritten(text, base_spans(text), turn)
+    left = base_spans(body)
+    wanted, base = ([Spans(kind, spans) for kind in range(len(KINDS))] for spans in (rewrites, left))
+    for kind, a, b in candidates(body):
+        label = wanted[kind].covers(a, b)
+        if label or not (wanted[kind].meets(a, b) or base[kind].meets(a, b)):
+            yield label, features(body, kind, a, b)
 
 
-def fit(
-    docs: DataFrame, sample: int = 4000, precision: float = 0.99, enough: int = 50, key: str = "doc_id", text: str = "text", most: int = 2000,
-):
-    """Trees and a threshold per kind (infinite where none reaches ``precision``), or None.
+#: Examples a task counts together at a time, and trees between written margins.
+TOGETHER, AHEAD = 1 << 14, 8
 
-    Learned from about ``sample`` whole documents with digits or an at sign, those of smallest hash, and of each from
-    at most ``most`` candidates, the first by kind and place. Both bounds hold for the fit alone.
-    """
-    rows = keyed(docs, key, text).where(F.col("_text").rlike("[0-9@]"))
-    rows = sampled(rows, max(1, rows.count()), sample, "_key", "_text").withColumn("_h", F.xxhash64("_text", "_key"))
+
+def counted(docs: DataFrame, key: str, text: str) -> DataFrame:
+    """All examples of all texts: whether their text is held out, features ``x``, and how many there are and are positive."""
+    # No generator finds anything in a text without these.
+    rows = keyed(docs, key, text).where(F.col("_text").rlike(r"[0-9@]|at[\])]")).withColumn("_h", F.xxhash64("_text", "_key"))
+
+    def together(some: list) -> pd.DataFrame:
+        found = np.array([(held, *np.clip(x, -1, LARGEST), label) for held, label, x in some], dtype=np.int32)
+        kinds, which = np.unique(found[:, :-1], axis=0, return_inverse=True)
+        which = which.ravel()
+        return pd.DataFrame({
+            "held": kinds[:, 0] > 0, "x": list(kinds[:, 1:]), "n": np.bincount(which, minlength=len(kinds)),
+            "positive": np.bincount(which, weights=found[:, -1], minlength=len(kinds)).astype(np.int64),
+        })
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        some: list = []
         for batch in batches:
-            out = []
             for body, mark in zip(batch["_text"], batch["_h"]):
-                out += [(bool(mark & 1), *e) for e in examples(body, mark >> 1 & 3, most)]
-            yield pd.DataFrame(out, columns=["held", "label", "x"])
+                for label, x in examples(body, mark >> 1 & 3):
+                    some.append((mark & 1, label, x))
+                    if len(some) == TOGETHER:
+                        yield together(some)
+                        some = []
+        if some:
+            yield together(some)
 
-    found = rows.mapInPandas(run, "held boolean, label boolean, x array<double>").toPandas()
-    if found.empty:
-        return None
-    x, y, held = np.array(found["x"].tolist(), dtype=float), found["label"].to_numpy(bool), found["held"].to_numpy(bool)
-    if y[~held].sum() < enough or (~y[~held]).sum() < enough:
+    found = rows.mapInPandas(run, "held boolean, x array<int>, n bigint, positive bigint")
+    return written(found.groupBy("held", "x").agg(F.sum("n").alias("n"), F.sum("positive").alias("positive")))
+
+
+def _matrix(column: pd.Series) -> np.ndarray:
+    return np.frombuffer(b"".join(column), dtype=np.uint8).reshape(len(column), -1)
+
+
+def fit(docs: DataFrame, precision: float = 0.99, enough: int = 50, key: str = "doc_id", text: str = "text"):
+    """Trees and a least margin per kind (infinite where none reaches ``precision``), or None.
+
+    Learned from every candidate of every text; runs jobs. Rows of equal key or text all count.
+    """
+    found = counted(docs, key, text)
+    learned = found.where("not held")
+    width = len(features("1", 1, 0, 1))
+    borders = F.array(*[F.lit(float(b)) for b in Trees.borders()])
+    quantiles = [F.percentile(F.col("x")[k], borders, F.col("n")).alias(f"q{k}") for k in range(width)]
+    total, positive, *quantiles = learned.agg(F.sum("n"), F.sum("positive"), *quantiles).first()
+    if total is None or positive < enough or total - positive < enough:
+        remove(found)
         return None
-    trees = Trees(x[~held], y[~held].astype(float))
-    limits, chance = [np.inf] * len(KINDS), trees.chance(x[held])
-    for kind in range(len(KINDS)):
-        mine = x[held][:, 0] == kind
-        order = np.argsort(-chance[mine], kind="stable")
-        right, score = np.cumsum(y[held][mine][order]), chance[mine][order]
-        good = np.flatnonzero((right >= enough) & (right >= precision * np.arange(1, len(right) + 1)))
-        if len(good):
-            limits[kind] = float(score[good[-1]])
+
+    trees = Trees.begun(quantiles, positive, total)
+
+    def bins(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            x = np.stack(batch["x"])
+            yield batch.assign(kind=x[:, 0], x=[row.tobytes() for row in trees.binned(x)])[["held", "kind", "x", "n", "positive"]]
+
+    binned = found.mapInPandas(bins, "held boolean, kind int, x binary, n bigint, positive bigint")
+    binned = written(binned.groupBy("held", "kind", "x").agg(F.sum("n").alias("n"), F.sum("positive").alias("positive")))
+    remove(found)
+    # Rows to learn from, with the margin of the first ``done`` trees.
+    state = {"rows": written(binned.where("not held").select("x", "n", "positive", F.lit(trees.start).cast("bigint").alias("margin"))), "done": 0}
+
+    def ahead() -> None:
+        done, before = state["done"], state["rows"]
+
+        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for batch in batches:
+                yield batch.assign(margin=batch["margin"] + trees.moved(_matrix(batch["x"]), done))
+
+        state.update(rows=written(before.mapInPandas(run, before.schema)), done=len(trees.trees))
+        remove(before)
+
+    def sums(tree, level: int) -> np.ndarray:
+        if len(trees.trees) - state["done"] == AHEAD:
+            ahead()
+        done = state["done"]
+
+        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            total = None
+            for batch in batches:
+                x = _matrix(batch["x"])
+                margin = batch["margin"].to_numpy() + trees.moved(x, done)
+                added = trees.sums(x, batch["n"].to_numpy(), batch["positive"].to_numpy(), margin, tree, level)
+                total = added if total is None else total + added
+            if total is not None:
+                g, h = total.reshape(2, -1)
+                slots = np.flatnonzero(h)
+                yield pd.DataFrame({"slot": slots.astype(np.int32), "g": g[slots], "h": h[slots]})
+
+        added = state["rows"].mapInPandas(run, "slot int, g bigint, h bigint").groupBy("slot").agg(F.sum("g"), F.sum("h"))
+        out = np.zeros((2, 2**level * width * Trees.BINS), dtype=np.int64)
+        for slot, g, h in added.collect():
+            out[:, slot] = g, h
+        return out.reshape(2, 2**level, width, Trees.BINS)
+
+    trees.learn(sums)
+    remove(state["rows"])
+
+    def scored(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            yield batch.assign(margin=trees.margin(_matrix(batch["x"])))[["kind", "margin", "n", "positive"]]
+
+    # Margins are whole and bounded, so a kind has a bounded number of them.
+    scores = binned.where("held").mapInPandas(scored, "kind int, margin bigint, n bigint, positive bigint")
+    scores = scores.groupBy("kind", "margin").agg(F.sum("n").alias("n"), F.sum("positive").alias("positive"))
+    down = Window.partitionBy("kind").orderBy(F.desc("margin")).rowsBetween(Window.unboundedPreceding, 0)
+    scores = scores.select("kind", "margin", F.sum("n").over(down).alias("n"), F.sum("positive").over(down).alias("positive"))
+    good = scores.where((F.col("positive") >= enough) & (F.col("positive") >= precision * F.col("n")))
+    limits = [np.inf] * len(KINDS)
+    for kind, least in good.groupBy("kind").agg(F.min("margin")).collect():
+        limits[kind] = least
+    remove(binned)
     return trees, limits
 
 
 def chosen(text: str, base: list[tuple[int, int, int]], model) -> list[tuple[int, int, int]]:
-    """Candidates over their threshold, best first, that overlap neither a base span nor each other."""
+    """Candidates of at least their threshold, best first, that overlap neither a base span nor each other."""
     trees, limits = model
     some = [c for c in candidates(text) if limits[c[0]] < np.inf]
     if not some:
         return []
-    chance = trees.chance(np.array([features(text, *c) for c in some], dtype=float))
+    margin = trees.margin(trees.binned(np.array([features(text, *c) for c in some], dtype=float)))
     taken = sorted((a, b) for _, a, b in base)
     starts, reach = [a for a, _ in taken], []
     top = 0
@@ -270,7 +409,7 @@ def chosen(text: str, base: list[tuple[int, int, int]], model) -> list[tuple[int
         reach.append(top)
     kept: list[tuple[int, int]] = []
     out = []
-    for score, (kind, a, b) in sorted(zip(-chance, some)):
+    for score, (kind, a, b) in sorted(zip(-margin, some)):
         if -score < limits[kind]:
             continue
         k = bisect_left(starts, b)

@@ -336,3 +336,49 @@ def test_keys_that_stand_for_several_texts(spark):
     frame = spark.createDataFrame([(k, " ".join(t), s) for k, t, s in rows], "doc_id long, text string, source string")
     kept = [(r["doc_id"], r["text"][0], r["source"]) for r in simhash.keep_first(frame).collect()]
     assert sorted(kept, key=str) == [(5, "a", "x"), (5, "b", "x"), (5, "c", "x"), (None, "a", "x")]
+
+
+def test_personal_data_is_learned_from_every_text(spark):
+    # 6000 texts with other numbers, and in one long text the only card numbers, after 4000 other candidates.
+    rows = [(k, f"order {k * 7919} of {1990 + k % 30}/10/12, id {10**12 + k * 37}") for k in range(6000)]
+    cards = " and ".join(f"card {4111111111111111 if k % 2 else 5500000000000004} on" for k in range(400))
+    rows += [(k, " ".join(f"{n}.2.{n % 9} a{n}@b.org" for n in range(2000)) + cards) for k in range(6000, 6020)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    found = pii.counted(frame, "doc_id", "text")
+    marks = {r[0]: r[1] for r in frame.select("doc_id", F.xxhash64("text", F.col("doc_id").cast("string"))).collect()}
+    held, wanted = set(), {}
+    for k, text in rows:
+        for label, x in pii.examples(text, marks[k] >> 1 & 3):
+            at = (bool(marks[k] & 1), *(int(v) for v in x))
+            n, right = wanted.get(at, (0, 0))
+            wanted[at] = (n + 1, right + label)
+        held.add(marks[k] & 1)
+    assert held == {0, 1} and {(r["held"], *r["x"]): (r["n"], r["positive"]) for r in found.collect()} == wanted
+    trees, limits = pii.fit(frame)
+    assert limits[2] < np.inf
+    assert (2, 5, 24) in pii.chosen("card 5500.0000.0000.0004 on", [], (trees, limits))
+    again = pii.fit(frame.repartition(7))
+    assert again[1] == limits and all((a == b).all() for s, t in zip(trees.trees, again[0].trees) for a, b in zip(s, t))
+
+
+def test_trees_of_a_table_are_those_of_its_rows(spark):
+    rows = [(k, f"tel +1 (555) 010-{k % 9000 + 1000} or n{k}@h{k % 11}.org, v {k}.2.{k % 9} on {1990 + k % 30}/10/12") for k in range(700)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    x, y = [], []
+    for r in pii.counted(frame, "doc_id", "text").where("not held").collect():
+        x += [r["x"]] * r["n"]
+        y += [1] * r["positive"] + [0] * (r["n"] - r["positive"])
+    here, there = pii.Trees(np.array(x, dtype=float), np.array(y)), pii.fit(frame)[0]
+    assert here.start == there.start and all((a == b).all() for a, b in zip(here.edges, there.edges))
+    assert all((a == b).all() for s, t in zip(here.trees, there.trees) for a, b in zip(s, t))
+
+
+def test_labels_of_candidates():
+    spans = [(0, 0, 5), (1, 2, 9), (0, 5, 20), (0, 30, 40)]
+    r = np.random.default_rng(5)
+    for _ in range(2000):
+        kind, a = int(r.integers(0, 2)), int(r.integers(0, 45))
+        b = a + int(r.integers(1, 20))
+        mine, some = [(s, e) for k, s, e in spans if k == kind], pii.Spans(kind, spans)
+        assert some.meets(a, b) == any(s < b and a < e for s, e in mine)
+        assert some.covers(a, b) == any(5 * (min(b, e) - max(a, s)) >= 4 * max(b - a, e - s) for s, e in mine)
