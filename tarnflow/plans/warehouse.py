@@ -131,9 +131,16 @@ class Warehouse:
         fields = table.schema.fields + ([T.StructField(BUCKET, T.IntegerType())] if table.station else [])
         if not versions:
             return self.spark.createDataFrame([], T.StructType(fields))
+        owners: dict[str, dict[str, dict]] = {}
+        for v, held in versions.items():
+            owners.setdefault(held.get("of", name), {})[v] = held
+        return reduce(DataFrame.unionByName, [self._owned(owner, fields, held) for owner, held in owners.items()])
+
+    def _owned(self, owner: str, fields: list[T.StructField], versions: dict[str, dict]) -> DataFrame:
+        """Rows of version folders that lie in the folder of one table."""
         stored = T.StructType(fields + [T.StructField("version", T.StringType())])
-        paths = [f"{self.path(name)}/version={v}" for v in versions]
-        rows = self.spark.read.schema(stored).option("basePath", self.path(name)).parquet(*paths)
+        paths = [f"{self.path(owner)}/version={v}" for v in versions]
+        rows = self.spark.read.schema(stored).option("basePath", self.path(owner)).parquet(*paths)
         if not all(held["whole"] for held in versions.values()):
             counts = [F.col("version").isin(*[v for v, held in versions.items() if held["whole"]])]
             counts += [(F.col("version") == v) & F.col(BUCKET).isin(*held["buckets"]) for v, held in versions.items() if not held["whole"]]
@@ -202,9 +209,15 @@ class Warehouse:
     def promote(self, staging: str, target: str) -> None:
         """A staging table copied as it is under another name, columns included (K3).
 
-        A table of the warehouse then has the staging table's columns until it is replaced.
+        A table of the warehouse then has the staging table's columns until it is replaced. Version folders never
+        change, so the copy names those of the staging table; what becomes of either table later leaves the other as it is.
         """
-        if target in TABLES:
+        if target in TABLES and staging in TABLES:
+            self.read(staging)  # an error if it is missing
+            change = Change(self.states)
+            change.copy(staging, target)
+            change.publish()
+        elif target in TABLES:
             self.replace(target, self.read(staging), staging)
         else:
             self.read(staging).write.mode("overwrite").parquet(self.path(target))
@@ -224,11 +237,12 @@ class Warehouse:
         Not to be run beside a load or a reader of an earlier state.
         """
         number, content = self.states.latest()
+        named = {(held.get("of", name), v) for name, table in content["tables"].items() for v, held in table["versions"].items()}
         gone = []
         for name in TABLES:
             folder = name.replace(".", "/")
             for version in self.states.listed(folder):
-                if version.removeprefix("version=") not in content["tables"].get(name, {"versions": {}})["versions"]:
+                if (name, version.removeprefix("version=")) not in named:
                     self.states.remove(f"{folder}/{version}")
                     gone.append(f"{name}/{version}")
         for old in self.states.numbers():

@@ -297,3 +297,32 @@ def test_built_in_lookups(spark):
 def test_summary_filter_runs_below_the_aggregate(spark):
     obs = observation(spark, [(T0, 1.0, "S1", "equis", "TP", "mg/l")])
     assert query.station_summary(obs, "TP").count() == 1 and query.station_summary(obs, "WT").count() == 0
+
+
+def test_a_promoted_table_shares_folders_and_stays_apart(spark, warehouse, rows):
+    w = warehouse
+    w.load_lab(lab_batch(spark, ["S1", "S2"]), ["S1", "S2"])
+    was = rows(w.read("staging.equis"))
+    before = set(w.states.listed("analytics/equis"))
+    w.promote("staging.equis", "analytics.equis")
+    assert set(w.states.listed("analytics/equis")) == before and rows(w.read("analytics.equis")) == was
+    # Neither table follows the other, and folders go when no table names them.
+    w.append("analytics.equis", lab_batch(spark, ["S3"]))
+    w.replace_stations("analytics.equis", w.template("staging.equis"), ["S2"])
+    w.replace_stations("staging.equis", lab_batch(spark, ["S1"]).limit(2), ["S1"])
+    assert rows(w.read("staging.equis").groupBy("SYS_LOC_CODE").count()) == [("S1", 2), ("S2", 5)]
+    w.promote("staging.equis", "analytics.equis")
+    w.replace("staging.equis", w.template("staging.equis"))
+    w.vacuum()
+    assert w.read("staging.equis").count() == 0 and w.vacuum() == []
+    assert rows(w.read("analytics.equis").groupBy("SYS_LOC_CODE").count()) == [("S1", 2), ("S2", 5)]
+    assert w.read("analytics.equis", ["S2"]).count() == 5
+    w.append("analytics.equis", lab_batch(spark, ["S2"]))
+    w.replace_stations("analytics.equis", w.template("staging.equis"), ["S1"])
+    assert rows(w.read("analytics.equis").groupBy("SYS_LOC_CODE").count()) == [("S2", 10)]
+    w.promote("analytics.equis", "staging.equis")
+    w.process_lab()
+    assert rows(w.read("analytics.equis").groupBy("station_id").count()) == [("S2", 5)]
+    assert w.vacuum() and w.read("staging.equis").count() == 10
+    with pytest.raises(ValueError, match="Missing tables"):
+        Warehouse(spark, w.root + "-new").promote("staging.equis", "analytics.equis")
