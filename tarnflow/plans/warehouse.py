@@ -10,7 +10,7 @@ task. Every write makes a new version folder, and a load shows in all its tables
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 from functools import reduce
 from typing import NamedTuple
 
@@ -159,14 +159,16 @@ class Warehouse:
         made = self.states.listed(folder.removeprefix(f"{self.root}/"))
         return version, [int(n.partition("=")[2]) for n in made if n.startswith(f"{BUCKET}=")]
 
-    def _add(self, change: Change, name: str, df: DataFrame) -> None:
-        """Rows after those a table holds; buckets in too many versions are written together."""
+    def _add(self, change: Change, name: str, df: DataFrame) -> DataFrame:
+        """Rows after those a table holds; buckets in too many versions are written together. Returns the rows as written."""
         if name not in change.tables:
             change.replace(name, name)
         kind = change.tables[name]["kind"]
-        change.add(name, *self._stage(name, kind, df))
+        version, buckets = self._stage(name, kind, df)
+        change.add(name, version, buckets)
+        added = self._rows(name, kind, {version: {"buckets": buckets, "whole": True}})
         if TABLES[kind].station is None:
-            return
+            return added
         spread: dict[int, int] = {}
         for held in change.versions(name).values():
             for bucket in held["buckets"]:
@@ -177,9 +179,10 @@ class Warehouse:
             together = self._stage(name, kind, rows.drop(BUCKET))
             change.without(name, wide)
             change.add(name, *together)
+        return added.drop(BUCKET)
 
-    def _replace_stations(self, change: Change, name: str, df: DataFrame, stations: list[str]) -> None:
-        """The buckets of these stations are written without them, then ``df`` is added."""
+    def _replace_stations(self, change: Change, name: str, df: DataFrame, stations: list[str]) -> DataFrame:
+        """The buckets of these stations are written without them, then ``df`` is added. Returns its rows as written."""
         if name not in change.tables:
             change.replace(name, name)
         kind = change.tables[name]["kind"]
@@ -190,7 +193,7 @@ class Warehouse:
             left = self._stage(name, kind, replace_station_rows(held, held.limit(0), stations, TABLES[kind].station))
             change.without(name, buckets)
             change.add(name, *left)
-        self._add(change, name, df)
+        return self._add(change, name, df)
 
     def append(self, name: str, df: DataFrame) -> None:
         """Rows in the table's own columns and order (K1)."""
@@ -321,14 +324,21 @@ class Warehouse:
         self.process_sensor(**options)
         self.process_lab()
 
-    def _load(self, source: str, raw: DataFrame, done: DataFrame, stations: list[str], overwrite: bool) -> None:
-        """Staging and analytics in one step: a load that fails anywhere leaves both as they were."""
+    def _load(
+        self, source: str, raw: DataFrame, done: DataFrame | Callable[[DataFrame], DataFrame], stations: list[str], overwrite: bool
+    ) -> None:
+        """Staging and analytics in one step: a load that fails anywhere leaves both as they were.
+
+        ``done`` are the observations, or makes them of the staged rows of the batch, which are then read back in the
+        columns it needs; ``raw`` is computed once.
+        """
         change = Change(self.states)
-        for name, rows in ((f"staging.{source}", raw), (f"analytics.{source}", done)):
-            if overwrite:
-                self._replace_stations(change, name, rows, stations)
-            else:
-                self._add(change, name, rows)
+
+        def put(name: str, rows: DataFrame) -> DataFrame:
+            return self._replace_stations(change, name, rows, stations) if overwrite else self._add(change, name, rows)
+
+        staged = put(f"staging.{source}", raw)
+        put(f"analytics.{source}", done(staged) if callable(done) else done)
         change.publish()
         self.refresh_views()
 
@@ -340,14 +350,13 @@ class Warehouse:
                 raise ValueError(f"Station {station} is not a string")
         if raw.isEmpty():
             return
-        done = pipelines.sensor_transform(type_sensor(raw), **options)
-        self._load("wiski", raw, done, stations, overwrite)
+        self._load("wiski", raw, lambda staged: pipelines.sensor_transform(type_sensor(staged), **options), stations, overwrite)
 
     def load_lab(self, raw: DataFrame, stations: Iterable[str], overwrite: bool = True) -> None:
         """A landed batch of laboratory rows into staging and analytics."""
         if raw.isEmpty():
             return
-        self._load("equis", raw, pipelines.lab_transform(clean_lab(raw)), list(stations), overwrite)
+        self._load("equis", raw, lambda staged: pipelines.lab_transform(clean_lab(staged)), list(stations), overwrite)
 
     # ---- Views and questions --------------------------------------------------------------
 

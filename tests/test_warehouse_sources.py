@@ -326,3 +326,19 @@ def test_a_promoted_table_shares_folders_and_stays_apart(spark, warehouse, rows)
     assert w.vacuum() and w.read("staging.equis").count() == 10
     with pytest.raises(ValueError, match="Missing tables"):
         Warehouse(spark, w.root + "-new").promote("staging.equis", "analytics.equis")
+
+
+def test_a_load_computes_its_batch_once(spark, warehouse, tmp_path, monkeypatch):
+    from tarnflow.plans import pipelines
+
+    w, read = warehouse, {}
+    for name, make in (("lab_transform", pipelines.lab_transform), ("sensor_transform", pipelines.sensor_transform)):
+        monkeypatch.setattr(pipelines, name, lambda df, name=name, make=make, **options: read.setdefault(name, df.inputFiles()) and make(df, **options))
+    write_parquet(lab_batch(spark, ["S1"]), str(tmp_path / "lab"))
+    write_parquet(sensor_batch(spark, ["H1"]), str(tmp_path / "sensor"))
+    w.append("staging.equis", lab_batch(spark, ["S9"]))
+    w.load_lab(spark.read.parquet(str(tmp_path / "lab")), ["S1"])
+    w.load_sensor(spark.read.parquet(str(tmp_path / "sensor")), ["H1"], a=0.95, c=0.02, min_per_year=1)
+    for name, table in (("lab_transform", "equis"), ("sensor_transform", "wiski")):
+        assert read[name] and all(f"/staging/{table}/version=" in file for file in read[name])
+    assert w.station_ids().count() == 2 and w.read("analytics.wiski").count() == 48 * 3
