@@ -1,7 +1,10 @@
 """Vector searches and page operators against brute force, and on awkward tables."""
 
+import pickle
+
 import numpy as np
 import pytest
+from pyspark import SparkContext
 from pyspark.sql import functions as F
 
 from tarnflow.llm import balltree, permutation, sitetree, urls
@@ -64,6 +67,28 @@ def test_recall_with_few_candidates(spark):
     assert right >= 0.9 * 300
 
 
+@pytest.fixture
+def sent(spark, monkeypatch):
+    """Bytes of each broadcast from Python; Spark's own broadcasts of tables may have 50 kB."""
+    sizes, plain, limit = [], SparkContext.broadcast, "spark.sql.maxBroadcastTableSize"
+    monkeypatch.setattr(SparkContext, "broadcast", lambda self, value: sizes.append(len(pickle.dumps(value))) or plain(self, value))
+    before = spark.conf.get(limit)
+    spark.conf.set(limit, "50k")
+    yield sizes
+    spark.conf.set(limit, before)
+
+
+def test_nearest_sends_queries_once(vectors, sent):
+    df, values = vectors
+    # All 400 vectors ask, 29 kB; a copy for each of 40 shards is over a MB.
+    got = ranked(permutation.nearest(df, F.col("id") < 400, k=5, shard_rows=10, block_rows=30, round_bytes=9000))
+    for q in range(400):
+        far = np.sqrt(((values - values[q]) ** 2).sum(axis=1))
+        assert [k for k, _ in got[q]] == [int(k) for k in np.lexsort((np.arange(400), far)) if k != q][:5]
+    # Three rounds or more, each with its queries and the pivots.
+    assert len(sent) >= 3 and max(sent) < 9000 + 256 * 8 * 8 + 4000
+
+
 def test_footrule():
     order = np.array([[0, 1, 2], [2, 1, 0], [3, 4, 0]])
     files = permutation.InvertedFiles(order, 5)
