@@ -1,9 +1,10 @@
 """Exact top-k by inner product: ball trees with branch and bound, one per shard.
 
-Vectors are dealt into shards of bounded size by a hash, queries into blocks, and each (shard, block)
-is a task with the shard's tree. A node holds centre c and radius r, so no vector in it scores more
-than q c + |q| r. Every query starts with its k-th best score among a bounded set of long vectors,
-the likeliest winners; all shards share that score.
+Vectors are dealt into shards of bounded size by a hash, queries into blocks that go out in rounds of
+bounded bytes; a task builds the tree of a shard once a round, for all queries of the round. A node holds
+centre c and radius r, so no vector in it scores more than q c + |q| r. Every query starts with its k-th
+best score among a bounded set of long vectors, the likeliest winners; all shards share that score, and a
+task hands its k-th scores on from shard to shard.
 Levels are descended for all queries at once, leaves are visited by decreasing bound, and the k-th
 score rises on the way. A node is left out only where its bound is below the k-th score, so ties
 are kept, and the result is exact.
@@ -12,11 +13,10 @@ are kept, and the result is exact.
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tarnflow.llm.common import release, written
-from tarnflow.llm.vectors import best, blobs, dealt, matrix, pairs, unpack, usable
+from tarnflow.llm.common import release, remove, written
+from tarnflow.llm.vectors import ROUND_BYTES, Block, blobs, dealt, few, searched, usable
 
 LEAF = 64
 
@@ -87,7 +87,7 @@ class BallTree:
 
 def top_k(
     vectors: DataFrame, query: Column, k: int = 20, factor: int | None = None, key: str = "vec_id", vector: str = "embedding",
-    shard_rows: int = 8192, block_rows: int = 1024, seeds: int = 1024,
+    shard_rows: int = 8192, block_rows: int = 1024, seeds: int = 1024, round_bytes: int = ROUND_BYTES,
 ) -> DataFrame:
     """For every row where ``query(id)`` holds, the ``k`` other rows of highest inner product.
 
@@ -101,26 +101,24 @@ def top_k(
         rows = rows.withColumn("v", scaled(F.col("v"), factor))
     rows = written(rows)
     length = F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x)
-    long = rows.orderBy(F.desc(length), "id").limit(seeds).toPandas()
-    by_size = {int(n): matrix(part) for n, part in long.groupby("size")}
+    long = few(rows, seeds, F.desc(length))
     shards, n_shards = dealt(rows, "shard", rows.count(), shard_rows)
     asked, _ = dealt(rows.where(query), "block", rows.where(query).count(), block_rows)
     shards, asked = blobs(shards, "shard"), blobs(asked, "block")
+    remove(rows)
     release(rows.sparkSession)
 
-    def search(pair: pd.DataFrame) -> pd.DataFrame:
-        row = pair.iloc[0]
-        size = int(row["size"])
-        names, questions = unpack(row["block_ids"], row["block_v"], size)
-        known = np.full(len(names), -np.inf)
-        if size in by_size and len(by_size[size][0]) > k:
-            ids, values = by_size[size]
-            score = questions @ values.T
-            score[names[:, None] == ids[None, :]] = -np.inf
-            known = np.partition(score, len(ids) - k, axis=1)[:, -k]
-        tree = BallTree(*unpack(row["shard_ids"], row["shard_v"], size))
-        at, ids, score = tree.search(names, questions, k, known)
-        return pd.DataFrame({"query_id": names[at], "vec_id": ids, "score": score})
-
-    found = pairs(shards, asked, n_shards).applyInPandas(search, "query_id bigint, vec_id bigint, score double")
-    return best(found, k, F.desc("score"))
+    def start(block: Block, by_size: dict) -> None:
+        if block.size in by_size and len(by_size[block.size][0]) > k:
+            ids, values = by_size[block.size]
+            score = block.questions @ values.T
+            score[block.names[:, None] == ids[None, :]] = -np.inf
+            block.limit = -np.partition(score, len(ids) - k, axis=1)[:, -k]
+
+    def search(ids: np.ndarray, values: np.ndarray, blocks: list[Block], by_size: dict) -> None:
+        tree = BallTree(ids, values)
+        for block in blocks:
+            row, found, score = tree.search(block.names, block.questions, k, -block.limit)
+            block.keep(row, found, -score)
+
+    return searched(shards, asked, n_shards, k, search, long, start, sign=-1, round_bytes=round_bytes)

@@ -89,6 +89,17 @@ def test_nearest_sends_queries_once(vectors, sent):
     assert len(sent) >= 3 and max(sent) < 9000 + 256 * 8 * 8 + 4000
 
 
+def test_top_k_sends_queries_once(vectors, sent):
+    df, values = vectors
+    got = ranked(balltree.top_k(df, F.col("id") < 400, k=5, factor=64, shard_rows=10, block_rows=30, seeds=20, round_bytes=9000))
+    whole = np.floor(values * 64)
+    for q in range(400):
+        score = whole @ whole[q]
+        want = sorted([(-score[k], k) for k in range(400) if k != q] + [(0.0, 501)])[:5]
+        assert got[q] == [(k, -s) for s, k in want]
+    assert len(sent) >= 3 and max(sent) < 9000 + 20 * 9 * 8 + 4000
+
+
 def test_footrule():
     order = np.array([[0, 1, 2], [2, 1, 0], [3, 4, 0]])
     files = permutation.InvertedFiles(order, 5)
